@@ -1,0 +1,22 @@
+"""Where intermediate tables are written: the folder the cluster shares."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path below ``spark.checkpoint.dir``.
+
+    Without that setting a local session falls back to a temporary folder; a
+    cluster session is refused, because its executors share no local disk.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        base = tempfile.mkdtemp(prefix="tabflow-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,0 +1,44 @@
+"""Selecting partitions by ordered column and value lists."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+PartitionValue = str | int | tuple
+
+
+def partition_predicate(
+    df: DataFrame, columns: Sequence[str], values: Sequence[PartitionValue]
+) -> Column | None:
+    """One predicate for the partition columns, or None for the whole table.
+
+    A value is a single value, a ``(low, high)`` pair, or the text
+    ``"low:high"``. Ranges include both ends. Literals take the type of the
+    partition column, so the comparison prunes folders before anything is read.
+    """
+    if len(columns) != len(values):
+        raise ValueError("one value or range is needed for each partition column")
+
+    def one(column: str, value: PartitionValue) -> Column:
+        dtype = df.schema[column].dataType
+        if isinstance(value, str) and value.count(":") == 1:
+            value = tuple(value.split(":"))
+        if isinstance(value, tuple):
+            low, high = (F.lit(v).cast(dtype) for v in value)
+            return F.col(column).between(low, high)
+        return F.col(column) == F.lit(value).cast(dtype)
+
+    parts = [one(c, v) for c, v in zip(columns, values, strict=True)]
+    return reduce(lambda a, b: a & b, parts) if parts else None
+
+
+def scan_partitions(
+    df: DataFrame, columns: Sequence[str] = (), values: Sequence[PartitionValue] = ()
+) -> DataFrame:
+    """The rows of the chosen partitions; empty lists mean the whole table."""
+    predicate = partition_predicate(df, columns, values)
+    return df if predicate is None else df.where(predicate)
