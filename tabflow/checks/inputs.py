@@ -139,7 +139,7 @@ def location_files(supplier: DataFrame, path: str) -> str:
         ",",
         F.col("s_suppkey").cast("string"),
         F.concat(F.lit('"C'), "s_nationkey", F.lit('"')),
-        F.concat(F.lit('"R'), F.floor(F.col("s_nationkey") / 5), F.lit('"')),
+        F.concat(F.lit('"R'), F.call_function("div", F.col("s_nationkey"), F.lit(5)), F.lit('"')),
         city,
         F.lit('""'),
         F.col("s_acctbal").cast("string"),
@@ -161,7 +161,7 @@ def order_files(orders: DataFrame, path: str, per_file: int) -> str:
     lines = orders.select(
         F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority").alias("value"),
         "o_orderkey",
-        F.floor(F.col("o_orderkey") / per_file).alias("run"),
+        F.call_function("div", F.col("o_orderkey"), F.lit(per_file)).alias("run"),
     )
     (
         lines.repartition("run")

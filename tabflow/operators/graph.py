@@ -15,19 +15,22 @@ def follow_nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("src", "dst")).alias("userid")).distinct()
 
 
+def follow_pairs(pairs: DataFrame) -> DataFrame:
+    """Every distinct pair; copies are removed map-side before the shuffle."""
+    return pairs.select("src", "dst").distinct()
+
+
+def relationships(pairs: DataFrame) -> DataFrame:
+    """Pairs as relationship records: edge key, type and property added."""
+    edge = F.concat_ws(":", F.col("src").cast("string"), F.col("dst").cast("string"))
+    return pairs.withColumns(
+        {"edge": edge, "rel_type": F.lit(REL_TYPE), "name": F.lit(REL_NAME)}
+    )
+
+
 def follow_edges(pairs: DataFrame) -> DataFrame:
     """One relationship record for each distinct pair."""
-    return (
-        pairs.select("src", "dst")
-        .distinct()
-        .select(
-            F.concat_ws(":", "src", "dst").alias("edge"),
-            "src",
-            "dst",
-            F.lit(REL_TYPE).alias("rel_type"),
-            F.lit(REL_NAME).alias("name"),
-        )
-    )
+    return relationships(follow_pairs(pairs))
 
 
 def only_new(candidates: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

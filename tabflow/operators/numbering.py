@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.fixed import USER_BATCH_SIZE
-from tabflow.scratch import scratch_path
+from tabflow.scratch import staged
 
 _PART_BITS = 33  # monotonically_increasing_id(): partition above, row number below
 
@@ -28,11 +28,13 @@ def dense_numbers(
     partitioning, so lost executors cannot shift a number. Without ``order_by``
     rows keep their input partitions and nothing is shuffled.
 
+    The range partitioning samples its input first, so an expensive plan is
+    best ``staged`` before it is numbered.
+
     Unless the keys are ``unique``, the position in the input breaks ties, so
     that copies of one key can fall into several partitions. The input order
     must then be repeatable, as it is for files.
     """
-    spark = df.sparkSession
     rows = df
     if order_by:
         keys = [F.col(c) for c in order_by]
@@ -42,22 +44,23 @@ def dense_numbers(
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*df.columns)
 
     place = F.monotonically_increasing_id()
-    staged_path = scratch_path(spark, "numbered")
-    rows.select(
-        "*",
-        F.shiftright(place, _PART_BITS).alias("__part"),
-        place.bitwiseAND(F.lit((1 << _PART_BITS) - 1)).alias("__row"),
-    ).write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
+    placed = staged(
+        rows.select(
+            "*",
+            F.shiftright(place, _PART_BITS).alias("__part"),
+            place.bitwiseAND(F.lit((1 << _PART_BITS) - 1)).alias("__row"),
+        ),
+        "numbered",
+    )
 
     # One row per written partition: small enough to broadcast and to window.
-    sizes = staged.groupBy("__part").agg((F.max("__row") + 1).alias("size"))
+    sizes = placed.groupBy("__part").agg((F.max("__row") + 1).alias("size"))
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "__part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("__offset")
     )
     number = F.col("__offset") + F.col("__row") + start
-    return staged.join(F.broadcast(offsets), "__part").select(
+    return placed.join(F.broadcast(offsets), "__part").select(
         *df.columns, number.cast("bigint").alias(name)
     )
 
@@ -70,5 +73,5 @@ def batch_numbers(
 ) -> DataFrame:
     """Add ``batch``; counting rows from one, row ``n`` is in batch ``n div size``."""
     numbered = dense_numbers(df, "__n", order_by, unique, start=1)
-    batch = F.floor(F.col("__n") / size).cast("bigint")
+    batch = F.call_function("div", F.col("__n"), F.lit(size))
     return numbered.select(*df.columns, batch.alias("batch"))

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.operators.graph import follow_edges, follow_nodes, only_new
+from tabflow.operators.graph import follow_nodes, follow_pairs, only_new, relationships
 from tabflow.operators.numbering import dense_numbers
-from tabflow.scratch import scratch_path
+from tabflow.scratch import staged
 
 NODE_SCHEMA = "node_id bigint, userid bigint"
 EDGE_SCHEMA = (
@@ -42,17 +42,18 @@ class GraphStore:
         finished by running it again. Ids continue from the highest stored one,
         in key order.
         """
-        staged = scratch_path(self.spark, "pairs")
-        follow_edges(pairs).write.parquet(staged)
-        batch = self.spark.read.parquet(staged)
-        self._append("nodes", follow_nodes(batch), self.nodes(), "node_id", ["userid"])
-        self._append("edges", batch, self.edges(), "rel_id", ["src", "dst"])
-
-    def _append(
-        self, table: str, rows: DataFrame, stored: DataFrame, id_column: str, keys: list[str]
-    ) -> None:
+        batch = staged(follow_pairs(pairs), "pairs")
+        users = self._numbered(follow_nodes(batch), self.nodes(), "node_id", ["userid"])
+        self._append("nodes", users)
+        edges = self._numbered(batch, self.edges(), "rel_id", ["src", "dst"])
+        self._append("edges", relationships(edges))
+
+    def _numbered(
+        self, rows: DataFrame, stored: DataFrame, id_column: str, keys: list[str]
+    ) -> DataFrame:
         start = stored.agg(F.coalesce(F.max(id_column) + 1, F.lit(0))).first()[0]
-        numbered = dense_numbers(
-            only_new(rows, stored, keys), id_column, order_by=keys, unique=True, start=start
-        )
-        numbered.select(*stored.columns).write.mode("append").parquet(f"{self.root}/{table}")
+        new = staged(only_new(rows, stored, keys), "new")
+        return dense_numbers(new, id_column, order_by=keys, unique=True, start=start)
+
+    def _append(self, table: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{self.root}/{table}")

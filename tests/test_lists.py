@@ -1,0 +1,119 @@
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tabflow.operators.uniques import explode_unique, id_list_counts, id_tokens, word_count
+from tests.helpers import drop_trailing, rows, trim
+
+few = settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def brute_uniques(values):
+    seen = defaultdict(set)
+    for value in values:
+        fields = drop_trailing(value, "\t")
+        if not fields or "NULL" in fields[0] or "\\N" in fields[0]:
+            continue
+        listed = trim(fields[1]) if len(fields) > 1 else ""
+        if listed:
+            seen[int(fields[0])].update(drop_trailing(listed, ","))
+    return {k: len(v) for k, v in seen.items() if v}
+
+
+@few
+@given(data=st.data())
+def test_uniques_match_plain_python(lines, data):
+    key = st.sampled_from(["1", "2", "30", "NULL", "x\\N", "-4"])
+    listed = st.text(alphabet="ab, \r", max_size=9)
+    values = [
+        f"{k}\t{v}" for k, v in data.draw(st.lists(st.tuples(key, listed), min_size=30))
+    ]
+    assert dict(rows(explode_unique(lines(*values)))) == brute_uniques(values)
+
+
+def test_list_edge_cases(lines):
+    df = lines(
+        "1\ta,,b,,",  # inner empty counts, trailing do not
+        "1\t,a",  # leading empty is the same empty item
+        "2\t   ",
+        "3",
+        "4\t",
+        "5\t,,,",  # separators only: no items
+        "6\tx\tignored,y",
+        "NULL\ta",
+        "7NULL\ta",
+        "\\N\ta",
+    )
+    assert rows(explode_unique(df)) == [(1, 3), (6, 1)]
+
+
+def test_only_the_whole_list_is_trimmed(lines):
+    found = sorted(r["token"] for r in id_tokens(lines("1\t a, b ,c ")).collect())
+    assert found == [" b ", "a", "c"]
+
+
+def test_bad_id_fails_only_when_the_line_is_kept(lines):
+    assert rows(explode_unique(lines("x\t  ", "1\ta"))) == [(1, 1)]
+    with pytest.raises(PySparkException, match="not a 64-bit integer"):
+        explode_unique(lines("x\ta")).collect()
+    with pytest.raises(PySparkException, match="not a 64-bit integer"):
+        explode_unique(lines(" 5\ta")).collect()
+
+
+def test_record_counts(lines):
+    df = lines("1\ta", "1\tb,c", "NULL\ta", "2\t  ", "3", "01\tz", "\\N\t")
+    found = id_list_counts(df).first().asDict()
+    assert found == {
+        "lines": 7,
+        "marker_lines": 2,
+        "no_list_lines": 2,
+        "kept_lines": 3,
+        "kept_ids": 1,
+    }
+
+
+def test_record_counts_of_nothing(lines):
+    assert list(id_list_counts(lines("1\ta").where("false")).first()) == [0, 0, 0, 0, 0]
+
+
+def test_uniques_are_spread_by_pair_and_stay_in_the_jvm(lines, plan):
+    text = plan(explode_unique(lines("1\ta")))
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2
+    assert "token" in exchanges[1] and "Python" not in text
+
+
+def test_hot_id_is_counted_exactly(spark):
+    df = spark.range(30_000).select(
+        F.concat(
+            F.when(F.col("id") % 3 == 0, "7").otherwise(F.col("id").cast("string")),
+            F.lit("\tt"),
+            F.col("id") % 5000,
+            F.lit(",u"),
+        ).alias("value")
+    )
+    found = dict(rows(explode_unique(df)))
+    assert found[7] == 5001
+    assert len(found) == 20_000 + (0 if 7 % 3 else 1)
+
+
+def test_words_of_the_sample_files(lines):
+    one = "Hello World Hello Hadoop\nYes No Yes No\n".split("\n")[:2] + [""]
+    two = ["hadoop yup hadoop yum", "hive yeoh hbase yeoh", "hbase neo hive new"]
+    found = dict(rows(word_count(lines(*one, *two))))
+    expected = Counter(w for line in one + two for w in drop_trailing(line, " "))
+    assert found == dict(expected)
+    assert found["yeoh"] == 2 and found["Hadoop"] == 1 and found[""] == 1
+
+
+@few
+@given(texts=st.lists(st.text(alphabet="ab \n", max_size=10), min_size=20))
+def test_words_match_plain_python(lines, texts):
+    expected = Counter(w for t in texts for w in drop_trailing(t, " "))
+    assert dict(rows(word_count(lines(*texts)))) == dict(expected)

@@ -1,0 +1,154 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tabflow.sources.jdbc import JdbcTarget, read_jdbc
+from tabflow.sources.lines import lines_after_header, offset_lines, sequence_file, text_lines
+from tabflow.sources.partitions import scan_partitions
+from tabflow.sinks.jdbc import load_jdbc
+from tests.helpers import rows
+
+SCHEMA = "kind string, year int, day date"
+
+
+@pytest.fixture
+def daily(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    days = ["2011-12-31", "2012-01-01", "2012-06-01", "2013-06-11", "2013-06-12"]
+    data = [(f"{k} {d}", k, int(d[:4]), d) for d in days for k in ("a", "b")]
+    spark.createDataFrame(data, "value string, kind string, year int, day string").write.partitionBy(
+        "kind", "year", "day"
+    ).text(path)
+    return text_lines(spark, path, SCHEMA)
+
+
+def test_ranges_include_both_ends(daily):
+    found = scan_partitions(
+        daily, ["kind", "year", "day"], ["a", "2012:2013", "2012-01-01:2013-06-11"]
+    )
+    assert sorted(r["day"] for r in found.collect()) == [
+        date(2012, 1, 1),
+        date(2012, 6, 1),
+        date(2013, 6, 11),
+    ]
+
+
+def test_empty_lists_mean_the_whole_table(daily):
+    assert scan_partitions(daily).count() == 10
+
+
+def test_pair_and_single_values(daily):
+    assert scan_partitions(daily, ["year", "kind"], [(2012, 2012), "b"]).count() == 2
+    assert scan_partitions(daily, ["year"], [2011]).count() == 2
+
+
+def test_list_lengths_must_match(daily):
+    with pytest.raises(ValueError):
+        scan_partitions(daily, ["year"], [])
+
+
+def test_predicates_prune_folders(daily, plan):
+    text = plan(scan_partitions(daily, ["year", "day"], ["2012", "2012-01-01:2012-02-01"]))
+    filters = text.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "year" in filters and "day" in filters
+    assert "Filter (" not in text
+
+
+def brute_offsets(content):
+    """Line starts, where a line ends at \\n, \\r\\n or \\r."""
+    found, start, i = [], 0, 0
+    while i < len(content):
+        if content[i : i + 2] == b"\r\n":
+            found.append((start, content[start:i].decode()))
+            i += 2
+            start = i
+        elif content[i : i + 1] in (b"\n", b"\r"):
+            found.append((start, content[start:i].decode()))
+            i += 1
+            start = i
+        else:
+            i += 1
+    if start < len(content):
+        found.append((start, content[start:].decode()))
+    return found
+
+
+@pytest.mark.parametrize("split_bytes", [None, 1000])
+def test_offsets_are_bytes(spark, tmp_path, split_bytes):
+    text = "".join(f"Zeile {i} é\n" if i % 3 else f"x{i}\r\n\n" for i in range(400)) + "last"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_bytes(text.encode())
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    key = "mapreduce.input.fileinputformat.split.maxsize"
+    if split_bytes:
+        hadoop.set(key, str(split_bytes))
+    try:
+        df = offset_lines(spark, str(tmp_path / "in"))
+        assert [tuple(r) for r in df.collect()] == brute_offsets(text.encode())
+        if split_bytes:
+            assert df.rdd.getNumPartitions() > 3
+    finally:
+        hadoop.unset(key)
+
+
+def test_offsets_start_again_in_each_file(spark, tmp_path):
+    for folder, content in (("x=1", "ab\ncd\n"), ("x=2", "efg\nh")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "f").write_text(content)
+    assert rows(offset_lines(spark, str(tmp_path))) == [(0, "ab"), (0, "efg"), (3, "cd"), (4, "h")]
+
+
+@pytest.mark.parametrize("split_bytes", ["134217728", "64"])
+def test_header_is_skipped_once_per_file(spark, tmp_path, conf, split_bytes):
+    conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    expected = []
+    for name, count in (("a.csv", 40), ("b.csv", 3), ("c.csv", 1), ("d.csv", 0)):
+        data = [f"{name}-{i % 7}" for i in range(count)]
+        # the header text comes back as data further down and must stay
+        data += ["head one"] if count > 2 else []
+        expected += data
+        head = ["head one", "head two"] if name != "d.csv" else ["head one"]
+        (tmp_path / name).write_text("\n".join(head + data) + "\n")
+    found = lines_after_header(spark, str(tmp_path), 2)
+    assert sorted(r["value"] for r in found.collect()) == sorted(expected)
+
+
+def test_sequence_file_keys_and_values(spark, tmp_path):
+    path = str(tmp_path / "seq")
+    spark.sparkContext.parallelize([(1, "a\tb"), (2, "é")], 2).saveAsSequenceFile(path)
+    df = sequence_file(spark, path, "key bigint, value string")
+    assert rows(df) == [(1, "a\tb"), (2, "é")]
+    assert dict(df.dtypes) == {"key": "bigint", "value": "string"}
+
+
+@pytest.fixture
+def database():
+    return JdbcTarget(
+        "jdbc:derby:memory:sources;create=true",
+        "org.apache.derby.jdbc.EmbeddedDriver",
+        {"user": "someone", "password": "secret"},
+    )
+
+
+def test_jdbc_reads_every_row_once_in_parallel(spark, database):
+    df = spark.range(-50, 1000, 3).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    load_jdbc(df, database, "numbers")
+    found = read_jdbc(spark, database, "numbers", "id", partitions=5)
+    assert found.rdd.getNumPartitions() == 5
+    assert rows(found) == rows(df)
+
+
+def test_jdbc_pushes_filters_and_columns(spark, database, plan):
+    load_jdbc(spark.range(10).withColumn("b", F.lit(1)), database, "pushed")
+    text = plan(read_jdbc(spark, database, "pushed", "id").where("id > 5").select("id"))
+    assert "GreaterThan(id,5)" in text and "ReadSchema: struct<id:bigint>" in text
+
+
+def test_jdbc_reads_an_empty_table(spark, database):
+    load_jdbc(spark.range(0), database, "nothing")
+    assert read_jdbc(spark, database, "nothing", "id").count() == 0
+
+
+def test_credentials_are_not_shown(database):
+    assert "secret" not in repr(database) and "someone" not in repr(database)
