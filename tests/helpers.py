@@ -1,7 +1,6 @@
 """Plain Python versions of the text rules, and a sender for batch tests."""
 
 import json
-import os
 import uuid
 
 
@@ -23,8 +22,12 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def save_batch(batch):
-    """Writes each batch it is given to a file of its own."""
-    folder = os.environ["TABFLOW_TEST_BATCHES"]
-    with open(f"{folder}/{uuid.uuid4().hex}.json", "w") as out:
+def save_batch(batch, folder="folder"):
+    """Writes each batch to a file of its own, in the folder its records name."""
+    with open(f"{batch[0][folder]}/{uuid.uuid4().hex}.json", "w") as out:
         json.dump(batch, out)
+
+
+def save_users(batch):
+    """The same for user records, which name the folder as their user name."""
+    save_batch(batch, "username")

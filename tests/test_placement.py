@@ -1,0 +1,42 @@
+from pyspark.sql import functions as F
+
+from tabflow.operators.placement import cluster_rows
+
+
+def by_task(df):
+    return (
+        df.withColumn("task", F.spark_partition_id())
+        .withColumn("place", F.monotonically_increasing_id())
+        .collect()
+    )
+
+
+def test_equal_keys_share_a_task_and_tasks_are_sorted(spark):
+    df = spark.range(1000).select((F.col("id") % 37).alias("k"), "id")
+    found = by_task(cluster_rows(df, "k"))
+    assert sorted(r["id"] for r in found) == list(range(1000))
+    tasks = {}
+    for r in found:
+        tasks.setdefault(r["k"], set()).add(r["task"])
+    assert all(len(t) == 1 for t in tasks.values())
+    ordered = sorted(found, key=lambda r: r["place"])
+    for a, b in zip(ordered, ordered[1:]):
+        assert a["task"] != b["task"] or a["k"] <= b["k"]
+
+
+def test_partition_count_is_used(spark, plan):
+    df = spark.range(10)
+    assert "hashpartitioning(id#" in plan(cluster_rows(df, "id", 3))
+    assert ", 3), REBALANCE" in plan(cluster_rows(df, "id", 3))
+
+
+def test_hot_key_is_split_over_tasks(spark, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id"
+    )
+    found = cluster_rows(df, "k").withColumn("task", F.spark_partition_id())
+    hot = found.where("k = 1").groupBy("task").count().collect()
+    assert len(hot) > 1
+    expected = sum(1 for i in range(200_000) if i % 3 == 0 or i == 1)
+    assert sum(r["count"] for r in hot) == expected

@@ -1,0 +1,138 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tabflow.checks.inputs import fresh_name
+from tabflow.plans import graphs, lists, places, relational
+from tabflow.sinks.jdbc import load_jdbc
+from tabflow.sources.jdbc import JdbcTarget
+from tests.helpers import rows
+
+
+@pytest.fixture
+def out(tmp_path):
+    return str(tmp_path / "out")
+
+
+@pytest.fixture
+def database():
+    return JdbcTarget(
+        "jdbc:derby:memory:plans;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    )
+
+
+def texts(spark, path):
+    return sorted(r["value"] for r in spark.read.text(path).collect())
+
+
+def put(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def test_uniques_over_several_days(spark, tmp_path, out):
+    table = tmp_path / "ids"
+    put(table / "kind=s" / "day=2012-01-01" / "f", "1\ta,b\n2\tc\n")
+    put(table / "kind=s" / "day=2012-01-02" / "f", "1\tb,c\nNULL\tz\n")
+    put(table / "kind=s" / "day=2012-01-03" / "f", "1\td\n")
+    put(table / "kind=u" / "day=2012-01-01" / "f", "1\te\n")
+    schema = "kind string, day date"
+    where = (["kind", "day"], ["s", "2012-01-01:2012-01-02"])
+    assert lists.count_uniques(spark, str(table), out, schema, *where) == 2
+    assert texts(spark, out) == ["1\t3", "2\t1"]
+    assert lists.count_uniques(spark, str(table), out, schema) == 2
+    assert texts(spark, out) == ["1\t5", "2\t1"]
+
+
+def test_sequence_file_jobs(spark, tmp_path, out):
+    path = str(tmp_path / "seq")
+    pairs = [("a b a", "one\ttwo"), ("b", "three")]
+    spark.sparkContext.parallelize(pairs, 2).saveAsSequenceFile(path)
+    assert lists.sequence_to_text(spark, path, out) == 2
+    assert texts(spark, out) == ["one\ttwo", "three"]
+    assert lists.count_words(spark, path, out) == 2
+    assert texts(spark, out) == ["a\t2", "b\t2"]
+
+
+def test_copy_with_offsets(spark, tmp_path, out):
+    put(tmp_path / "in" / "f", "ab\n\nc\td\n")
+    assert lists.copy_with_offsets(spark, str(tmp_path / "in"), out) == 3
+    assert texts(spark, out) == ["0\tab", "3\t", "4\tc\td"]
+
+
+def test_pairs_job_refuses_existing_output(spark, tmp_path, out):
+    put(tmp_path / "in" / "t=5" / "f", "1\t2\n1\t2\nNULL\t3\n")
+    put(tmp_path / "in" / "t=6" / "f", "9\t9\n")
+    job = (spark, str(tmp_path / "in"), out, "t bigint", ["t"], ["5"])
+    assert graphs.clean_pairs(*job) == 2
+    assert texts(spark, out) == ["1\t2", "1\t2"]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        graphs.clean_pairs(*job)
+
+
+def test_followers_job_runs_twice(spark, tmp_path):
+    put(tmp_path / "in" / "t=5" / "f", "1\t2\n2\t1\n1\t2\n")
+    for _ in range(2):
+        store = graphs.load_followers(
+            spark, str(tmp_path / "in"), str(tmp_path / "g"), "t bigint", ["t"], [5]
+        )
+    assert rows(store.edges().select("edge")) == [("1:2",), ("2:1",)]
+    assert rows(store.nodes()) == [(0, 1), (1, 2)]
+
+
+def test_users_job_sends_every_record(spark, tmp_path):
+    sent = tmp_path / "sent"
+    sent.mkdir()
+    lines = "".join(f"{i}\t{sent}\n" for i in range(12)) + f"NULL\t{sent}\n\t\t\n"
+    put(tmp_path / "in" / "f", lines)
+    graphs.load_users(spark, str(tmp_path / "in"), "tests.helpers:save_users", size=5)
+    batches = [json.loads(p.read_text()) for p in sent.iterdir()]
+    assert sorted(len(b) for b in batches) == [2, 5, 5]
+    assert sorted(r["userid"] for b in batches for r in b) == list(range(12))
+
+
+def test_city_locations_job_appends(spark, tmp_path, database):
+    feed = "\t".join(["1", "Lyon", "", "", "45.7", "4.8", "", "", "FR", "", "84"])
+    put(tmp_path / "feed" / "f", f"{feed}\n{feed}\n")
+    cities = spark.createDataFrame([(7, "Lyon"), (8, "Lyon")], "city_id bigint, city string")
+    when = F.lit("2013-06-01 00:00:00").cast("timestamp")
+    for total in (2, 4):
+        job = (spark, str(tmp_path / "feed"), cities, database, "city_locations", when)
+        if total == 2:
+            load_jdbc(
+                spark.createDataFrame(
+                    [],
+                    "city_id bigint, region string, country string, latitude double, "
+                    "longitude double, ts_added timestamp",
+                ),
+                database,
+                "city_locations",
+            )
+        assert places.load_city_locations(*job) == 2
+        stored = database.apply(spark.read).option("dbtable", "city_locations").load()
+        assert stored.count() == total
+    assert rows(stored.select("city_id", "region").distinct()) == [(7, "84"), (8, "84")]
+
+
+def test_centroids_job(spark, tmp_path, out):
+    put(tmp_path / "loc.csv", 'c\nlocId,country\n1,"US","CA","","",1.5,2.5,,\n2,"US","","x",,,,\n')
+    assert places.extract_centroids(spark, str(tmp_path / "loc.csv"), out) == 1
+    assert texts(spark, out) == ["US\tCA\t1.5\t2.5"]
+
+
+def test_export_job(spark, database):
+    songs = spark.range(40).select("id", F.concat(F.lit("s"), "id").alias("name"))
+    load_jdbc(songs, database, "songs")
+    name = fresh_name("landed")
+    job = ("(SELECT * FROM songs) AS q", "id", name, {"day": "2013-06-01"})
+    with pytest.raises(ValueError, match="does not exist"):
+        relational.export_partition(spark, database, *job)
+    spark.sql(
+        f"CREATE TABLE {name} (id BIGINT, name STRING, day STRING) USING parquet "
+        "PARTITIONED BY (day)"
+    )
+    assert relational.export_partition(spark, database, *job) == 40
+    assert relational.export_partition(spark, database, *job) == 40
+    assert rows(spark.table(name).select("id", "name")) == rows(songs)
+    spark.sql(f"DROP TABLE {name}")
