@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tabflow.fixed import NO_USER_ID, USER_FIELDS
@@ -17,11 +17,12 @@ from tabflow.functions.text import (
 )
 
 
-def edge_list(lines: DataFrame) -> DataFrame:
+def edge_list(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
     """``(src, dst)`` of every usable two-column line; duplicates stay.
 
     Dropped: lines with fewer than two fields, and lines where an end is empty
     or holds a null marker. An end that is not a number fails the job.
+    ``counts`` collects the numbers of lines read and kept while the job runs.
     """
     ends = lines.select(leading_fields(F.col("value"), 2).alias("fields")).select(
         trim_blanks(F.get("fields", F.lit(0))).alias("src"),
@@ -29,6 +30,12 @@ def edge_list(lines: DataFrame) -> DataFrame:
     )
     src, dst = F.col("src"), F.col("dst")
     usable = (src != "") & (dst != "") & ~has_null_marker(src) & ~has_null_marker(dst)
+    if counts is not None:
+        ends = ends.observe(
+            counts,
+            F.count(F.lit(1)).alias("lines"),
+            F.count_if(usable).alias("kept_lines"),
+        )
     return ends.select(kept(usable, strict_long(src).alias("src"), strict_long(dst).alias("dst")))
 
 

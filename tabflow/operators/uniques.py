@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tabflow.functions.text import (
@@ -23,30 +23,39 @@ def _id_lists(lines: DataFrame) -> DataFrame:
     )
 
 
-def id_tokens(lines: DataFrame) -> DataFrame:
+def id_tokens(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
     """``(id, token)`` for every item of every comma list.
 
     Lines whose id holds a null marker, and lines without a list, are dropped.
-    A kept id that is not a number fails the job.
+    A kept id that is not a number fails the job. ``counts`` collects the
+    numbers of lines read and rejected while the job runs.
     """
-    usable = ~has_null_marker(F.col("key")) & (F.col("list") != "")
-    lists = _id_lists(lines).select(
-        F.when(usable, strict_long(F.col("key"))).alias("id"),
+    marker, no_list = has_null_marker(F.col("key")), F.col("list") == ""
+    lists = _id_lists(lines)
+    if counts is not None:
+        lists = lists.observe(
+            counts,
+            F.count(F.lit(1)).alias("lines"),
+            F.count_if(marker).alias("marker_lines"),
+            F.count_if(~marker & no_list).alias("no_list_lines"),
+        )
+    usable = lists.select(
+        F.when(~marker & ~no_list, strict_long(F.col("key"))).alias("id"),
         "list",
         without_trailing(F.col("list"), ",").alias("body"),
     )
     tokens = F.when(F.col("id").isNotNull(), items(F.col("list"), F.col("body"), ","))
-    return lists.select("id", F.explode(tokens).alias("token"))
+    return usable.select("id", F.explode(tokens).alias("token"))
 
 
-def explode_unique(lines: DataFrame) -> DataFrame:
+def explode_unique(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Exact number of distinct list items per id: ``(id, uniq)``.
 
     The distinct pairs are shuffled by ``(id, token)`` after map-side
     deduplication and only their counts by ``id``, so an id that owns a large
     part of the data is spread over all tasks.
     """
-    pairs = id_tokens(lines).distinct()
+    pairs = id_tokens(lines, counts).distinct()
     return pairs.groupBy("id").agg(F.count(F.lit(1)).alias("uniq"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from tabflow.fixed import USER_BATCH_SIZE
 from tabflow.operators.clean import edge_list, user_records
@@ -23,11 +23,17 @@ def clean_pairs(
     partition_schema: str = "",
     columns: Sequence[str] = (),
     values: Sequence[PartitionValue] = (),
-) -> int:
-    """Usable pairs clustered by source, as ``src<TAB>dst`` lines; ``out`` must be new."""
+    partitions: int | None = None,
+) -> dict[str, int]:
+    """Usable pairs clustered by source, as ``src<TAB>dst`` lines; ``out`` must be new.
+
+    Returns the lines read and kept.
+    """
     lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
-    pairs = cluster_rows(edge_list(lines), "src")
-    return write_lines(to_tsv(pairs), out, replace=False)
+    counts = Observation()
+    pairs = cluster_rows(edge_list(lines, counts), "src", partitions)
+    write_lines(to_tsv(pairs), out, replace=False)
+    return counts.get
 
 
 def load_followers(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.operators.uniques import explode_unique, word_count
@@ -20,10 +20,15 @@ def count_uniques(
     partition_schema: str = "",
     columns: Sequence[str] = (),
     values: Sequence[PartitionValue] = (),
-) -> int:
-    """Distinct list items per id over the chosen partitions, as ``id<TAB>uniq`` lines."""
+) -> dict[str, int]:
+    """Distinct list items per id over the chosen partitions, as ``id<TAB>uniq`` lines.
+
+    Returns the lines read and rejected and the ids written.
+    """
     lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
-    return write_lines(to_tsv(explode_unique(lines)), out)
+    counts = Observation()
+    ids = write_lines(to_tsv(explode_unique(lines, counts)), out)
+    return {**counts.get, "ids": ids}
 
 
 def sequence_to_text(spark: SparkSession, path: str, out: str) -> int:

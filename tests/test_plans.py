@@ -39,9 +39,14 @@ def test_uniques_over_several_days(spark, tmp_path, out):
     put(table / "kind=u" / "day=2012-01-01" / "f", "1\te\n")
     schema = "kind string, day date"
     where = (["kind", "day"], ["s", "2012-01-01:2012-01-02"])
-    assert lists.count_uniques(spark, str(table), out, schema, *where) == 2
+    assert lists.count_uniques(spark, str(table), out, schema, *where) == {
+        "lines": 4,
+        "marker_lines": 1,
+        "no_list_lines": 0,
+        "ids": 2,
+    }
     assert texts(spark, out) == ["1\t3", "2\t1"]
-    assert lists.count_uniques(spark, str(table), out, schema) == 2
+    assert lists.count_uniques(spark, str(table), out, schema)["lines"] == 6
     assert texts(spark, out) == ["1\t5", "2\t1"]
 
 
@@ -65,7 +70,7 @@ def test_pairs_job_refuses_existing_output(spark, tmp_path, out):
     put(tmp_path / "in" / "t=5" / "f", "1\t2\n1\t2\nNULL\t3\n")
     put(tmp_path / "in" / "t=6" / "f", "9\t9\n")
     job = (spark, str(tmp_path / "in"), out, "t bigint", ["t"], ["5"])
-    assert graphs.clean_pairs(*job) == 2
+    assert graphs.clean_pairs(*job) == {"lines": 3, "kept_lines": 2}
     assert texts(spark, out) == ["1\t2", "1\t2"]
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         graphs.clean_pairs(*job)
