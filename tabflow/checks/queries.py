@@ -106,14 +106,14 @@ def follow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the shipped lines first, then everything; stored edges keep their ids."""
     everything = inputs.follower_lines(table(spark, sf_dir, "lineitem"))
-    store = GraphStore(spark, scratch_path(spark, "graph"))
+    store = GraphStore.open(spark, scratch_path(spark, "graph"))
     store.upsert(clean.edge_list(everything.where(F.col("l_linestatus") == "F")))
     store.upsert(clean.edge_list(everything))
     return store.edges()
 
 
 def _loaded_graph(spark: SparkSession, sf_dir: str) -> GraphStore:
-    store = GraphStore(spark, scratch_path(spark, "graph"))
+    store = GraphStore.open(spark, scratch_path(spark, "graph"))
     store.upsert(_pairs(spark, sf_dir))
     return store
 

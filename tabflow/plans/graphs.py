@@ -46,7 +46,7 @@ def load_followers(
 ) -> GraphStore:
     """Create the missing nodes and edges of the chosen follower partitions."""
     lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
-    store = GraphStore(spark, root)
+    store = GraphStore.open(spark, root)
     store.upsert(edge_list(lines))
     return store
 

@@ -11,10 +11,10 @@ from tabflow.operators.graph import follow_nodes, follow_pairs, only_new, relati
 from tabflow.operators.numbering import dense_numbers
 from tabflow.scratch import staged
 
-NODE_SCHEMA = "node_id bigint, userid bigint"
-EDGE_SCHEMA = (
-    "rel_id bigint, edge string, src bigint, dst bigint, rel_type string, name string"
-)
+TABLES = {
+    "nodes": "node_id bigint, userid bigint",
+    "edges": "rel_id bigint, edge string, src bigint, dst bigint, rel_type string, name string",
+}
 
 
 @dataclass(frozen=True)
@@ -24,16 +24,22 @@ class GraphStore:
     spark: SparkSession
     root: str
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> GraphStore:
+        """The store at ``root``; its tables are created empty if they are missing."""
+        for table, schema in TABLES.items():
+            empty = spark.createDataFrame([], schema)
+            empty.write.mode("ignore").parquet(f"{root}/{table}")
+        return cls(spark, root)
+
     def nodes(self) -> DataFrame:
-        return self._read("nodes", NODE_SCHEMA)
+        return self._read("nodes")
 
     def edges(self) -> DataFrame:
-        return self._read("edges", EDGE_SCHEMA)
+        return self._read("edges")
 
-    def _read(self, table: str, schema: str) -> DataFrame:
-        path = f"{self.root}/{table}"
-        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
+    def _read(self, table: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{table}")
 
     def upsert(self, pairs: DataFrame) -> None:
         """Create the nodes and edges of ``(src, dst)`` pairs that do not exist yet.

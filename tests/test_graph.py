@@ -16,7 +16,7 @@ def pairs(spark):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return GraphStore(spark, str(tmp_path / "graph"))
+    return GraphStore.open(spark, str(tmp_path / "graph"))
 
 
 def test_nodes_and_edges(pairs):

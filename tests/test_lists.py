@@ -103,13 +103,12 @@ def test_hot_id_is_counted_exactly(spark):
     assert len(found) == 20_000 + (0 if 7 % 3 else 1)
 
 
-def test_words_of_the_sample_files(lines):
-    one = "Hello World Hello Hadoop\nYes No Yes No\n".split("\n")[:2] + [""]
-    two = ["hadoop yup hadoop yum", "hive yeoh hbase yeoh", "hbase neo hive new"]
-    found = dict(rows(word_count(lines(*one, *two))))
-    expected = Counter(w for line in one + two for w in drop_trailing(line, " "))
+def test_words_of_several_texts(lines):
+    texts = ["red blue red Red", "no yes no", "", "  red", "green  blue  "]
+    found = dict(rows(word_count(lines(*texts))))
+    expected = Counter(w for t in texts for w in drop_trailing(t, " "))
     assert found == dict(expected)
-    assert found["yeoh"] == 2 and found["Hadoop"] == 1 and found[""] == 1
+    assert found["red"] == 3 and found["Red"] == 1 and found[""] == 4
 
 
 @few

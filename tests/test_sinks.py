@@ -104,6 +104,17 @@ def test_a_failed_export_leaves_the_old_partition(spark, table):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_a_table_of_text_lines(spark):
+    name = fresh_name("text")
+    spark.sql(f"CREATE TABLE {name} (value STRING, day STRING) USING text PARTITIONED BY (day)")
+    df = spark.range(3).withColumn("n", F.lit(None).cast("string"))
+    for day in ("1", "2", "1"):
+        overwrite_partition(files.to_tsv(df), name, {"day": day})
+    found = sorted(tuple(r) for r in spark.table(name).collect())
+    assert found == [(f"{i}\t\\N", d) for i in range(3) for d in "12"]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_the_table_and_columns_must_exist(spark, table):
     with pytest.raises(ValueError, match="does not exist"):
         overwrite_partition(spark.range(1), "no_such_table", {"p": "a"})
