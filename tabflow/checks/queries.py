@@ -106,20 +106,20 @@ def follow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the shipped lines first, then everything; stored edges keep their ids."""
     everything = inputs.follower_lines(table(spark, sf_dir, "lineitem"))
-    store = GraphStore.open(spark, scratch_path(spark, "graph"))
-    store.upsert(clean.edge_list(everything.where(F.col("l_linestatus") == "F")))
-    store.upsert(clean.edge_list(everything))
-    return store.edges()
+    shipped = everything.where(F.col("l_linestatus") == "F")
+    return _loaded_graph(spark, clean.edge_list(shipped), clean.edge_list(everything)).edges()
 
 
-def _loaded_graph(spark: SparkSession, sf_dir: str) -> GraphStore:
-    store = GraphStore.open(spark, scratch_path(spark, "graph"))
-    store.upsert(_pairs(spark, sf_dir))
+def _loaded_graph(spark: SparkSession, *loads: DataFrame) -> GraphStore:
+    store = GraphStore.open(spark, inputs.fresh_name("graph"), scratch_path(spark, "graph"))
+    for pairs in loads:
+        store.upsert(pairs)
+    store.forget()
     return store
 
 
 def edge_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _loaded_graph(spark, sf_dir)
+    store = _loaded_graph(spark, _pairs(spark, sf_dir))
     return graph.edge_dump(store.edges(), store.nodes())
 
 

@@ -39,16 +39,14 @@ def clean_pairs(
 def load_followers(
     spark: SparkSession,
     table: str,
-    root: str,
+    store: GraphStore,
     partition_schema: str = "",
     columns: Sequence[str] = (),
     values: Sequence[PartitionValue] = (),
-) -> GraphStore:
+) -> None:
     """Create the missing nodes and edges of the chosen follower partitions."""
     lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
-    store = GraphStore.open(spark, root)
     store.upsert(edge_list(lines))
-    return store
 
 
 def load_users(

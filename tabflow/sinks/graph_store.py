@@ -11,26 +11,46 @@ from tabflow.operators.graph import follow_nodes, follow_pairs, only_new, relati
 from tabflow.operators.numbering import dense_numbers
 from tabflow.scratch import staged
 
-TABLES = {
+COLUMNS = {
     "nodes": "node_id bigint, userid bigint",
     "edges": "rel_id bigint, edge string, src bigint, dst bigint, rel_type string, name string",
 }
+KEYS = {"nodes": ["userid"], "edges": ["src", "dst"]}
+IDS = {"nodes": "node_id", "edges": "rel_id"}
 
 
 @dataclass(frozen=True)
 class GraphStore:
-    """Node and edge tables below one folder. One loader may write at a time."""
+    """Catalog tables ``<name>_nodes`` and ``<name>_edges``, bucketed by their keys.
+
+    A load of any size joins the stored keys where they lie: a small one is
+    broadcast to them, a large one is shuffled into their buckets. The stored
+    graph itself is never shuffled. One loader may write at a time.
+    """
 
     spark: SparkSession
-    root: str
+    name: str
+    location: str
+    buckets: int
 
     @classmethod
-    def open(cls, spark: SparkSession, root: str) -> GraphStore:
-        """The store at ``root``; its tables are created empty if they are missing."""
-        for table, schema in TABLES.items():
-            empty = spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(f"{root}/{table}")
-        return cls(spark, root)
+    def open(
+        cls, spark: SparkSession, name: str, location: str, buckets: int | None = None
+    ) -> GraphStore:
+        """The store ``name``; its tables are created at ``location`` if they are missing.
+
+        ``buckets`` defaults to the shuffle partitions of the session. Fewer
+        than those make Spark shuffle the stored side of large loads.
+        """
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for table, columns in COLUMNS.items():
+            keys = ", ".join(KEYS[table])
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name}_{table} ({columns}) USING parquet "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS "
+                f"LOCATION '{location}/{table}'"
+            )
+        return cls(spark, name, location, buckets)
 
     def nodes(self) -> DataFrame:
         return self._read("nodes")
@@ -39,7 +59,13 @@ class GraphStore:
         return self._read("edges")
 
     def _read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{table}")
+        """The rows without their buckets, so that joins on one end can split hot users."""
+        return self.spark.read.schema(COLUMNS[table]).parquet(f"{self.location}/{table}")
+
+    def forget(self) -> None:
+        """Remove the catalog entries; the files stay and ``open`` finds them again."""
+        for table in COLUMNS:
+            self.spark.sql(f"DROP TABLE {self.name}_{table}")
 
     def upsert(self, pairs: DataFrame) -> None:
         """Create the nodes and edges of ``(src, dst)`` pairs that do not exist yet.
@@ -49,17 +75,16 @@ class GraphStore:
         in key order.
         """
         batch = staged(follow_pairs(pairs), "pairs")
-        users = self._numbered(follow_nodes(batch), self.nodes(), "node_id", ["userid"])
-        self._append("nodes", users)
-        edges = self._numbered(batch, self.edges(), "rel_id", ["src", "dst"])
-        self._append("edges", relationships(edges))
-
-    def _numbered(
-        self, rows: DataFrame, stored: DataFrame, id_column: str, keys: list[str]
-    ) -> DataFrame:
-        start = stored.agg(F.coalesce(F.max(id_column) + 1, F.lit(0))).first()[0]
-        new = staged(only_new(rows, stored, keys), "new")
-        return dense_numbers(new, id_column, order_by=keys, unique=True, start=start)
+        self._append("nodes", self._numbered("nodes", follow_nodes(batch)))
+        self._append("edges", relationships(self._numbered("edges", batch)))
+
+    def _numbered(self, table: str, rows: DataFrame) -> DataFrame:
+        stored = self.spark.table(f"{self.name}_{table}")
+        start = stored.agg(F.coalesce(F.max(IDS[table]) + 1, F.lit(0))).first()[0]
+        new = staged(only_new(rows, stored, KEYS[table]), "new")
+        return dense_numbers(new, IDS[table], KEYS[table], unique=True, start=start)
 
     def _append(self, table: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.root}/{table}")
+        target = self.spark.table(f"{self.name}_{table}")
+        per_bucket = rows.repartition(self.buckets, *KEYS[table])  # one file each
+        per_bucket.select(*target.columns).write.insertInto(f"{self.name}_{table}")

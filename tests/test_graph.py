@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from tabflow.checks.inputs import fresh_name
 from tabflow.operators import graph as G
 from tabflow.sinks.graph_store import GraphStore
 from tests.helpers import rows
@@ -16,7 +17,9 @@ def pairs(spark):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return GraphStore.open(spark, str(tmp_path / "graph"))
+    opened = GraphStore.open(spark, fresh_name("graph"), str(tmp_path / "graph"))
+    yield opened
+    opened.forget()
 
 
 def test_nodes_and_edges(pairs):
@@ -77,10 +80,8 @@ def test_incremental_loads_keep_ids_and_reach_the_same_graph(store, pairs):
 
 
 def test_interrupted_load_is_finished_by_the_next(store, pairs):
-    nodes = store._numbered(
-        G.follow_nodes(pairs(PAIRS)), store.nodes(), "node_id", ["userid"]
-    )
-    store._append("nodes", nodes)  # the edges never arrive
+    store._append("nodes", store._numbered("nodes", G.follow_nodes(pairs(PAIRS))))
+    # the edges never arrive
     store.upsert(pairs(PAIRS))
     assert store.nodes().count() == 5 and store.edges().count() == 5
 
@@ -93,6 +94,33 @@ def test_only_new_with_and_without_broadcast(pairs, conf, threshold):
     assert rows(new) == [(1, 1), (2, 2)]
 
 
+def test_a_store_is_found_again(spark, store, pairs):
+    store.upsert(pairs(PAIRS[:2]))
+    store.forget()
+    again = GraphStore.open(spark, store.name, store.location)
+    again.upsert(pairs(PAIRS))
+    assert rows(again.edges().select("rel_id", "edge"))[:2] == [(0, "1:2"), (1, "2:1")]
+    assert again.edges().count() == 5
+
+
+def test_the_stored_side_of_a_large_load_is_not_shuffled(spark, store, pairs, conf, plan):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    store.upsert(pairs(PAIRS))
+    batch = pairs(PAIRS).distinct()
+    stored = spark.table(f"{store.name}_edges")
+    text = plan(G.only_new(batch, stored, ["src", "dst"]))
+    scan = text[: text.index("FileScan")].splitlines()
+    above = [line for line in scan if "Join" in line or "Exchange" in line]
+    assert "LeftSemi" in above[-1], text  # the scan sits right below the join
+    assert f"Bucketed: true" in text
+
+
+def test_each_load_writes_one_file_per_bucket(store, pairs):
+    store.upsert(pairs([(i, i + 1) for i in range(300)]))
+    files = [f for f in store.edges().inputFiles() if f.endswith(".parquet")]
+    assert 1 < len(files) <= store.buckets
+
+
 def test_dump_joins_both_ends(store, pairs):
     store.upsert(pairs(PAIRS))
     found = rows(G.edge_dump(store.edges(), store.nodes()))

@@ -1,11 +1,14 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabflow.checks.inputs import fresh_name
 from tabflow.plans import graphs, lists, places, relational
+from tabflow.sinks.graph_store import GraphStore
 from tabflow.sinks.jdbc import load_jdbc
+from tabflow.sinks.publish import publish_jdbc
 from tabflow.sources.jdbc import JdbcTarget
 from tests.helpers import rows
 
@@ -78,10 +81,9 @@ def test_pairs_job_refuses_existing_output(spark, tmp_path, out):
 
 def test_followers_job_runs_twice(spark, tmp_path):
     put(tmp_path / "in" / "t=5" / "f", "1\t2\n2\t1\n1\t2\n")
+    store = GraphStore.open(spark, fresh_name("g"), str(tmp_path / "g"))
     for _ in range(2):
-        store = graphs.load_followers(
-            spark, str(tmp_path / "in"), str(tmp_path / "g"), "t bigint", ["t"], [5]
-        )
+        graphs.load_followers(spark, str(tmp_path / "in"), store, "t bigint", ["t"], [5])
     assert rows(store.edges().select("edge")) == [("1:2",), ("2:1",)]
     assert rows(store.nodes()) == [(0, 1), (1, 2)]
 
@@ -141,3 +143,16 @@ def test_export_job(spark, database):
     assert relational.export_partition(spark, database, *job) == 40
     assert rows(spark.table(name).select("id", "name")) == rows(songs)
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_text_table_is_published(spark, tmp_path, database):
+    put(tmp_path / "in" / "f", "1\ta b\n2\t\\N\n")
+    bag = spark.createDataFrame([("chart", "none")], "property string, value string")
+    load_jdbc(bag, database, "bag")
+    item = relational.text_publication(
+        spark, "chart", "charts", str(tmp_path / "in"), "id bigint, title string"
+    )
+    publish_jdbc(spark, [item], datetime(2013, 6, 4), "bag", database)
+    live = database.apply(spark.read).option("dbtable", "bag").load().first()["value"]
+    stored = database.apply(spark.read).option("dbtable", f"charts_{live}").load()
+    assert rows(stored) == [(1, "a b"), (2, None)]
