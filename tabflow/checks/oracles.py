@@ -46,6 +46,20 @@ SELECT p_partkey AS song_id, p_name AS song_name, CAST(p_size AS BIGINT) AS arti
 FROM part
 """
 
+_LOCATIONS = f"""
+WITH cities AS (
+  SELECT min(p_partkey) AS city_id, p_name AS city FROM part GROUP BY p_name, p_brand
+)
+SELECT DISTINCT city_id, p_brand AS region, p_type AS country,
+       CAST(p_size AS DOUBLE) AS latitude, p_retailprice AS longitude,
+       '{LOAD_TIME}' AS ts_added
+FROM part JOIN cities ON p_name = city
+"""
+
+_LIVE = f"""
+'Table' || ((epoch_ms(TIMESTAMP '{SECOND_PUBLISH}') // 604800000 + 1) % 2 + 1) AS live_copy
+"""
+
 ORACLES: dict[str, str] = {
     "explode_unique": _UNIQUES.format(where=_KEPT_LISTS),
     "partition_range_scan": _UNIQUES.format(
@@ -120,15 +134,8 @@ SELECT c_custkey AS userid, c_name AS username,
        CAST(row_number() OVER (ORDER BY c_custkey) // {USERS_PER_BATCH} AS BIGINT) AS batch
 FROM customer WHERE {_KEPT_USERS}
 """,
-    "city_locations": f"""
-WITH cities AS (
-  SELECT min(p_partkey) AS city_id, p_name AS city FROM part GROUP BY p_name, p_brand
-)
-SELECT DISTINCT city_id, p_brand AS region, p_type AS country,
-       CAST(p_size AS DOUBLE) AS latitude, p_retailprice AS longitude,
-       '{LOAD_TIME}' AS ts_added
-FROM part JOIN cities ON p_name = city
-""",
+    "city_locations": _LOCATIONS,
+    "city_locations_collated": _LOCATIONS,
     "feed_by_country": """
 SELECT p_type AS country,
        p_partkey || chr(9) || p_name || chr(9) || p_name || chr(9) || chr(9) || p_size
@@ -155,11 +162,8 @@ SELECT *, '2013-06-02' AS test_part FROM ({_SONGS})
 """,
     "jdbc_export": f"SELECT *, '2013-06-01' AS test_part FROM ({_SONGS})",
     "jdbc_load": "SELECT c_custkey, c_name, c_acctbal FROM customer",
-    "ab_publish": f"""
-SELECT *, 'Table' || ((epoch_ms(TIMESTAMP '{SECOND_PUBLISH}') // 604800000 + 1) % 2 + 1)
-         AS live_copy
-FROM ({_SONGS})
-""",
+    "ab_publish": f"SELECT *, {_LIVE} FROM ({_SONGS})",
+    "jdbc_publish": f"SELECT c_custkey, c_name, c_acctbal, {_LIVE} FROM customer",
     "week_suffix": """
 SELECT event_id, 'Table' || ((epoch_ms(ts) // 604800000 + 1) % 2 + 1) AS suffix FROM events
 """,

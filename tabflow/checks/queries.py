@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.checks import inputs
@@ -143,16 +143,27 @@ def user_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbering.batch_numbers(users, USERS_PER_BATCH, order_by=["userid"])
 
 
-def city_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _locations(spark: SparkSession, sf_dir: str, city: Column, **options: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     located = geo.city_locations(
         geo.feed_places(inputs.feed_lines(part)),
-        inputs.known_cities(part),
+        inputs.known_cities(part).withColumn("city", city),
         ts_added=F.lit(LOAD_TIME).cast("timestamp_ntz"),
+        **options,
     )
     return located.withColumn("ts_added", F.col("ts_added").cast("string"))
 
 
+def city_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _locations(spark, sf_dir, F.col("city"))
+
+
+def city_locations_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City names in another case and padded, matched under a collation."""
+    city = F.concat(F.upper("city"), F.lit("  "))
+    return _locations(spark, sf_dir, city, collation="UTF8_LCASE_RTRIM")
+
+
 def feed_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = geo.keyed_by_country(inputs.feed_lines(table(spark, sf_dir, "part")))
     return placement.cluster_rows(keyed, "country").withColumnRenamed("value", "line")
@@ -250,6 +261,22 @@ def ab_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live
 
 
+def jdbc_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a relational database, with its pointer table beside it."""
+    target = inputs.database(spark)
+    name, pointer = inputs.fresh_name("customers"), inputs.fresh_name("pointers")
+    start = spark.createDataFrame([("customers", "")], "property string, value string")
+    jdbc.load_jdbc(start, target, pointer)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    old = customers.withColumn("c_acctbal", F.lit(0.0))
+    for rows, at in ((old, FIRST_PUBLISH), (customers, SECOND_PUBLISH)):
+        item = publish.Publication("customers", name, rows)
+        publish.publish_jdbc(spark, [item], at, pointer, target)
+    live = target.apply(spark.read).option("dbtable", pointer).load().first()["value"]
+    stored = read_jdbc(spark, target, f"{name}_{live}", "c_custkey")
+    return stored.withColumn("live_copy", F.lit(live))
+
+
 def week_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", standby_suffix(F.col("ts")).alias("suffix")
@@ -275,6 +302,7 @@ QUERIES: dict[str, Query] = {
         user_records,
         user_batches,
         city_locations,
+        city_locations_collated,
         feed_by_country,
         country_region,
         tsv_roundtrip,
@@ -282,6 +310,7 @@ QUERIES: dict[str, Query] = {
         jdbc_export,
         jdbc_load,
         ab_publish,
+        jdbc_publish,
         week_suffix,
     )
 }

@@ -76,7 +76,8 @@ def table(spark):
 
 
 def sizes(spark, table):
-    return {(r["p"], r["q"]): r["count"] for r in spark.table(table).groupBy("p", "q").count().collect()}
+    counts = spark.table(table).groupBy("p", "q").count().collect()
+    return {(r["p"], r["q"]): r["count"] for r in counts}
 
 
 def test_only_the_named_partition_is_replaced(spark, table):
@@ -237,9 +238,8 @@ def test_publishing_to_a_database(spark, database):
 def test_records_are_sent_in_bounded_batches(spark, tmp_path, monkeypatch):
     folder = tmp_path / "sent"
     folder.mkdir()
-    df = spark.range(0, 25, 1, 2).select(
-        F.lit(str(folder)).alias("folder"), "id", F.struct(F.lit("x").alias("city")).alias("location")
-    )
+    location = F.struct(F.lit("x").alias("city")).alias("location")
+    df = spark.range(0, 25, 1, 2).select(F.lit(str(folder)).alias("folder"), "id", location)
     send_in_batches(df, "tests.helpers:save_batch", size=5)
     batches = [json.loads(p.read_text()) for p in folder.iterdir()]
     assert all(len(b) <= 5 for b in batches)

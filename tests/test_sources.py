@@ -17,9 +17,8 @@ def daily(spark, tmp_path):
     path = str(tmp_path / "daily")
     days = ["2011-12-31", "2012-01-01", "2012-06-01", "2013-06-11", "2013-06-12"]
     data = [(f"{k} {d}", k, int(d[:4]), d) for d in days for k in ("a", "b")]
-    spark.createDataFrame(data, "value string, kind string, year int, day string").write.partitionBy(
-        "kind", "year", "day"
-    ).text(path)
+    df = spark.createDataFrame(data, "value string, kind string, year int, day string")
+    df.write.partitionBy("kind", "year", "day").text(path)
     return text_lines(spark, path, SCHEMA)
 
 
