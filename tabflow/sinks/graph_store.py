@@ -40,7 +40,8 @@ class GraphStore:
         """The store ``name``; its tables are created at ``location`` if they are missing.
 
         ``buckets`` defaults to the shuffle partitions of the session. Fewer
-        than those make Spark shuffle the stored side of large loads.
+        than those make Spark shuffle the stored side of large loads; more leave
+        more small files behind each small load.
         """
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         for table, columns in COLUMNS.items():

@@ -1,0 +1,43 @@
+from types import SimpleNamespace
+
+import pytest
+
+from tabflow.checks.inputs import database
+from tabflow.scratch import scratch_path, staged
+from tests.helpers import rows
+
+
+def session(settings, master, checkpoint_dir=None):
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint_dir)
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_scratch_is_below_the_configured_folder(spark):
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+    assert first != second
+
+
+def test_a_checkpoint_dir_set_in_code_is_used():
+    path = scratch_path(session({}, "spark://host:7077", "hdfs://data/cp"), "x")
+    assert path.startswith("hdfs://data/cp/x-")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session({}, "spark://host:7077"), "x")
+    assert "/x-" in scratch_path(session({}, "local[2]"), "x")
+
+
+def test_a_cluster_needs_a_database_setting():
+    with pytest.raises(RuntimeError, match="spark.tabflow.jdbc.url"):
+        database(session({}, "yarn"))
+    settings = {"spark.tabflow.jdbc.url": "jdbc:x:", "spark.tabflow.jdbc.driver": "d"}
+    assert database(session(settings, "yarn")).driver == "d"
+
+
+def test_staged_rows_are_the_same(spark):
+    df = spark.range(10).selectExpr("id", "array(id) AS a", "struct(id AS b) AS s")
+    found = staged(df, "x")
+    assert found.dtypes == df.dtypes and rows(found) == rows(df)
