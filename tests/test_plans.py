@@ -101,7 +101,7 @@ def test_users_job_sends_every_record(spark, tmp_path):
 
 def test_city_locations_job_appends(spark, tmp_path, database):
     feed = "\t".join(["1", "Lyon", "", "", "45.7", "4.8", "", "", "FR", "", "84"])
-    put(tmp_path / "feed" / "f", f"{feed}\n{feed}\n")
+    put(tmp_path / "feed" / "f", f"{feed}\n{feed}\nshort\n")
     cities = spark.createDataFrame([(7, "Lyon"), (8, "Lyon")], "city_id bigint, city string")
     when = F.lit("2013-06-01 00:00:00").cast("timestamp")
     for total in (2, 4):
@@ -116,7 +116,7 @@ def test_city_locations_job_appends(spark, tmp_path, database):
                 database,
                 "city_locations",
             )
-        assert places.load_city_locations(*job) == 2
+        assert places.load_city_locations(*job) == {"lines": 3, "no_city_lines": 1, "rows": 2}
         stored = database.apply(spark.read).option("dbtable", "city_locations").load()
         assert stored.count() == total
     assert rows(stored.select("city_id", "region").distinct()) == [(7, "84"), (8, "84")]
