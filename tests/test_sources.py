@@ -138,6 +138,13 @@ def test_jdbc_reads_every_row_once_in_parallel(spark, database):
     assert rows(found) == rows(df)
 
 
+def test_jdbc_reads_extreme_and_single_keys(spark, database):
+    for name, keys in (("extreme", [-(2**63), 0, 2**63 - 1]), ("single", [7, 7, 7])):
+        df = spark.createDataFrame([(k,) for k in keys], "id bigint")
+        load_jdbc(df, database, name)
+        assert rows(read_jdbc(spark, database, name, "id")) == rows(df)
+
+
 def test_jdbc_pushes_filters_and_columns(spark, database, plan):
     load_jdbc(spark.range(10).withColumn("b", F.lit(1)), database, "pushed")
     text = plan(read_jdbc(spark, database, "pushed", "id").where("id > 5").select("id"))
