@@ -69,3 +69,10 @@ def test_batches_are_bounded(spark):
 def test_columns_are_kept(spark):
     df = spark.range(3).withColumn("v", F.array(F.lit(1)))
     assert batch_numbers(df, 2).columns == ["id", "v", "batch"]
+
+
+def test_missing_keys_come_first(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 4 > 0, F.col("id")).alias("k"))
+    found = dense_numbers(df.repartition(3), "n", ["k"]).collect()
+    assert sorted(r["n"] for r in found) == list(range(100))
+    assert {r["n"] for r in found if r["k"] is None} == set(range(25))
