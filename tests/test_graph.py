@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabflow.checks.inputs import fresh_name
 from tabflow.operators import graph as G
@@ -130,3 +131,23 @@ def test_dump_joins_both_ends(store, pairs):
         for r in store.edges().collect()
     ]
     assert found == sorted(expected, key=repr)
+
+
+def test_a_hot_user_is_split_in_the_dump(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.shuffle.partitions", "8")
+    src = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    pairs = spark.range(0, 40_000, 1, 8).select(src.alias("src"), F.col("id").alias("dst"))
+    store = GraphStore.open(spark, fresh_name("hot"), str(tmp_path / "hot"))
+    store.upsert(pairs)
+    dump = G.edge_dump(store.edges().repartition(8), store.nodes())
+    found = dump.collect()
+    store.forget()
+    assert sorted((r["start_userid"], r["end_userid"]) for r in found) == sorted(
+        (7 if i % 3 == 0 else i, i) for i in range(40_000)
+    )
+    assert "SortMergeJoin(skew=true)" in dump._jdf.queryExecution().executedPlan().toString()
