@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabflow.llm import urls
+from tabflow.llm import decontaminate, licenses, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +20,33 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document, learned from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(docs, model)
+    out = toxicity.held_out(F.col("doc_id"))
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and notices with few errors in every document."""
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in every document, with its distance."""
+    found = decontaminate.find_items(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
+    "op5_toxicity": op5_toxicity,
+    "op7_license_scan": op7_license_scan,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
