@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, licenses, toxicity, urls
+from tabflow.llm import decontaminate, licenses, mixing, tokens, toxicity, urls
+from tabflow.scratch import scratch_path
+
+# The tokenizer of the registered query and the end id after each text.
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,11 +48,35 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "distance")
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document a mix to target weights takes."""
+    docs = _table(spark, sf_dir, "documents")
+    size = mixing.word_count(F.col("text"))
+    mixed = mixing.mix(docs, F.array("source"), size)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def write_packed(docs: DataFrame) -> str:
+    """Encode documents with the query's tokenizer; the new dataset's folder."""
+    folder = scratch_path(docs.sparkSession, "tokens")
+    path = public_tokenizers.path(TOKENIZER)
+    tokens.write_tokens(docs, folder, path, end_id=END_ID, by_word=True)
+    return folder
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the packed files, read back from them."""
+    folder = write_packed(_table(spark, sf_dir, "documents"))
+    return tokens.token_checksums(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op5_toxicity": op5_toxicity,
+    "op6_source_mixing": op6_source_mixing,
     "op7_license_scan": op7_license_scan,
     "op8_decontamination": op8_decontamination,
+    "op10_token_output": op10_token_output,
 }
 
 ORACLES: dict[str, str] = {}
