@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, licenses, mixing, tokens, toxicity, urls
+from tabflow.llm import decontaminate, licenses, minhash, mixing, tokens, toxicity, urls
 from tabflow.scratch import scratch_path
 
 # The tokenizer of the registered query and the end id after each text.
@@ -20,6 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of two-word shingles."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then the cascade of hosts with a listed word, for every page."""
     judged = urls.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
@@ -71,6 +76,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op3_url_filter": op3_url_filter,
     "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
