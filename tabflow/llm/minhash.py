@@ -11,8 +11,10 @@ and Thorup, 2017). Large sets fill a sketch in a few rounds.
 Candidates share a band of coordinates. Texts with equal sets are one node. Within
 a band's bucket, nodes are not paired with each other but with the bucket's hub, the
 node that meets most others; links are confirmed on the full sets. Only nodes that
-stay outside the hub's component are then paired with the rest of the bucket, and
-only if neither their sketches nor their overlaps with the hub rule a link out.
+stay outside the hub's component are then held against the rest of the bucket. What
+two nodes share lies in the hub or outside it. If their parts inside it may be
+enough for a link, their sketches decide whether they become a candidate. If not,
+both must hold the same shingles outside it, which few do: they meet on those.
 """
 
 from __future__ import annotations
@@ -311,46 +313,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs.join(left, "a")
         .join(right, "b")
         .withColumn("both", both)
-        .select("a", "b", "both", (100 * F.col("both") >= percent * union).alias("linked"))
+        .select(
+            "a",
+            "b",
+            F.col("both").cast("bigint").alias("both"),
+            (100 * F.col("both") >= percent * union).alias("linked"),
+            F.array_except("x", "y").alias("own"),
+        )
     )
 
 
 def _rest(
     nodes: DataFrame, met: DataFrame, checked: DataFrame, found: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs of a bucket that may be linked but are in different components."""
-    planes = [F.col("planes")[i].alias(f"p{i}") for i in range(_PLANES * _LONGS)]
-    overlap = checked.select(F.col("a").alias("node"), F.col("b").alias("hub"), "both")
-    component = F.coalesce("component", "node")
-    seen = met.join(found, "node", "left").withColumn("component", component)
-    mixed = (
-        seen.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("key")
-    )
+    """Pairs with a common hub that may be linked but are in different components."""
     hub_is = found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    rows = staged(
-        seen.join(mixed, "key", "left_semi")
+    rows = (
+        checked.select(F.col("a").alias("node"), F.col("b").alias("hub"), "both", "own")
+        .join(found, "node", "left")
         .join(hub_is, "hub", "left")
-        .join(overlap, ["node", "hub"], "left")
-        .join(nodes.select("node", "n", *planes), "node")
+        .join(nodes.select("node", "n"), "node")
+        .withColumn("component", F.coalesce("component", "node"))
         .withColumn("loose", F.col("component") != F.coalesce("hub_component", "hub"))
-        .withColumn("both", F.coalesce(F.col("both").cast("bigint"), F.col("n")))
-        .where("node <> hub"),
-        "loose",
     )
-    a, b = rows.where("loose").alias("a"), rows.alias("b")
-    # what both can share: at most of the hub's items the smaller overlap, and of others too
-    most = F.least("a.both", "b.both") + F.least(
-        F.col("a.n") - F.col("a.both"), F.col("b.n") - F.col("b.both")
-    )
-    possible = 100 * most >= percent * (F.col("a.n") + F.col("b.n") - most)
-    apart = F.col("a.component") != F.col("b.component")
+    mixed = rows.where("loose").select("hub").distinct()
+    rows = staged(rows.join(mixed, "hub", "left_semi").drop("hub_component"), "loose")
+    return _inside(rows, nodes, met, percent).union(_outside(rows, percent)).distinct()
+
+
+def _apart() -> Column:
+    """Of rows ``a`` (loose) and ``b``: not yet connected, and each pair only once."""
     once = (F.col("a.node") < F.col("b.node")) | ~F.col("b.loose")
+    return (F.col("a.component") != F.col("b.component")) & once
+
+
+def _enough(shared: Column, percent: int) -> Column:
+    """Whether so many shared items would be a link of ``a`` and ``b``."""
+    return (100 + percent) * shared >= percent * (F.col("a.n") + F.col("b.n"))
+
+
+def _inside(rows: DataFrame, nodes: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket whose overlaps with the hub may be enough for a link."""
+    planes = [F.col("planes")[i].alias(f"p{i}") for i in range(_PLANES * _LONGS)]
+    kept = staged(
+        met.join(rows.drop("own"), ["node", "hub"]).join(nodes.select("node", *planes), "node"),
+        "inside",
+    )
+    a, b = kept.where("loose").alias("a"), kept.alias("b")
     near = _agreements("a", "b") >= _least_agreements(percent)
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & apart & once & possible & near)
-    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    may = _enough(F.least("a.both", "b.both"), percent) & near
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & _apart() & may)
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+
+
+def _outside(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs that must share items outside the hub, found by those items.
+
+    A link needs ``percent`` of the larger set, so each side needs that much of its own
+    less its overlap with the hub from outside. Of items in one order, two lists that
+    share ``need`` meet within all but the last ``need - 1`` of each (prefix filter).
+    """
+    need = F.greatest(F.lit(1), F.ceil(percent * F.col("n") / 100) - F.col("both"))
+    length = (F.size("own") - need + 1).cast("int")
+    items = (
+        rows.where(length > 0)
+        .withColumn("m", F.size("own"))
+        .withColumn("item", F.explode(F.slice("own", F.lit(1), length)))
+        .drop("own")
+    )
+    a, b = items.where("loose").alias("a"), items.alias("b")
+    most = F.least("a.both", "b.both") + F.least("a.m", "b.m")
+    same = (F.col("a.hub") == F.col("b.hub")) & (F.col("a.item") == F.col("b.item"))
+    pairs = a.join(b, same & _apart() & _enough(most, percent))
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
 def without_duplicates(
