@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, licenses, minhash, mixing, tokens, toxicity, urls
+from tabflow.llm import decontaminate, licenses, minhash, mixing, quality, tokens, toxicity, urls
 from tabflow.scratch import scratch_path
 
 # The tokenizer of the registered query and the end id after each text.
@@ -25,6 +25,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the n-gram score of every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.judge_quality(docs, labels)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then the cascade of hosts with a listed word, for every page."""
     judged = urls.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
@@ -77,6 +83,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
     "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
