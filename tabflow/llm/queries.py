@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, licenses, minhash, mixing, quality, tokens, toxicity, urls
+from tabflow.llm import decontaminate, licenses, minhash, mixing, quality, secrets, tokens, toxicity, urls
 from tabflow.scratch import scratch_path
 
 # The tokenizer of the registered query and the end id after each text.
@@ -67,6 +67,11 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns and random strings in every document."""
+    return secrets.digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
+
+
 def write_packed(docs: DataFrame) -> str:
     """Encode documents with the query's tokenizer; the new dataset's folder."""
     folder = scratch_path(docs.sparkSession, "tokens")
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mixing": op6_source_mixing,
     "op7_license_scan": op7_license_scan,
     "op8_decontamination": op8_decontamination,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_output": op10_token_output,
 }
 
