@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, licenses, minhash, mixing, quality, secrets, tokens, toxicity, urls
+from tabflow.llm import decontaminate, licenses, minhash, mixing, quality, secrets, suffixes, tokens, toxicity, urls
 from tabflow.scratch import scratch_path
 
 # The tokenizer of the registered query and the end id after each text.
@@ -37,6 +37,14 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that stand earlier."""
+    left = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score for every document, learned from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
     "op7_license_scan": op7_license_scan,
