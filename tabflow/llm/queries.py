@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and the SQL where SQL can express them."""
+"""The registered queries of this subpackage; those that SQL can express have it in ``ORACLES``."""
 
 from __future__ import annotations
 
@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, licenses, minhash, mixing, quality, secrets, suffixes, tokens, toxicity, urls
+from tabflow.llm import (
+    decontaminate,
+    licenses,
+    minhash,
+    mixing,
+    quality,
+    secrets,
+    suffixes,
+    tokens,
+    toxicity,
+    urls,
+)
+from tabflow.llm.oracles import ORACLES as ORACLES
 from tabflow.scratch import scratch_path
 
 # The tokenizer of the registered query and the end id after each text.
@@ -80,17 +92,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
-def write_packed(docs: DataFrame) -> str:
-    """Encode documents with the query's tokenizer; the new dataset's folder."""
-    folder = scratch_path(docs.sparkSession, "tokens")
-    path = public_tokenizers.path(TOKENIZER)
-    tokens.write_tokens(docs, folder, path, end_id=END_ID, by_word=True)
-    return folder
-
-
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the packed files, read back from them."""
-    folder = write_packed(_table(spark, sf_dir, "documents"))
+    folder = scratch_path(spark, "tokens")
+    path = public_tokenizers.path(TOKENIZER)
+    docs = _table(spark, sf_dir, "documents")
+    tokens.write_tokens(docs, folder, path, end_id=END_ID, by_word=True)
     return tokens.token_checksums(spark, folder)
 
 
@@ -106,5 +113,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_token_output": op10_token_output,
 }
-
-ORACLES: dict[str, str] = {}
