@@ -251,11 +251,9 @@ def near_duplicates(
 
     # ids with several texts tie the classes of those texts together
     member = known.select("id", "k1", "k2").join(classes, ["k1", "k2"])
-    ties = member.where("id <> node").groupBy("id").agg(
-        F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("rows")
-    )
-    ties = ties.where("rows > 1")
-    tied = ties.select("a", F.col("id").alias("b")).union(ties.select("b", "id"))
+    several = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
+    several = several.where("a <> z").select("id", "a")
+    tied = member.join(several, "id").select("a", F.col("node").alias("b"))
     found = components(links.select("a", "b").union(tied))
 
     named = facts.join(classes, ["k1", "k2"], "left").join(

@@ -1,0 +1,124 @@
+"""Brute-force versions of the operators, in plain Python."""
+
+import itertools
+import re
+from collections import Counter, defaultdict
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text, words):
+    found = WORD.findall((text or "").translate(LOWER))
+    if not found:
+        return frozenset()
+    if len(found) < words:
+        return frozenset([tuple(found)])
+    return frozenset(zip(*(found[i:] for i in range(words))))
+
+
+def near_duplicates(rows, words, percent=80):
+    """{id: (shingles, component, kept)} for unique ids, over all pairs."""
+    sets = {i: shingles(t, words) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
+
+
+def quality(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen = Counter(zip(words, words[1:], words[2:]))
+    covered = set()
+    for i in range(len(words) - 2):
+        if seen[tuple(words[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return (
+        len(words),
+        sum(map(len, words)),
+        symbols,
+        len(lines) - len(set(lines)),
+        len(covered),
+        len(words) < 50 or 100 * len(covered) > 50 * len(words),
+    )
+
+
+def repeats(rows, length=100):
+    """{id: (bytes, removed, spans, kept bytes)} for unique ids."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        data = (text or "").encode()
+        gone = [False] * len(data)
+        for p in range(len(data) - length + 1):
+            window = data[p : p + length]
+            if window in seen:
+                gone[p : p + length] = [True] * length
+            seen.add(window)
+        spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
+        out[i] = (len(data), sum(gone), spans, bytes(b for b, g in zip(data, gone) if not g))
+    return out
+
+
+def edit_distance(pattern, text):
+    """Least edits from ``pattern`` to any substring of ``text``."""
+    row = list(range(len(pattern) + 1))
+    best = row[-1]
+    for c in text:
+        last, row[0] = row[0], 0
+        for i, p in enumerate(pattern, 1):
+            last, row[i] = row[i], min(row[i] + 1, row[i - 1] + 1, last + (p != c))
+        best = min(best, row[-1])
+    return best
+
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    re.IGNORECASE | re.ASCII,
+)
+
+
+def secrets(text):
+    """Sorted (start, kind, end) of the three patterns."""
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def license_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def phrase_places(text, phrase):
+    words, wanted = license_words(text), phrase.split()
+    return [i for i in range(len(words)) if words[i : i + len(wanted)] == wanted]
+
+
+def reach(pairs):
+    """{node: smallest node reachable} of an edge list."""
+    near = defaultdict(set)
+    for a, b in pairs:
+        near[a].add(b)
+        near[b].add(a)
+    out = {}
+    for start in sorted(near):
+        todo = [] if start in out else [start]
+        while todo:
+            node = todo.pop()
+            if node not in out:
+                out[node] = start
+                todo += near[node]
+    return out

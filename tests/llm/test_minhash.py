@@ -1,0 +1,102 @@
+import random
+
+import numpy as np
+import pytest
+
+from tabflow.llm import minhash
+from tabflow.llm.components import components
+from tests.llm import plain
+
+
+def found(df):
+    return {r[0]: tuple(r)[1:] for r in df.select("doc_id", "n_shingles", "component_id", "kept").collect()}
+
+
+def near_copies(words, draw, copies, edits):
+    base = words(60)
+    out = [base]
+    for _ in range(copies):
+        copy = list(base)
+        for at in draw.sample(range(60), draw.randint(0, edits)):
+            copy[at] = draw.choice(["x", "y", "z"]) + str(draw.random())
+        out.append(copy)
+    return [" ".join(w) for w in out]
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_components_agree_with_all_pairs(docs, words, size):
+    draw = random.Random(size)
+    texts = [t for edits in (2, 6, 12) for t in near_copies(words, draw, 25, edits)]
+    texts += [" ".join(words(draw.randint(1, 30))) for _ in range(40)]
+    draw.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert found(minhash.near_duplicates(docs(*rows), size)) == plain.near_duplicates(rows, size)
+
+
+def test_a_chain_is_one_component(docs, words):
+    base = words(50)
+    chain = [" ".join([*(f"n{i}" for i in range(k)), *base[k:]]) for k in range(0, 50, 3)]
+    rows = list(enumerate(chain))
+    expected = plain.near_duplicates(rows, 2)
+    assert found(minhash.near_duplicates(docs(*rows), 2)) == expected
+    assert len({c for _, c, _ in expected.values()}) < len(rows)
+
+
+def test_loose_nodes_meet_outside_the_hub(docs, words):
+    # two groups around one hub, each too far from it, but linked among themselves
+    base = words(60)
+    side = [f"a{i}" for i in range(9)] + base[9:]
+    texts = [" ".join(base)]
+    texts += [" ".join([*side[:-k], *base[-k:]]) if k else " ".join(side) for k in range(4)]
+    texts += [" ".join([*base[:-2], f"u{i}", f"v{i}"]) for i in range(30)]
+    rows = list(enumerate(texts))
+    assert found(minhash.near_duplicates(docs(*rows), 2)) == plain.near_duplicates(rows, 2)
+
+
+def test_odd_rows(docs):
+    rows = [
+        (1, None), (2, ""), (3, " \n\t "), (4, "Same text here"), (5, "same TEXT  here"),
+        (6, "one"), (7, "ONE"), (8, "É é"), (9, "é É"),
+    ]
+    got = found(minhash.near_duplicates(docs(*rows), 2))
+    assert got == plain.near_duplicates(rows, 2)
+    assert got[1] == (0, 1, True) and got[5][1] == 4 and got[7] == (1, 6, False)
+
+
+def test_rows_without_id_and_repeated_ids(docs):
+    df = docs((None, "a b c"), (3, "a b c"), (3, "x y z"), (5, "x y z"), (1, "a b c"))
+    got = sorted(map(str, minhash.near_duplicates(df, 2).select("doc_id", "component_id", "kept").collect()))
+    assert got == sorted(
+        f"Row(doc_id={i}, component_id={c}, kept={k})"
+        for i, c, k in [(None, None, True), (3, 1, False), (3, 1, False), (5, 1, False), (1, 1, True)]
+    )
+    left = minhash.without_duplicates(df, 2)
+    assert left.columns == df.columns and sorted(map(str, (r[0] for r in left.collect()))) == ["1", "None"]
+
+
+def test_empty_table(docs):
+    assert minhash.near_duplicates(docs()).collect() == []
+
+
+def test_sketches_estimate_similarity():
+    draw = np.random.default_rng(3)
+    shared = draw.integers(0, 1 << 63, 800).astype(np.uint64)
+    own = draw.integers(0, 1 << 63, (2, 100)).astype(np.uint64)
+    sets = [np.unique(np.concatenate((shared, o))) for o in own]
+    grid = minhash.sketch(np.concatenate(sets), np.array([len(s) for s in sets]))
+    assert abs((grid[0] == grid[1]).mean() - 0.8) < 0.12
+
+
+def test_every_coordinate_fills():
+    values = np.array([1, 2, 3, 9], np.uint64)
+    grid = minhash.sketch(values, np.array([1, 3]))
+    assert (grid != np.iinfo(np.uint64).max).all()
+
+
+def test_components_of_paths_and_stars(spark):
+    draw = random.Random(4)
+    pairs = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(30)]
+    pairs += [(draw.randint(200, 260), draw.randint(200, 260)) for _ in range(40)]
+    pairs = [(a, b) for a, b in pairs if a != b]
+    got = {r[0]: r[1] for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    assert got == plain.reach(pairs)

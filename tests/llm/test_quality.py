@@ -1,0 +1,40 @@
+import random
+
+from pyspark.sql import functions as F
+
+from tabflow.llm import quality
+from tests.llm import plain
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def test_counts_and_base_rules(docs, given, spark):
+    draw = random.Random(2)
+    rows = [
+        (1, None), (2, ""), (3, " \n \n"), (4, "a b c a b c"), (5, "a a a a"), (6, "x\ny\nx\n\nx \n"),
+        (7, "é ü|#<>* \u00a0 b"), (8, "w " * 3000), (9, " ".join(map(str, range(200)))),
+    ]
+    rows += [(10 + i, " ".join(draw.choices("abcd", k=draw.randint(1, 90)))) for i in range(60)]
+    df = quality.judge_quality(docs(*rows), given("labels"))
+    got = {r["doc_id"]: tuple(r[n] for n in NAMES) for r in df.collect()}
+    assert got == {i: plain.quality(t) for i, t in rows}
+
+
+def test_junk_scores_low(docs, spark, words):
+    good = [(i, " ".join(words(80))) for i in range(40)]
+    junk = [(100 + i, " *** ".join(words(60))) for i in range(10)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good[:20]] + [(100, 0), (None, 1), (3, None)], "doc_id bigint, quality int")
+    rows = quality.judge_quality(docs(*good, *junk), labels).collect()
+    assert {r.doc_id for r in rows if r.kept} == {i for i, _ in good}
+
+
+def test_without_trusted_rows_all_scores_are_zero(docs, spark):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    df = quality.judge_quality(docs((1, " ".join(map(str, range(60)))), (None, "x")), labels)
+    assert [(r.score, r.kept) for r in df.orderBy(F.desc("doc_id")).collect()] == [(0.0, True), (0.0, False)]
+    assert quality.judge_quality(docs(), labels).collect() == []
+
+
+def test_no_python_in_the_plan(docs, given, plan):
+    found = plan(quality.judge_quality(docs((1, "a")), given("labels")))
+    assert "Python" not in found and "Arrow" not in found
