@@ -20,6 +20,7 @@ from itertools import accumulate, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,8 +28,9 @@ from tokenizers import Tokenizer
 
 #: A block is closed when it has so many tokens; one document is never split.
 BLOCK_TOKENS = 1 << 16
-#: Words whose ids a Python worker remembers, at most.
-CACHED_WORDS = 400_000
+#: Words whose ids a Python worker remembers: twice as many at most, as it also keeps
+#: those it knew before it last started anew.
+CACHED_WORDS = 500_000
 
 BLOCKS = (
     "part int, block int, first bigint, n_tokens bigint, bits int, doc_ids array<bigint>, "
@@ -84,57 +86,94 @@ class Encoder:
     def __init__(self, path: str, by_word: bool) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
+        self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids[-1]
 
-    def encode(self, texts: list[str], end_id: int | None) -> list[bytes]:
-        """Per text its ids and the end id, as little-endian unsigned 32-bit integers."""
+    def encode(self, texts: pa.Array, end_id: int | None) -> list[bytes]:
+        """Per text its ids and the end id, as little-endian unsigned 32-bit integers.
+
+        A null is an empty text. By word, Arrow splits the texts at ASCII white space and
+        numbers the distinct words; only those are looked up.
+        """
         end = b"" if end_id is None else end_id.to_bytes(4, "little")
+        texts = texts.fill_null("")
         if not self.by_word:
-            made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() + end for e in made]
+            return [ids.tobytes() + end for ids in self._plain(texts.to_pylist())]
+        words = pc.ascii_split_whitespace(texts)
+        ends = np.asarray(words.offsets)
+        numbered = words.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        made = self._ids_of(numbered.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        starts = np.cumsum(sizes) - sizes
+        index = np.asarray(numbered.indices)
+        size = sizes[index]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        at = np.repeat(starts[index] - upto[:-1], size) + np.arange(upto[-1])
+        data = np.frombuffer(b"".join(made), "<u4")[at].tobytes()
+        cuts = (4 * upto[ends - ends[0]]).tolist()
+        return [data[low:high] + end for low, high in zip(cuts, cuts[1:])]
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
         if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        words = [t.encode("utf-8", "surrogatepass").split() for t in texts]  # ASCII white space
-        known = self.known
-        new: set[bytes] = set()
-        for w in words:
-            new.update(filterfalse(known.__contains__, w))
-        if new:
-            self._learn(new)
-        return [b"".join(map(known.__getitem__, w)) + end for w in words]
+            self.known, self.older = {b"": b""}, self.known
+        self._learn(set(filterfalse(self.known.__contains__, words)))
+        return list(map(self.known.__getitem__, words))
 
     def _learn(self, new: set[bytes]) -> None:
-        known = self.known
-        parts = {word: _stem(word) for word in new}
-        bases = {b for pair in parts.values() for b in pair if b}.difference(known)
-        ordered = [b.decode("utf-8", "surrogatepass") for b in bases]
-        for low in range(0, len(ordered), _JOINED):
-            self._learn_bases(ordered[low : low + _JOINED])
-        for word, (base, mark) in parts.items():
-            known[word] = known[base] + (known[mark] if mark else b"")
-
-    def _learn_bases(self, words: list[str]) -> None:
-        """Encodes words as one text; a token belongs to the word in which it starts."""
-        made = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(made.ids, "<u4")
-        at = np.fromiter((o[0] for o in made.offsets), np.int64, len(ids))
-        ends = np.cumsum([len(w) + 1 for w in words])
-        cuts = [0, *np.searchsorted(at, ends).tolist()]
-        for word, low, high in zip(words, cuts, cuts[1:]):
-            key = word.encode("utf-8", "surrogatepass")
-            self.known[key] = ids[low:high].tobytes()
-
-
-#: Words that are encoded as one text.
-_JOINED = 1_000
-_MARKS = frozenset(b".,;:!?")
+        known, older = self.known, self.older
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        new -= again
+        plain = {w for w in new if len(w.translate(None, _SPECIAL)) == len(w)}
+        stems = [(w, *_stem(w)) for w in new.difference(plain)]
+        parts = {s[1] for s in stems} | {s[2] for s in stems}
+        plain.update(filterfalse(known.__contains__, parts))
+        odd = {w for w in plain if _BAR in w}
+        self._learn_joined(list(plain - odd))
+        made = self._plain([w.decode("utf-8", "surrogatepass") for w in odd])
+        known.update((w, ids.tobytes()) for w, ids in zip(odd, made))
+        known.update((w, known[base] + known[marks]) for w, base, marks in stems)
+
+    def _learn_joined(self, words: list[bytes]) -> None:
+        """Encodes many words as one text, with bars between them."""
+        for low in range(0, len(words), _JOINED):
+            some = words[low : low + _JOINED]
+            text = b" | ".join(some).decode("utf-8", "surrogatepass")
+            ids = self._plain([text])[0]
+            ends = [*(4 * np.flatnonzero(ids == self.bar)).tolist(), 4 * len(ids)]
+            data = ids.tobytes()
+            found = [data[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]
+            self.known.update(zip(some, found, strict=True))
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in made]
+
+
+#: Texts that are encoded together.
+_TEXTS = 1_000
+#: Words that are encoded as one text, with a bar between them.
+_JOINED = 200
+_BAR = b"|"
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+_SPECIAL = _MARKS + b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _stem(word: bytes) -> tuple[bytes, bytes]:
-    """The word with A-Z in lower case, and one mark after an ASCII letter or digit."""
+    """The word with A-Z in lower case, and the marks at its end if a letter is before them.
+
+    The letter, or digit, is an ASCII one or one of U+00C0 to U+00FF.
+    """
+    if b"<|" in word:  # special tokens are found in texts as they stand
+        return word, b""
     word = word.lower()
-    if len(word) > 1 and word[-1] in _MARKS and word[-2:-1].isalnum():
-        return word[:-1], word[-1:]
+    base = word.rstrip(_MARKS)
+    if len(base) == len(word) or not base:
+        return word, b""
+    last = base[-1:]
+    if last.isalnum() or base[-2:-1] == b"\xc3" and last not in b"\x97\xb7":
+        return base, word[len(base) :]
     return word, b""
 
 
@@ -207,9 +246,9 @@ def _writer(tokenizer: str, by_word: bool, end_id: int | None, bits: int):
 
         for batch in batches:
             texts = batch.column(1)
-            for low in range(0, len(texts), 500):
-                some = [t.as_py() or "" for t in texts[low : low + 500]]
-                numbers = batch.column(0)[low : low + 500].to_pylist()
+            for low in range(0, len(texts), _TEXTS):
+                some = texts.slice(low, _TEXTS)
+                numbers = batch.column(0).slice(low, _TEXTS).to_pylist()
                 for number, made in zip(numbers, encoder.encode(some, end_id)):
                     ids.append(number)
                     held.append(made)
