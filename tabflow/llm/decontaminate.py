@@ -140,14 +140,14 @@ def find_items(
     does not grow with the benchmark.
     """
     held = items.select(
-        F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").alias("text")
+        F.col(f"`{item_col}`").cast("bigint").alias("item"), F.col(f"`{item_text_col}`").alias("text")
     ).where(F.length("text") > 0)
     total = held.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     schema = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),
-            T.StructField("item_id", items.schema[item_col].dataType),
+            T.StructField("item_id", T.LongType()),
             T.StructField("distance", T.IntegerType()),
             T.StructField("found", T.StringType()),
         ]

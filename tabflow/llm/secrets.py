@@ -176,6 +176,10 @@ def _placed(found: str, gaps: str, kind: int, kept: Column) -> Column:
     return F.aggregate(sizes, start, step, lambda acc: acc["spans"])
 
 
+def _at_least(least: int):
+    return lambda value: F.length(value) >= least
+
+
 def _texts(spans: Column) -> Column:
     """``kind:start:end`` of sorted spans, joined by commas."""
     names = F.array(*map(F.lit, KINDS))
@@ -214,7 +218,7 @@ def scan_secrets(
         some = F.size(f"found{i}") > 0
         parts.append(F.when(some, F.split(text, p, -1)).otherwise(none).alias(f"gaps{i}"))
         value = F.regexp_extract_all(text, F.lit(p), F.lit(group)) if group else F.col(f"found{i}")
-        kept = F.transform(value, lambda v, least=least: F.length(v) >= least)
+        kept = F.transform(value, _at_least(least))
         parts.append(F.when(some, kept).otherwise(F.array().cast("array<boolean>")).alias(f"kept{i}"))
     rows = rows.select("*", *parts).drop("text")
     spans = [_placed(f"found{i}", f"gaps{i}", i, F.col(f"kept{i}")) for i in range(len(every))]
