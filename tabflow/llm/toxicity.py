@@ -38,6 +38,8 @@ MIN_ROWS = 6
 MIN_RATIO = 8.0
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
+#: Largest log-odds of a text without any hit, whatever the share of toxic labels.
+NO_HIT = -2.2
 #: Words added to the length when hits are normalised.
 SMOOTH_WORDS = 20
 
@@ -196,8 +198,7 @@ def learn(
     """A model from labelled rows that are not held out.
 
     Rows without an id or a label are left out; an id with several labels is toxic
-    if one of them is. Without any toxic row the lexicon is empty and every score
-    is the same low one.
+    if one of them is. Without any entry every score is the same low one.
     """
     named = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("toxic"))
     usable = named.where(F.col("id").isNotNull() & F.col("toxic").isNotNull())
@@ -230,12 +231,15 @@ def learn(
         .collect()
     )
     model = Model(_pruned({r["e"]: (r["w"], r["t"]) for r in chosen}), exceptions)
+    if not model.entries:
+        return model
     fields = [("hits", "bigint"), ("weight", "double"), ("words", "bigint")]
     found = per_text(rows.select("id", "text"), model.matcher, fields, "id")
     facts = found.join(F.broadcast(sample), "id").select("hits", "weight", "words", "toxic")
     data = facts.limit(4 * sample_rows).collect()  # ids may repeat in the documents
     x = np.array([features(r["hits"], r["weight"], r["words"]) for r in data])
-    model.coefficients = _fit(x, np.array([float(r["toxic"]) for r in data]))
+    constant, *others = _fit(x, np.array([float(r["toxic"]) for r in data]))
+    model.coefficients = (min(constant, NO_HIT), *others)
     return model
 
 
