@@ -1,0 +1,47 @@
+import random
+
+from tabflow.llm import licenses
+from tests.llm import plain
+
+NOTICE = "Licensed under the Apache License, Version 2.0"
+
+
+def test_phrases_agree_with_words(docs):
+    draw = random.Random(1)
+    bits = ["cc", "by", "CC-BY", "General", "public", "license", "all", "rights", "reserved", "x", "é", "by-nc"]
+    rows = [(i, " ".join(draw.choices(bits, k=draw.randint(0, 60)))) for i in range(80)]
+    rows += [(100, None), (101, ""), (102, "cc by " * 3000), (103, "cc by cc, by. All\nrights-reserved")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs(*rows)).collect()}
+    for i, text in rows:
+        places = {label: plain.phrase_places(text, phrase) for label, phrase in licenses.PHRASES}
+        every = sorted(p for found in places.values() for p in found)
+        labels = ",".join(sorted(label for label, found in places.items() if found))
+        r = got[i]
+        assert (r.n_words, r.n_base) == (len(plain.license_words(text)), len(every))
+        assert (r.first_word, r.last_word) == ((every[0], every[-1]) if every else (None, None))
+        assert r.base_labels == labels and set(filter(None, labels.split(","))) <= set(r.labels.split(","))
+
+
+def test_notices_within_the_error_budget():
+    scan = licenses.scanner()
+    text = NOTICE.lower().replace(",", "").replace(".", " ")
+    draw = random.Random(6)
+    for _ in range(150):
+        edited = list(text)
+        for _ in range(draw.randint(0, 8)):
+            at = draw.randrange(len(edited))
+            edited[at : at + 1] = draw.choice([[], ["q"], [edited[at], "z"]])
+        edited = " ".join("".join(edited).split())
+        labels, spans = scan(f"aa bb {edited} cc")[5], scan(f"aa bb {edited} cc")[7]
+        near = plain.edit_distance(text, f" aa bb {edited} cc ") <= int(len(text) * licenses.MAX_ERRORS)
+        assert ("apache-2.0" in labels.split(",")) == near, edited
+        assert all(0 <= s["first_word"] < s["end_word"] for s in spans)
+
+
+def test_spans_and_score(docs):
+    rows = licenses.scan_licenses(docs((1, f"x y. {NOTICE}!"), (2, "nothing"), (3, "All rights reserved"))).collect()
+    by = {r.doc_id: r for r in rows}
+    (span,) = by[1].spans
+    assert (span.label, span.first_word, span.end_word, span.errors) == ("apache-2.0", 2, 10, 0)
+    assert (by[1].score, by[2].score, by[3].score) == (1.0, 0.0, 1.0)
+    assert licenses.scan_licenses(docs()).collect() == []

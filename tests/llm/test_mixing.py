@@ -1,0 +1,87 @@
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tabflow.llm import mixing
+
+
+def test_targets():
+    sizes = {"b": 100, "a": 1000, None: 10}
+    # 1665 words by 5:2:1 for a, b and null; b stops at 200, null at 20, a gets the rest
+    assert mixing.targets(sizes) == {"a": 1445.0, "b": 200.0, None: 20.0}
+    assert mixing.targets({}) == {}
+    assert mixing.targets({"a": 0, "b": 0}) == {"a": 0.0, "b": 0.0}
+    even = mixing.targets(dict.fromkeys("abc", 100))
+    assert sum(even.values()) == pytest.approx(450) and max(even.values()) == 200
+
+
+def test_route_repeats_only_where_it_must():
+    patterns = {("a",): 10, ("b",): 10, ("a", "b"): 10}
+    flow = mixing.route(patterns, {"a": 20, "b": 10})
+    assert sum(f.get("a", 0) for f in flow.values()) == 20
+    assert sum(f.get("b", 0) for f in flow.values()) == 10
+    assert all(sum(f.values()) == 10 for f in flow.values())  # nothing twice
+    flow = mixing.route(patterns, {"a": 30, "b": 30})
+    assert sum(sum(f.values()) for f in flow.values()) == 60
+
+
+def test_route_cost_is_least():
+    draw = random.Random(3)
+    for _ in range(20):
+        patterns = {p: draw.randint(1, 4) for p in [("a",), ("b",), ("a", "b")]}
+        quotas = {"a": draw.randint(0, 8), "b": draw.randint(0, 8)}
+        flow = mixing.route(patterns, quotas)
+
+        def cost(shares):
+            return sum(max(0, n - patterns[p]) for p, n in shares.items())
+
+        best = None
+        for x in range(2 * patterns["a",] + 1):
+            for y in range(2 * patterns["b",] + 1):
+                for za in range(2 * patterns["a", "b"] + 1):
+                    for zb in range(2 * patterns["a", "b"] + 1 - za):
+                        if x + za <= quotas["a"] and y + zb <= quotas["b"]:
+                            key = (-(x + y + za + zb), cost({("a",): x, ("b",): y, ("a", "b"): za + zb}))
+                            best = min(best or key, key)
+        got = {p: sum(f.values()) for p, f in flow.items()}
+        assert (-sum(got.values()), cost(got)) == best
+
+
+def run(df, sources=None):
+    return mixing.mix(df, sources if sources is not None else F.array("source"), mixing.word_count(F.col("text")))
+
+
+def test_taken_words_come_near_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = run(docs).join(docs.select("doc_id", "source", "text"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    by = {}
+    for r in rows:
+        assert r.taken in (0, r.size, 2 * r.size) and r.taken == r.repeats * r.size
+        by.setdefault(r.source, []).append(r)
+    wanted = mixing.targets({s: sum(r.size for r in g) for s, g in by.items()})
+    for s, g in by.items():
+        assert {r.target for r in g} == {wanted[s]} and {r.source_size for r in g} == {sum(r.size for r in g)}
+        assert abs(sum(r.taken for r in g) - wanted[s]) < 0.03 * wanted[s]
+    assert sorted(rows) == sorted(run(docs).join(docs.select("doc_id", "source", "text"), "doc_id").collect())
+
+
+def test_overlapping_sources(spark):
+    rows = [(i, "w " * 10, ["a", "b"] if i % 2 else ["a"]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, sources array<string>")
+    got = mixing.mix(df, F.col("sources"), mixing.word_count(F.col("text")), weights=(1,), share=Fraction(1, 2))
+    assert got.agg(F.sum("taken")).first()[0] == pytest.approx(300, abs=20)  # of 400 and 200, half
+    assert got.agg(F.max("repeats")).first()[0] == 1
+
+
+def test_odd_rows(docs, spark):
+    df = docs((1, None), (2, ""), (None, "a b"), (3, "a b c"), (3, "a b c")).withColumn(
+        "source", F.when(F.col("doc_id") == 3, F.lit(None)).otherwise(F.col("source"))
+    )
+    rows = run(df).collect()
+    assert len(rows) == 5 and {r.size for r in rows} == {0, 2, 3}
+    assert all(r.taken <= 2 * r.size for r in rows)
+    assert run(docs()).collect() == []
+    assert {r.taken for r in run(docs((1, None), (2, ""))).collect()} == {0}
