@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 BUCKETS = 10_000
 #: Trusted documents that the target model is counted on, at most.
 TRUSTED_ROWS = 20_000
-#: n-grams added to the trusted counts, spread like the raw ones, per trusted n-gram.
-PRIOR = 0.02
+#: n-grams added to the trusted counts, spread like the raw ones. With few trusted
+#: documents all ratios stay near 0, so that unseen words do not drop clean texts.
+PRIOR = 20_000
 #: Mean log ratio per n-gram below which a text is dropped.
 LEAST_SCORE = -0.25
 
@@ -134,9 +135,9 @@ def log_ratios(
     """One row with ``ratios``: per bucket, log of trusted over raw probability.
 
     Trusted are documents with a label above 0, at most ``trusted_rows`` of them, by
-    a hash of the id. Raw counts cover every document. The trusted counts get a share
-    of ``PRIOR`` n-grams spread like the raw ones, which bounds the ratios below;
-    without trusted documents all ratios are 0.
+    a hash of the id. Raw counts cover every document. The trusted counts get
+    ``PRIOR`` n-grams spread like the raw ones, which bounds the ratios below; without
+    trusted documents all ratios are 0.
     """
     named = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"))
     trusted = (
@@ -164,8 +165,7 @@ def log_ratios(
         F.sum("own").alias("own"),
     )
     p = lambda c: c["raw"] / F.col("raw")
-    more = PRIOR * F.col("own") + 1
-    ratio = lambda c: F.log((c["own"] + more * p(c)) / (F.col("own") + more) / p(c))
+    ratio = lambda c: F.log((c["own"] + PRIOR * p(c)) / (F.col("own") + PRIOR) / p(c))
     return row.select(F.transform("all", ratio).alias("ratios"))
 
 
