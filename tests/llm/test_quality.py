@@ -21,13 +21,20 @@ def test_counts_and_base_rules(docs, given, spark):
 
 
 def test_junk_scores_low(docs, spark, words):
-    good = [(i, " ".join(words(80))) for i in range(40)]
-    junk = [(100 + i, " *** ".join(words(60))) for i in range(10)]
-    labels = spark.createDataFrame([(i, 1) for i, _ in good[:20]] + [(100, 0), (None, 1), (3, None)], "doc_id bigint, quality int")
+    good = [(i, " ".join(words(80))) for i in range(500)]
+    junk = [(1000 + i, " *** ".join(words(60))) for i in range(50)]
+    marked = [(i, 1) for i, _ in good[:300]] + [(1000, 0), (None, 1), (3, None)]
+    labels = spark.createDataFrame(marked, "doc_id bigint, quality int")
     rows = quality.judge_quality(docs(*good, *junk), labels).collect()
     assert {r.doc_id for r in rows if r.kept} == {i for i, _ in good}
 
 
+def test_few_trusted_rows_drop_nothing(docs, spark, words):
+    rows = [(i, " ".join(words(80))) for i in range(40)]
+    labels = spark.createDataFrame([(0, 1)], "doc_id bigint, quality int")
+    assert all(r.kept for r in quality.judge_quality(docs(*rows), labels).collect())
+
+
 def test_without_trusted_rows_all_scores_are_zero(docs, spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
     df = quality.judge_quality(docs((1, " ".join(map(str, range(60)))), (None, "x")), labels)
