@@ -369,15 +369,22 @@ def _outside(rows: DataFrame, percent: int) -> DataFrame:
 
     A link needs ``percent`` of the larger set, so each side needs that much of its own
     less its overlap with the hub from outside. Of items in one order, two lists that
-    share ``need`` meet within all but the last ``need - 1`` of each (prefix filter).
+    share ``need`` meet within all but the last ``need - 1`` of each (prefix filter). The
+    rarest items of a hub come first, so that most of those have no partner at all.
     """
+    facts = ("node", "hub", "component", "n", "both", "loose", "m")
+    items = rows.withColumn("m", F.size("own")).select(*facts, F.explode("own").alias("item"))
+    often = items.groupBy("hub", "item").agg(F.count("*").alias("often")).where("often > 1")
     need = F.greatest(F.lit(1), F.ceil(percent * F.col("n") / 100) - F.col("both"))
-    length = (F.size("own") - need + 1).cast("int")
+    length = F.greatest(F.lit(0), F.col("m") - need + 1).cast("int")
+    order = F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "item")))
     items = (
-        rows.where(length > 0)
-        .withColumn("m", F.size("own"))
-        .withColumn("item", F.explode(F.slice("own", F.lit(1), length)))
-        .drop("own")
+        items.join(often, ["hub", "item"], "left")
+        .groupBy(*facts)
+        .agg(order.alias("own"))
+        .select(*facts, F.explode(F.slice("own", F.lit(1), length)).alias("o"))
+        .where("o.often > 1")
+        .select(*facts, F.col("o.item").alias("item"))
     )
     a, b = items.where("loose").alias("a"), items.alias("b")
     most = F.least("a.both", "b.both") + F.least("a.m", "b.m")

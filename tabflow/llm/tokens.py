@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 BLOCK_TOKENS = 1 << 16
 #: Words whose ids a Python worker remembers: twice as many at most, as it also keeps
 #: those it knew before it last started anew.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 BLOCKS = (
     "part int, block int, first bigint, n_tokens bigint, bits int, doc_ids array<bigint>, "
