@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.llm.texts import alnum_words
+from tabflow.llm.texts import alnum_words, bounded_batches
 
 #: Edits allowed per character of an item.
 MAX_ERRORS = 0.08
@@ -152,7 +152,7 @@ def find_items(
             T.StructField("found", T.StringType()),
         ]
     )
-    picked = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    picked = bounded_batches(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     out = None
     for block in range(blocks):
         mine = held.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.llm.components import components
-from tabflow.llm.texts import encode
+from tabflow.llm.texts import bounded_batches, encode
 from tabflow.scratch import staged
 
 COORDINATES = 192
@@ -241,7 +241,7 @@ def near_duplicates(
     with each other, and all or none are kept. Rows without an id are linked with
     nothing and kept, with a null component.
     """
-    picked = docs.select(
+    picked = bounded_batches(docs).select(
         F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text")
     )
     facts = staged(picked.mapInArrow(_sketches(words), _FACTS), "sketches")

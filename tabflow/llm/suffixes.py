@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.texts import encode
+from tabflow.llm.texts import bounded_batches, encode
 from tabflow.llm.windows import LENGTH, Hashes, mix, segments
 from tabflow.scratch import staged
 
@@ -311,7 +311,7 @@ def repeated_spans(
 
 
 def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(
+    return bounded_batches(docs).select(
         F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_NO_ID)).alias("doc"),
         F.col(f"`{text_col}`").alias("text"),
     )

@@ -26,6 +26,20 @@ BYTE_TYPES = {
 }
 
 
+#: Bytes of texts that are handed to a Python worker at a time.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(docs: DataFrame) -> DataFrame:
+    """The same rows, in a session whose Arrow batches hold ``BATCH_BYTES`` at most.
+
+    By default a batch has 10,000 rows or 64 MB, and Java and Python both hold
+    several. That is too much for tasks on whole texts.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
 def alnum_words(text: str) -> list[bytes]:
     """Runs of digits, letters a-z and characters above U+007F, A-Z in lower case."""
     return encode(text).translate(ALNUM).split()
@@ -76,5 +90,5 @@ def per_text(
             columns += [pa.array([m[i] for m in made], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    picked = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    picked = bounded_batches(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     return picked.mapInArrow(run, schema)

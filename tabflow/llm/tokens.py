@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tabflow.llm.texts import bounded_batches
+
 #: A block is closed when it has so many tokens; one document is never split.
 BLOCK_TOKENS = 1 << 16
 #: Words whose ids a Python worker remembers: twice as many at most, as it also keeps
 #: those it knew before it last started anew.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 
 BLOCKS = (
     "part int, block int, first bigint, n_tokens bigint, bits int, doc_ids array<bigint>, "
@@ -205,7 +207,8 @@ def write_tokens(
     """
     bits = bits_for(Tokenizer.from_file(tokenizer).get_vocab_size())
     placed = (
-        docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("t"))
+        bounded_batches(docs)
+        .select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("t"))
         .repartitionByRange(F.col("id"))
         .sortWithinPartitions("id")
     )

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.texts import per_text
+from tabflow.llm.texts import bounded_batches, per_text
 
 #: Labelled rows used for learning, at most.
 SAMPLE_ROWS = 12_000
@@ -209,6 +209,7 @@ def learn(
         .orderBy(F.xxhash64("id"), "id")
         .limit(sample_rows)
     )
+    docs = bounded_batches(docs)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = texts.join(F.broadcast(sample), "id")  # at most sample_rows ids and flags
     counted = (
@@ -311,4 +312,4 @@ def without_toxic(
             keep = [score(t.as_py() or "")[0] < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
