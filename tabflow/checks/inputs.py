@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.sources.jdbc import JdbcTarget
+from tabflow.sources.jdbc import JdbcTarget, update_jdbc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -211,3 +211,21 @@ def fresh_name(stem: str) -> str:
     """A table name that no earlier run has used."""
     return f"{stem}_{uuid.uuid4().hex[:12]}"
 
+
+
+def drop_all(spark: SparkSession, *names: str) -> None:
+    """Drop the views and tables that have these names or begin with one and ``_``."""
+    for name in names:
+        for found in spark.catalog.listTables(pattern=f"{name}*"):
+            kind = "VIEW" if found.tableType == "VIEW" else "TABLE"
+            spark.sql(f"DROP {kind} {found.name}")
+
+
+def pointer_table(
+    spark: SparkSession, target: JdbcTarget, name: str, values: dict[str, str]
+) -> None:
+    """A pointer table with one more column, which every row must have."""
+    columns = ", ".join(f"{target.quoted(c)} VARCHAR(64) NOT NULL" for c in ("property", "value", "note"))
+    update_jdbc(spark, target, f"CREATE TABLE {name} ({columns})")
+    for prop, value in values.items():
+        update_jdbc(spark, target, f"INSERT INTO {name} VALUES (?, ?, 'kept')", [prop, value])

@@ -136,6 +136,7 @@ FROM customer WHERE {_KEPT_USERS}
 """,
     "city_locations": _LOCATIONS,
     "city_locations_collated": _LOCATIONS,
+    "city_load": _LOCATIONS,
     "feed_by_country": """
 SELECT p_type AS country,
        p_partkey || chr(9) || p_name || chr(9) || p_name || chr(9) || chr(9) || p_size
@@ -152,7 +153,9 @@ FROM supplier WHERE s_acctbal < 2000
 SELECT o_orderkey,
        CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
        CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END AS o_orderpriority,
-       o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day
+       o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day,
+       CASE o_orderstatus WHEN 'F' THEN '\\N'
+         WHEN 'O' THEN o_orderpriority || chr(9) || chr(10) || '\\t' END AS note
 FROM orders
 """,
     "partition_overwrite": f"""
@@ -163,7 +166,9 @@ SELECT *, '2013-06-02' AS test_part FROM ({_SONGS})
     "jdbc_export": f"SELECT *, '2013-06-01' AS test_part FROM ({_SONGS})",
     "jdbc_load": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "ab_publish": f"SELECT *, {_LIVE} FROM ({_SONGS})",
-    "jdbc_publish": f"SELECT c_custkey, c_name, c_acctbal, {_LIVE} FROM customer",
+    "jdbc_publish": f"""
+SELECT c_custkey, c_name, c_acctbal, {_LIVE}, 'kept' AS note, 'Table1' AS other FROM customer
+""",
     "week_suffix": """
 SELECT event_id, 'Table' || ((epoch_ms(ts) // 604800000 + 1) % 2 + 1) AS suffix FROM events
 """,

@@ -13,6 +13,7 @@ from tabflow.checks.inputs import table
 from tabflow.fixed import LOCATION_HEADER_LINES
 from tabflow.functions.weeks import standby_suffix
 from tabflow.operators import clean, geo, graph, numbering, placement, uniques
+from tabflow.plans.places import load_city_locations
 from tabflow.scratch import scratch_path
 from tabflow.sinks import files, jdbc, publish
 from tabflow.sinks.graph_store import GraphStore
@@ -24,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters that the SQL repeats.
 USERS_PER_BATCH = 500
-ORDERS_PER_FILE = 1_000_000
+ORDERS_PER_FILE = 5_000
 LOAD_TIME = "2013-06-11 00:00:00"
 FIRST_PUBLISH = datetime(2013, 6, 4)
 SECOND_PUBLISH = datetime(2013, 6, 11)
@@ -111,9 +112,18 @@ def graph_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _loaded_graph(spark: SparkSession, *loads: DataFrame) -> GraphStore:
-    store = GraphStore.open(spark, inputs.fresh_name("graph"), scratch_path(spark, "graph"))
-    for pairs in loads:
+    """A store after some loads; each load opens it under another shuffle setting."""
+    name, location = inputs.fresh_name("graph"), scratch_path(spark, "graph")
+    key = "spark.sql.shuffle.partitions"
+    partitions = spark.conf.get(key)
+    store = GraphStore.open(spark, name, location)
+    for n, pairs in enumerate(loads):
+        if n:
+            store.forget()
+            spark.conf.set(key, str(2 * int(partitions)))
+            store = GraphStore.open(spark, name, location)
         store.upsert(pairs)
+    spark.conf.set(key, partitions)
     store.forget()
     return store
 
@@ -164,6 +174,20 @@ def city_locations_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _locations(spark, sf_dir, city, collation="UTF8_LCASE_RTRIM")
 
 
+def city_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append locations to a relational table; the load is run twice."""
+    part, target = table(spark, sf_dir, "part"), inputs.database(spark)
+    feed, name = scratch_path(spark, "feed"), inputs.fresh_name("locations")
+    files.write_lines(inputs.feed_lines(part), feed)
+    cities = inputs.known_cities(part).select("city_id", "city")
+    for _ in range(2):
+        load_city_locations(
+            spark, feed, cities, target, name, datetime.fromisoformat(LOAD_TIME)
+        )
+    stored = read_jdbc(spark, target, name, "city_id")
+    return stored.withColumn("ts_added", F.col("ts_added").cast("string"))
+
+
 def feed_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = geo.keyed_by_country(inputs.feed_lines(table(spark, sf_dir, "part")))
     return placement.cluster_rows(keyed, "country").withColumnRenamed("value", "line")
@@ -189,18 +213,22 @@ def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") != "O", F.col("o_orderpriority")).alias("o_orderpriority"),
         "o_totalprice",
         F.col("o_orderdate").cast("date").cast("string").alias("order_day"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("\\N"))
+        .when(F.col("o_orderstatus") == "O", F.concat("o_orderpriority", F.lit("\t\n\\t")))
+        .alias("note"),
     )
     path = scratch_path(spark, "orders")
-    files.write_lines(files.to_tsv(orders), path)
+    files.write_lines(files.to_tsv(orders.select("order_day")), path)
+    files.write_lines(files.to_tsv(orders), path)  # replaces the first output
     schema = (
         "o_orderkey bigint, o_custkey bigint, o_orderpriority string, "
-        "o_totalprice double, order_day string"
+        "o_totalprice double, order_day string, note string"
     )
     return files.read_tsv(lines.text_lines(spark, path), schema)
 
 
 def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load two partitions, then replace one of them."""
+    """Load three partitions, then replace one with rows and one with none."""
     songs = inputs.song_columns(table(spark, sf_dir, "part"))
     name, path = inputs.fresh_name("songs"), scratch_path(spark, "songs")
     schema = ", ".join(f"{c} {t}" for c, t in songs.dtypes)
@@ -211,7 +239,9 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     raised = songs.withColumn("popularity", F.col("popularity") + 1)
     overwrite_partition(songs, name, {"test_part": "2013-06-01"})
     overwrite_partition(songs, name, {"test_part": "2013-06-02"})
+    overwrite_partition(songs, name, {"test_part": "2013-06-03"})
     overwrite_partition(raised, name, {"test_part": "2013-06-01"})
+    overwrite_partition(songs.where("song_id is null"), name, {"test_part": "2013-06-03"})
     spark.sql(f"DROP TABLE {name}")  # external: the files stay
     return spark.read.schema(f"{schema}, test_part string").parquet(path)
 
@@ -243,21 +273,18 @@ def jdbc_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ab_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish a table in one week and its next version in the following week."""
+    """Publish a table in one week, and two more versions of it in the following week."""
     songs = inputs.song_columns(table(spark, sf_dir, "part"))
     name, pointer = inputs.fresh_name("songs"), inputs.fresh_name("pointers")
     location = scratch_path(spark, "published")
     publish.write_pointers(spark, pointer, {"songs": "", "other": "Table1"})
     old = songs.withColumn("popularity", F.lit(0).cast("bigint"))
-    for rows, at in ((old, FIRST_PUBLISH), (songs, SECOND_PUBLISH)):
+    for rows, at in ((old, FIRST_PUBLISH), (old, SECOND_PUBLISH), (songs, SECOND_PUBLISH)):
         item = publish.Publication("songs", name, rows)
         publish.publish_tables(spark, [item], at, pointer, location)
     pointers = spark.table(pointer).where(F.col("property") == "songs").collect()
     live = spark.table(name).withColumn("live_copy", F.lit(pointers[0]["value"]))
-    for view in (name, pointer):
-        spark.sql(f"DROP VIEW {view}")
-    for suffix in ("Table1", "Table2"):
-        spark.sql(f"DROP TABLE {name}_{suffix}")  # external: the files stay
+    inputs.drop_all(spark, name, pointer)  # external tables: the files stay
     return live
 
 
@@ -265,16 +292,22 @@ def jdbc_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same in a relational database, with its pointer table beside it."""
     target = inputs.database(spark)
     name, pointer = inputs.fresh_name("customers"), inputs.fresh_name("pointers")
-    start = spark.createDataFrame([("customers", "")], "property string, value string")
-    jdbc.load_jdbc(start, target, pointer)
+    inputs.pointer_table(spark, target, pointer, {"customers": "", "other": "Table1"})
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     old = customers.withColumn("c_acctbal", F.lit(0.0))
     for rows, at in ((old, FIRST_PUBLISH), (customers, SECOND_PUBLISH)):
         item = publish.Publication("customers", name, rows)
         publish.publish_jdbc(spark, [item], at, pointer, target)
-    live = target.apply(spark.read).option("dbtable", pointer).load().first()["value"]
-    stored = read_jdbc(spark, target, f"{name}_{live}", "c_custkey")
-    return stored.withColumn("live_copy", F.lit(live))
+    pointers = target.apply(spark.read).option("dbtable", pointer).load().collect()
+    live = {r["property"]: (r["value"], r["note"]) for r in pointers}
+    stored = read_jdbc(spark, target, f"{name}_{live['customers'][0]}", "c_custkey")
+    return stored.withColumns(
+        {
+            "live_copy": F.lit(live["customers"][0]),
+            "note": F.lit(live["customers"][1]),
+            "other": F.lit(live["other"][0]),
+        }
+    )
 
 
 def week_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +336,7 @@ QUERIES: dict[str, Query] = {
         user_batches,
         city_locations,
         city_locations_collated,
+        city_load,
         feed_by_country,
         country_region,
         tsv_roundtrip,

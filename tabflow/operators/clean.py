@@ -39,11 +39,12 @@ def edge_list(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
     return ends.select(kept(usable, strict_long(src).alias("src"), strict_long(dst).alias("dst")))
 
 
-def user_records(lines: DataFrame) -> DataFrame:
+def user_records(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
     """User profiles as named records with a nested ``location``.
 
     A line without a usable id is dropped on its own. A property that is
-    missing, empty or a null marker is null.
+    missing, empty or a null marker is null. ``counts`` collects the numbers of
+    lines read and kept while the job runs.
     """
     count = max(USER_FIELDS.values()) + 1
     texts = lines.select(leading_fields(F.col("value"), count).alias("fields")).select(
@@ -56,6 +57,11 @@ def user_records(lines: DataFrame) -> DataFrame:
     )
     person = ("userid", "username", "fname", "lname", "mname", "email")
     location = F.struct("city", "state", "country", "zip").alias("location")
-    return records.select(
-        kept(F.col("userid") != NO_USER_ID, *[F.col(n) for n in person], location)
-    )
+    usable = F.col("userid") != NO_USER_ID
+    if counts is not None:
+        records = records.observe(
+            counts,
+            F.count(F.lit(1)).alias("lines"),
+            F.count_if(usable).alias("kept_lines"),
+        )
+    return records.select(kept(usable, *[F.col(n) for n in person], location))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ def dense_numbers(
     order_by: Sequence[str] = (),
     unique: bool = False,
     start: int = 0,
+    stage: Callable[[DataFrame, str], DataFrame] = staged,
 ) -> DataFrame:
     """Add ``name``: ``start, start + 1, ...`` in the order of ``order_by``.
 
@@ -28,6 +29,8 @@ def dense_numbers(
     partitioning, so lost executors cannot shift a number. Without ``order_by``
     rows keep their input partitions and nothing is shuffled.
 
+    ``stage`` writes the table; pass that of a ``Scratch`` to have it deleted later.
+
     The range partitioning samples its input first, so an expensive plan is
     best ``staged`` before it is numbered.
 
@@ -44,7 +47,7 @@ def dense_numbers(
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*df.columns)
 
     place = F.monotonically_increasing_id()
-    placed = staged(
+    placed = stage(
         rows.select(
             "*",
             F.shiftright(place, _PART_BITS).alias("__part"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tabflow.fixed import USER_BATCH_SIZE
 from tabflow.operators.clean import edge_list, user_records
@@ -12,13 +12,13 @@ from tabflow.operators.placement import cluster_rows
 from tabflow.sinks.files import to_tsv, write_lines
 from tabflow.sinks.graph_store import GraphStore
 from tabflow.sinks.record_batches import send_in_batches
-from tabflow.sources.lines import text_lines
+from tabflow.sources.lines import lines_of
 from tabflow.sources.partitions import PartitionValue, scan_partitions
 
 
 def clean_pairs(
     spark: SparkSession,
-    table: str,
+    table: str | DataFrame,
     out: str,
     partition_schema: str = "",
     columns: Sequence[str] = (),
@@ -29,7 +29,7 @@ def clean_pairs(
 
     Returns the lines read and kept.
     """
-    lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
+    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
     counts = Observation()
     pairs = cluster_rows(edge_list(lines, counts), "src", partitions)
     write_lines(to_tsv(pairs), out, replace=False)
@@ -38,26 +38,36 @@ def clean_pairs(
 
 def load_followers(
     spark: SparkSession,
-    table: str,
+    table: str | DataFrame,
     store: GraphStore,
     partition_schema: str = "",
     columns: Sequence[str] = (),
     values: Sequence[PartitionValue] = (),
-) -> None:
-    """Create the missing nodes and edges of the chosen follower partitions."""
-    lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
-    store.upsert(edge_list(lines))
+) -> dict[str, int]:
+    """Create the missing nodes and edges of the chosen follower partitions.
+
+    Returns the lines read and kept, and the nodes and edges created.
+    """
+    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
+    counts = Observation()
+    created = store.upsert(edge_list(lines, counts))
+    return {**counts.get, **created}
 
 
 def load_users(
     spark: SparkSession,
-    table: str,
+    table: str | DataFrame,
     sender: str,
     partition_schema: str = "",
     columns: Sequence[str] = (),
     values: Sequence[PartitionValue] = (),
     size: int = USER_BATCH_SIZE,
-) -> None:
-    """Send user records to an external store in batches; see ``send_in_batches``."""
-    lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
-    send_in_batches(user_records(lines), sender, size)
+) -> dict[str, int]:
+    """Send user records to an external store in batches; see ``send_in_batches``.
+
+    Returns the lines read and kept; every kept line is a record sent.
+    """
+    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
+    counts = Observation()
+    send_in_batches(user_records(lines, counts), sender, size)
+    return counts.get

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.operators.uniques import explode_unique, word_count
 from tabflow.sinks.files import to_tsv, write_lines
-from tabflow.sources.lines import offset_lines, sequence_file, text_lines
+from tabflow.sources.lines import lines_of, offset_lines, sequence_file
 from tabflow.sources.partitions import PartitionValue, scan_partitions
 
 
 def count_uniques(
     spark: SparkSession,
-    table: str,
+    table: str | DataFrame,
     out: str,
     partition_schema: str = "",
     columns: Sequence[str] = (),
@@ -25,7 +25,7 @@ def count_uniques(
 
     Returns the lines read and rejected and the ids written.
     """
-    lines = scan_partitions(text_lines(spark, table, partition_schema), columns, values)
+    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
     counts = Observation()
     ids = write_lines(to_tsv(explode_unique(lines, counts)), out)
     return {**counts.get, "ids": ids}

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.operators.graph import follow_nodes, follow_pairs, only_new, relationships
 from tabflow.operators.numbering import dense_numbers
-from tabflow.scratch import staged
+from tabflow.scratch import Scratch
+from tabflow.sinks.partition import sql_text
 
 COLUMNS = {
     "nodes": "node_id bigint, userid bigint",
@@ -20,38 +22,90 @@ IDS = {"nodes": "node_id", "edges": "rel_id"}
 
 
 @dataclass(frozen=True)
+class _State:
+    """What a store knows of itself; the row with the highest ``step`` counts."""
+
+    step: int
+    buckets: int
+    nodes: str
+    edges: str
+    next_nodes: int = 0
+    next_edges: int = 0
+
+    SCHEMA = (
+        "step int, buckets int, nodes string, edges string, next_nodes bigint, next_edges bigint"
+    )
+
+    def row(self) -> tuple:
+        return tuple(getattr(self, part.split()[0]) for part in self.SCHEMA.split(", "))
+
+
 class GraphStore:
     """Catalog tables ``<name>_nodes`` and ``<name>_edges``, bucketed by their keys.
 
     A load of any size joins the stored keys where they lie: a small one is
     broadcast to them, a large one is shuffled into their buckets. The stored
     graph itself is never shuffled. One loader may write at a time.
+
+    The number of buckets, the next ids and the folders of the tables are kept with
+    the files, in ``<location>/state``; the catalog entries follow from them.
     """
 
-    spark: SparkSession
-    name: str
-    location: str
-    buckets: int
+    def __init__(self, spark: SparkSession, name: str, location: str, state: _State) -> None:
+        self.spark = spark
+        self.name = name
+        self.location = location
+        self._state = state
+
+    @property
+    def buckets(self) -> int:
+        return self._state.buckets
 
     @classmethod
     def open(
         cls, spark: SparkSession, name: str, location: str, buckets: int | None = None
     ) -> GraphStore:
-        """The store ``name``; its tables are created at ``location`` if they are missing.
+        """The store at ``location``; it is created there if it is missing.
 
-        ``buckets`` defaults to the shuffle partitions of the session. Fewer
-        than those make Spark shuffle the stored side of large loads; more leave
-        more small files behind each small load.
+        For a new store ``buckets`` defaults to the shuffle partitions of the
+        session. Fewer than those make Spark shuffle the stored side of large
+        loads; more leave more small files behind each small load. A store that
+        exists keeps its number, and another one is refused.
         """
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        for table, columns in COLUMNS.items():
-            keys = ", ".join(KEYS[table])
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name}_{table} ({columns}) USING parquet "
-                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS "
-                f"LOCATION '{location}/{table}'"
-            )
-        return cls(spark, name, location, buckets)
+        location = location.rstrip("/")
+        try:
+            rows = spark.read.schema(_State.SCHEMA).parquet(f"{location}/state").collect()
+        except AnalysisException:
+            rows = []
+        if rows:
+            state = _State(**max(rows, key=lambda r: r["step"]).asDict())
+            if buckets not in (None, state.buckets):
+                raise ValueError(f"{location} has {state.buckets} buckets, not {buckets}")
+            store = cls(spark, name, location, state)
+        else:
+            count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            store = cls(spark, name, location, _State(0, count, "nodes", "edges"))
+            store._save(store._state)
+        for table in COLUMNS:
+            store._declare(table)
+        return store
+
+    def _save(self, state: _State) -> None:
+        """One more row, committed as one file; older rows stay."""
+        row = self.spark.createDataFrame([state.row()], _State.SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(f"{self.location}/state")
+        self._state = state
+
+    def _folder(self, table: str) -> str:
+        return f"{self.location}/{getattr(self._state, table)}"
+
+    def _declare(self, table: str) -> None:
+        keys = ", ".join(KEYS[table])
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name}_{table} ({COLUMNS[table]}) USING parquet "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+            f"LOCATION {sql_text(self._folder(table))}"
+        )
 
     def nodes(self) -> DataFrame:
         return self._read("nodes")
@@ -61,31 +115,73 @@ class GraphStore:
 
     def _read(self, table: str) -> DataFrame:
         """The rows without their buckets, so that joins on one end can split hot users."""
-        return self.spark.read.schema(COLUMNS[table]).parquet(f"{self.location}/{table}")
+        return self.spark.read.schema(COLUMNS[table]).parquet(self._folder(table))
 
     def forget(self) -> None:
         """Remove the catalog entries; the files stay and ``open`` finds them again."""
         for table in COLUMNS:
             self.spark.sql(f"DROP TABLE {self.name}_{table}")
 
-    def upsert(self, pairs: DataFrame) -> None:
+    def upsert(self, pairs: DataFrame) -> dict[str, int]:
         """Create the nodes and edges of ``(src, dst)`` pairs that do not exist yet.
 
-        Loading the same pairs again changes nothing, so an interrupted load is
-        finished by running it again. Ids continue from the highest stored one,
-        in key order.
+        Returns how many of each were created. Loading the same pairs again
+        changes nothing, so an interrupted load is finished by running it again.
+        Ids continue from the last load's, in key order; they are reserved before
+        rows are written, so an interrupted load can leave a gap, never a copy.
         """
-        batch = staged(follow_pairs(pairs), "pairs")
-        self._append("nodes", self._numbered("nodes", follow_nodes(batch)))
-        self._append("edges", relationships(self._numbered("edges", batch)))
-
-    def _numbered(self, table: str, rows: DataFrame) -> DataFrame:
-        stored = self.spark.table(f"{self.name}_{table}")
-        start = stored.agg(F.coalesce(F.max(IDS[table]) + 1, F.lit(0))).first()[0]
-        new = staged(only_new(rows, stored, KEYS[table]), "new")
-        return dense_numbers(new, IDS[table], KEYS[table], unique=True, start=start)
+        with Scratch(self.spark) as scratch:
+            batch = scratch.staged(follow_pairs(pairs), "pairs")
+            nodes = self._add("nodes", follow_nodes(batch), scratch)
+            edges = self._add("edges", batch, scratch)
+        return {"nodes": nodes, "edges": edges}
+
+    def _add(self, table: str, rows: DataFrame, scratch: Scratch) -> int:
+        key = KEYS[table][0]
+        low, high = rows.agg(F.min(key), F.max(key)).first()
+        if low is None:
+            return 0
+        # stored files are sorted by key, so the range skips what cannot match
+        stored = self.spark.table(f"{self.name}_{table}").where(F.col(key).between(low, high))
+        new = only_new(rows, stored, KEYS[table])
+        numbered = dense_numbers(new, "__n", KEYS[table], unique=True, stage=scratch.staged)
+        count = numbered.count()
+        if not count:
+            return 0
+        part = f"next_{table}"
+        start = getattr(self._state, part)
+        step = self._state.step + 1
+        self._save(replace(self._state, step=step, **{part: start + count}))
+        self._append(table, numbered.withColumn(IDS[table], F.col("__n") + start))
+        return count
 
     def _append(self, table: str, rows: DataFrame) -> None:
-        target = self.spark.table(f"{self.name}_{table}")
+        if table == "edges":
+            rows = relationships(rows)
+        columns = [part.split()[0] for part in COLUMNS[table].split(", ")]
         per_bucket = rows.repartition(self.buckets, *KEYS[table])  # one file each
-        per_bucket.select(*target.columns).write.insertInto(f"{self.name}_{table}")
+        per_bucket.select(*columns).write.insertInto(f"{self.name}_{table}")
+
+    def compact(self) -> None:
+        """Merge the files of all loads into one per bucket.
+
+        The merged files are written to a new folder; the store and its catalog
+        entry then switch to it. The old folder stays for readers that use it.
+        """
+        for table in COLUMNS:
+            step = self._state.step + 1
+            state = replace(self._state, step=step, **{table: f"{table}-{step}"})
+            merged = f"{self.name}_{table}_{step}"
+            rows, keys = self._read(table), KEYS[table]
+            (
+                rows.repartition(self.buckets, *keys)
+                .write.format("parquet")
+                .bucketBy(self.buckets, *keys)
+                .sortBy(*keys)
+                .option("path", f"{self.location}/{table}-{step}")
+                .saveAsTable(merged)
+            )
+            self._save(state)
+            self.spark.sql(f"DROP TABLE {merged}")  # external: the files stay
+            self.spark.sql(f"DROP TABLE {self.name}_{table}")
+            self._declare(table)

@@ -41,25 +41,51 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def _check_spec(spark: SparkSession, table: str, spec: Mapping[str, object]) -> None:
+    columns = spark.catalog.listColumns(table)
+    keys = {c.name for c in columns if c.isPartition}
+    unknown = set(spec) - {c.name for c in columns}
+    if unknown:
+        raise ValueError(f"not columns of {table}: {sorted(unknown)}")
+    if set(spec) != keys:
+        raise ValueError(f"{table} is partitioned by {sorted(keys)}, not by {sorted(spec)}")
+
+
+def _empty_partition(spark: SparkSession, table: str, spec: Mapping[str, object]) -> None:
+    """Replace a partition by no rows; unlike a drop this deletes external files too."""
+    nothing = ", ".join(
+        f"CAST(NULL AS {f.dataType.simpleString()})"
+        for f in spark.table(table).schema.fields
+        if f.name not in spec
+    )
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({_clause(spec)}) SELECT {nothing} WHERE false"
+    )
+    left = spark.table(table)
+    for column, value in spec.items():
+        left = left.where(F.col(f"`{column}`") == F.lit(value).cast(left.schema[column].dataType))
+    if not left.isEmpty():
+        raise RuntimeError(f"{table}: rows are left in PARTITION ({_clause(spec)})")
+
+
 def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, object]) -> int:
     """Replace the partition ``spec`` of ``table`` with the rows; return their number.
 
-    The table must exist. New files are staged and the old ones disappear only
-    when the job commits; other partitions are not touched. An empty input
-    leaves an empty partition.
+    The table must exist, and ``spec`` must name all of its partition columns and
+    nothing else; both are checked before anything is written. New files are
+    staged and the old ones disappear only when the job commits; other partitions
+    are not touched. An empty input leaves an empty partition, of managed and
+    external tables.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         raise ValueError(f"table {table} does not exist")
-    target = spark.table(table).schema
-    unknown = set(spec) - set(target.names)
-    if unknown:
-        raise ValueError(f"not columns of {table}: {sorted(unknown)}")
+    _check_spec(spark, table, spec)
     columns = [
         F.lit(spec[f.name]).cast(f.dataType).alias(f.name)
         if f.name in spec
         else F.col(f"`{f.name}`")
-        for f in target.fields
+        for f in spark.table(table).schema.fields
     ]
     written = Observation()
     rows = df.select(*columns).observe(written, F.count(F.lit(1)).alias("rows"))
@@ -67,6 +93,6 @@ def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, object]) -
         rows.write.mode("overwrite").insertInto(table)
     count = written.get["rows"]
     if count == 0:
-        drop_partition(spark, table, spec)
+        _empty_partition(spark, table, spec)
     add_partition(spark, table, spec)
     return count

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from importlib import import_module
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import Row, StructType
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 from tabflow.fixed import USER_BATCH_SIZE
 
@@ -19,29 +20,41 @@ class Sent(WriterCommitMessage):
     records: int
 
 
-class RecordBatchWriter(DataSourceWriter):
-    """Hands each task's rows to the sender, ``batchSize`` at a time."""
+class RecordBatchWriter(DataSourceArrowWriter):
+    """Hands each task's rows to the sender, ``batchSize`` at a time.
+
+    Rows arrive as Arrow batches, which are cut and converted a batch at a time.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.sender = options["sender"]
         self.size = int(options.get("batchsize", USER_BATCH_SIZE))
 
-    def write(self, rows: Iterator[Row]) -> Sent:
+    def write(self, arrow: Iterator[pa.RecordBatch]) -> Sent:
         module, name = self.sender.split(":")
         send = getattr(import_module(module), name)
-        batch: list[dict] = []
         batches = records = 0
-        for row in rows:
-            batch.append(row.asDict(recursive=True))
-            if len(batch) == self.size:
-                send(batch)
-                batches, records, batch = batches + 1, records + len(batch), []
-        if batch:
-            send(batch)
-            batches, records = batches + 1, records + len(batch)
+        for rows in _resized(arrow, self.size):
+            send(rows.to_pylist())
+            batches, records = batches + 1, records + rows.num_rows
         return Sent(batches, records)
 
 
+def _resized(arrow: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The same rows in tables of ``size`` rows, the last one of what is left."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in arrow:
+        held.append(batch)
+        count += batch.num_rows
+        while count >= size:
+            table = pa.Table.from_batches(held)
+            yield table.slice(0, size)
+            held, count = table.slice(size).to_batches(), count - size
+    if count:
+        yield pa.Table.from_batches(held)
+
+
 class RecordBatches(DataSource):
     """Data source ``record_batches``: option ``sender`` is ``module:function``.
 

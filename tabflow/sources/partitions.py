@@ -16,8 +16,9 @@ def partition_predicate(
 ) -> Column | None:
     """One predicate for the partition columns, or None for the whole table.
 
-    A value is a single value, a ``(low, high)`` pair, or the text
-    ``"low:high"``. Ranges include both ends. Literals take the type of the
+    A value is a single value, a ``(low, high)`` pair, or the text ``"low:high"``.
+    A text with one colon that is no range goes into a tuple of its own, as in
+    ``("12:30",)``, and times in a range into a pair. Ranges include both ends. Literals take the type of the
     partition column, so the comparison prunes folders before anything is read.
     """
     if len(columns) != len(values):
@@ -27,6 +28,8 @@ def partition_predicate(
         dtype = df.schema[column].dataType
         if isinstance(value, str) and value.count(":") == 1:
             value = tuple(value.split(":"))
+        if isinstance(value, tuple) and len(value) == 1:
+            return F.col(column) == F.lit(value[0]).cast(dtype)
         if isinstance(value, tuple):
             low, high = (F.lit(v).cast(dtype) for v in value)
             return F.col(column).between(low, high)

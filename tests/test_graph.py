@@ -1,10 +1,12 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabflow.checks.inputs import fresh_name
 from tabflow.operators import graph as G
+from tabflow.scratch import Scratch
 from tabflow.sinks.graph_store import GraphStore
 from tests.helpers import rows
 
@@ -81,12 +83,64 @@ def test_incremental_loads_keep_ids_and_reach_the_same_graph(store, pairs):
 
 
 def test_interrupted_load_is_finished_by_the_next(store, pairs):
-    store._append("nodes", store._numbered("nodes", G.follow_nodes(pairs(PAIRS))))
+    with Scratch(store.spark) as scratch:
+        store._add("nodes", G.follow_nodes(pairs(PAIRS)), scratch)
     # the edges never arrive
-    store.upsert(pairs(PAIRS))
+    assert store.upsert(pairs(PAIRS)) == {"nodes": 0, "edges": 5}
     assert store.nodes().count() == 5 and store.edges().count() == 5
 
 
+def test_rows_that_never_arrived_leave_a_gap_but_no_copy(store, pairs, monkeypatch):
+    monkeypatch.setattr(store, "_append", lambda *a: None)
+    store.upsert(pairs(PAIRS))
+    monkeypatch.undo()
+    store.upsert(pairs(PAIRS))
+    assert rows(store.nodes()) == [(5, 1), (6, 2), (7, 3), (8, 4), (9, 9)]
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+@pytest.mark.parametrize("partitions", ["3", "16"])
+def test_another_session_setting_changes_nothing(spark, tmp_path, pairs, conf, partitions, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    conf("spark.sql.shuffle.partitions", "8")
+    data = pairs([(i, 7 * i % 300) for i in range(300)])
+    location = str(tmp_path / "it's")
+    store = GraphStore.open(spark, fresh_name("graph"), location)
+    assert store.upsert(data) == {"nodes": 300, "edges": 300}
+    before = rows(store.nodes()), rows(store.edges())
+    store.forget()
+    conf("spark.sql.shuffle.partitions", partitions)
+    again = GraphStore.open(spark, fresh_name("graph"), location)
+    assert again.buckets == 8
+    assert again.upsert(data) == {"nodes": 0, "edges": 0}
+    assert (rows(again.nodes()), rows(again.edges())) == before
+    assert again.upsert(pairs([(1, 2), (900, 1)])) == {"nodes": 1, "edges": 2}
+    with pytest.raises(ValueError, match="8 buckets, not 4"):
+        GraphStore.open(spark, fresh_name("graph"), location, buckets=4)
+    again.forget()
+
+
+def test_compacting_keeps_the_rows_in_fewer_files(store, pairs):
+    for k in range(3):
+        store.upsert(pairs([(i, i + k) for i in range(200)]))
+    before = rows(store.nodes()), rows(store.edges()), len(store.edges().inputFiles())
+    store.compact()
+    assert (rows(store.nodes()), rows(store.edges())) == before[:2]
+    assert len(store.edges().inputFiles()) <= store.buckets < before[2]
+    assert store.upsert(pairs([(i, i) for i in range(201)])) == {"nodes": 0, "edges": 1}
+    store.forget()
+    again = GraphStore.open(store.spark, store.name, store.location)
+    assert again.edges().count() == len(before[1]) + 1
+
+
+def test_a_load_leaves_no_scratch_tables(spark, store, pairs):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("*"))
+    store.upsert(pairs(PAIRS))
+    assert set(folder.glob("*")) == before
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_only_new_with_and_without_broadcast(pairs, conf, threshold):
     conf("spark.sql.autoBroadcastJoinThreshold", threshold)

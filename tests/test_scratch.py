@@ -30,6 +30,16 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     assert "/x-" in scratch_path(session({}, "local[2]"), "x")
 
 
+def test_a_local_folder_is_refused_on_a_cluster():
+    local = {"spark.checkpoint.dir": "file:/data/cp"}
+    with pytest.raises(RuntimeError, match="local to each machine"):
+        scratch_path(session(local, "yarn"), "x")
+    assert scratch_path(session(local, "local-cluster[2,1,1024]"), "x")
+    assert scratch_path(session(local | {"spark.tabflow.scratch.sharedMount": "true"}, "yarn"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session({}, "local-cluster[2,1,1024]"), "x")
+
+
 def test_a_cluster_needs_a_database_setting():
     with pytest.raises(RuntimeError, match="spark.tabflow.jdbc.url"):
         database(session({}, "yarn"))

@@ -5,12 +5,12 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from tabflow.checks.inputs import fresh_name
+from tabflow.checks.inputs import drop_all, fresh_name, pointer_table
 from tabflow.sinks import files, publish
 from tabflow.sinks.jdbc import load_jdbc
 from tabflow.sinks.partition import add_partition, drop_partition, overwrite_partition
 from tabflow.sinks.record_batches import send_in_batches
-from tabflow.sources.jdbc import JdbcTarget, count_jdbc
+from tabflow.sources.jdbc import JdbcTarget, count_jdbc, update_jdbc
 from tabflow.sources.lines import text_lines
 from tests.helpers import rows
 
@@ -40,6 +40,21 @@ def test_nulls_do_not_shift_columns(spark, tmp_path):
     assert rows(files.read_tsv(text_lines(spark, path), schema)) == rows(df)
 
 
+def test_texts_with_separators_stay_whole(spark, tmp_path):
+    texts = ["a\tb", "c\nd", "e\rf", "g\r\nh", "\\N", "\\", "\\\\t", "\\t", "x\\", "\t\\\n", ""]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "i int, t string, n string")
+    path = str(tmp_path / "t")
+    assert files.write_lines(files.to_tsv(df), path) == len(texts)
+    found = text_lines(spark, path)
+    assert found.count() == len(texts)
+    assert rows(files.read_tsv(found, "i int, t string, n string")) == rows(df)
+
+
+def test_foreign_backslashes_can_be_plain(lines):
+    found = files.read_tsv(lines("C:\\new\t\\N"), "a string, b string", escape=False)
+    assert rows(found) == [("C:\\new", None)]
+
+
 def test_output_is_replaced_or_refused(spark, tmp_path, lines):
     path = str(tmp_path / "t")
     files.write_lines(lines("a", "b"), path)
@@ -123,6 +138,28 @@ def test_the_table_and_columns_must_exist(spark, table):
         overwrite_partition(spark.range(1), table, {"nope": 1})
 
 
+def test_nothing_is_written_for_a_wrong_spec(spark, table):
+    overwrite_partition(spark.range(5), table, {"p": "a", "q": 1})
+    for spec in ({"p": "a"}, {"p": "a", "q": 1, "id": 7}, {"id": 7}):
+        with pytest.raises(ValueError, match="is partitioned by"):
+            overwrite_partition(spark.range(9), table, spec)
+    assert sizes(spark, table) == {("a", 1): 5}
+
+
+def test_an_empty_export_empties_an_external_table(spark, tmp_path):
+    name = fresh_name("external")
+    spark.sql(
+        f"CREATE TABLE {name} (id BIGINT, p STRING, q INT) USING parquet "
+        f"PARTITIONED BY (p, q) LOCATION '{tmp_path / 'files'}'"
+    )
+    for p in "ab":
+        overwrite_partition(spark.range(5), name, {"p": p, "q": 1})
+    assert overwrite_partition(spark.range(0), name, {"p": "a", "q": 1}) == 0
+    assert sizes(spark, name) == {("b", 1): 5}
+    assert spark.read.parquet(str(tmp_path / "files")).count() == 5
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_partition_definitions(spark, table):
     add_partition(spark, table, {"p": "x", "q": 3})
     add_partition(spark, table, {"p": "x", "q": 3})
@@ -182,9 +219,7 @@ def pointer(spark):
 def songs(spark):
     name = fresh_name("songs")
     yield name
-    spark.sql(f"DROP VIEW IF EXISTS {name}")
-    for copy in ("Table1", "Table2"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}_{copy}")
+    drop_all(spark, name)
 
 
 def publish_at(spark, table, df, at, pointer, prop="songs"):
@@ -222,14 +257,92 @@ def test_an_unknown_property_changes_no_pointer(spark, songs, pointer):
     assert rows(spark.table(pointer)) == before
 
 
+def test_a_failed_publish_in_the_same_week_keeps_the_live_copy(spark, songs, pointer):
+    publish_at(spark, songs, spark.range(3), JUNE_4, pointer)
+    before = rows(spark.table(pointer))
+    with pytest.raises(PySparkException, match="broken"):
+        publish_at(spark, songs, failing(spark.range(9)), JUNE_4, pointer)
+    assert spark.table(songs).count() == 3 and rows(spark.table(pointer)) == before
+
+
+def test_a_list_that_failed_half_way_can_be_run_again(spark, songs, pointer):
+    good = publish.Publication("songs", songs, spark.range(3))
+    bad = publish.Publication("it's", f"{songs}_b", failing(spark.range(3)))
+    for _ in range(2):
+        with pytest.raises(PySparkException, match="broken"):
+            publish.publish_tables(spark, [good, bad], JUNE_4, pointer)
+        assert spark.table(songs).count() == 3
+    mended = publish.Publication("it's", f"{songs}_b", spark.range(2))
+    publish.publish_tables(spark, [good, mended], JUNE_4, pointer)
+    assert (spark.table(songs).count(), spark.table(f"{songs}_b").count()) == (3, 2)
+
+
+def test_earlier_tables_of_a_copy_are_dropped(spark, songs, pointer):
+    for n in (3, 4, 5):
+        publish_at(spark, songs, spark.range(n), JUNE_4, pointer)
+    names = [t.name for t in spark.catalog.listTables(pattern=f"{songs}_table*")]
+    assert len(names) == 2  # the copy's view and the table it shows
+
+
+def pointers(spark, database, name):
+    table = database.apply(spark.read).option("dbtable", name).load()
+    return {r["property"]: (r["value"], r["note"]) for r in table.collect()}
+
+
 def test_publishing_to_a_database(spark, database):
-    start = spark.createDataFrame([("s", "none"), ("t", "Table1")], "property string, value string")
-    load_jdbc(start, database, "bag")
-    item = publish.Publication("s", "chart", spark.range(4))
-    assert publish.publish_jdbc(spark, [item], JUNE_4, "bag", database) == {"chart": 4}
-    live = dict(rows(stored(spark, database, "bag")))
-    assert live["t"] == "Table1"
-    assert count_jdbc(spark, database, f"chart_{live['s']}") == 4
+    bag = fresh_name("bag")
+    pointer_table(spark, database, bag, {"s": "none", "t": "Table1"})
+    chart = fresh_name("chart")
+
+    def publish_rows(df, at=JUNE_4, prop="s"):
+        item = publish.Publication(prop, chart, df)
+        return publish.publish_jdbc(spark, [item], at, bag, database, connections=2)
+
+    assert publish_rows(spark.range(4)) == {chart: 4}
+    live = pointers(spark, database, bag)
+    assert live["t"] == ("Table1", "kept") and live["s"][1] == "kept"
+    assert count_jdbc(spark, database, f"{chart}_{live['s'][0]}") == 4
+    with pytest.raises(PySparkException, match="broken"):
+        publish_rows(failing(spark.range(9)))  # the same week
+    assert pointers(spark, database, bag) == live
+    assert count_jdbc(spark, database, f"{chart}_{live['s'][0]}") == 4
+    publish_rows(spark.range(6))
+    now = pointers(spark, database, bag)
+    assert now["s"][0] != live["s"][0] and now["t"] == live["t"]
+    assert count_jdbc(spark, database, f"{chart}_{now['s'][0]}") == 6
+    with pytest.raises(ValueError, match="0 rows"):
+        publish_rows(spark.range(1), prop="nobody")
+    assert pointers(spark, database, bag) == now
+
+
+def test_a_wrong_update_is_rolled_back(spark, database):
+    bag = fresh_name("bag")
+    pointer_table(spark, database, bag, {"s": "1", "t": "1"})
+    with pytest.raises(RuntimeError, match="2 rows changed instead of 1"):
+        update_jdbc(spark, database, f'UPDATE {bag} SET "value" = ?', ["2"], expected=1)
+    assert pointers(spark, database, bag)["s"] == ("1", "kept")
+
+
+def test_the_input_of_a_load_runs_once(spark, database):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 100, 1, 8).mapInArrow(count, "id bigint")
+    assert load_jdbc(df, database, fresh_name("once")) == 100
+    assert seen.value == 100
+
+
+def test_an_append_with_a_key_can_be_run_again(spark, database):
+    name = fresh_name("keyed")
+    for key, n in ((1, 5), (2, 7), (2, 3), (1, 5)):
+        df = spark.range(n).withColumn("load", F.lit(key))
+        assert load_jdbc(df, database, name, replace=False, load_key=("load", key)) == n
+    found = stored(spark, database, name).groupBy("load").count()
+    assert {r["load"]: r["count"] for r in found.collect()} == {1: 5, 2: 3}
 
 
 # External stores

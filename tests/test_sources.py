@@ -78,17 +78,17 @@ def test_offsets_are_bytes(spark, tmp_path, split_bytes):
     text = "".join(f"Zeile {i} é\n" if i % 3 else f"x{i}\r\n\n" for i in range(400)) + "last"
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_bytes(text.encode())
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
     key = "mapreduce.input.fileinputformat.split.maxsize"
     if split_bytes:
-        hadoop.set(key, str(split_bytes))
+        settings.set(key, str(split_bytes))
     try:
         df = offset_lines(spark, str(tmp_path / "in"))
         assert [tuple(r) for r in df.collect()] == brute_offsets(text.encode())
         if split_bytes:
             assert df.rdd.getNumPartitions() > 3
     finally:
-        hadoop.unset(key)
+        settings.unset(key)
 
 
 def test_offsets_start_again_in_each_file(spark, tmp_path):
@@ -113,6 +113,14 @@ def test_header_is_skipped_once_per_file(spark, tmp_path, conf, split_bytes):
     assert sorted(r["value"] for r in found.collect()) == sorted(expected)
 
 
+def test_header_lines_need_no_shuffle_of_the_lines(spark, tmp_path, plan):
+    (tmp_path / "a.csv").write_text("h\nh\nx\n")
+    text = plan(lines_after_header(spark, str(tmp_path), 2))
+    moved = [line for line in text.splitlines() if "Exchange" in line]
+    assert moved and not any("value" in line for line in moved), text
+    assert "SortMergeJoin" not in text
+
+
 def test_sequence_file_keys_and_values(spark, tmp_path):
     path = str(tmp_path / "seq")
     spark.sparkContext.parallelize([(1, "a\tb"), (2, "é")], 2).saveAsSequenceFile(path)
