@@ -40,7 +40,7 @@ PERCENT = 80
 #: Words per shingle where nothing else is asked for.
 WORDS = 5
 #: Bytes of text that are hashed at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _PLANES = 4  # bits kept of each coordinate for estimates
 _LONGS = COORDINATES // 64

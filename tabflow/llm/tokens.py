@@ -30,9 +30,8 @@ from tabflow.llm.texts import bounded_batches
 
 #: A block is closed when it has so many tokens; one document is never split.
 BLOCK_TOKENS = 1 << 16
-#: Words whose ids a Python worker remembers: twice as many at most, as it also keeps
-#: those it knew before it last started anew.
-CACHED_WORDS = 150_000
+#: Words whose ids a Python worker remembers. Beyond it, it keeps those it has just used.
+CACHED_WORDS = 500_000
 
 BLOCKS = (
     "part int, block int, first bigint, n_tokens bigint, bits int, doc_ids array<bigint>, "
@@ -89,7 +88,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
         self.known: dict[bytes, bytes] = {b"": b""}
-        self.older: dict[bytes, bytes] = {}
         self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids[-1]
 
     def encode(self, texts: pa.Array, end_id: int | None) -> list[bytes]:
@@ -117,16 +115,14 @@ class Encoder:
         return [data[low:high] + end for low, high in zip(cuts, cuts[1:])]
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {b"": b""}, self.known
         self._learn(set(filterfalse(self.known.__contains__, words)))
-        return list(map(self.known.__getitem__, words))
+        made = list(map(self.known.__getitem__, words))
+        if len(self.known) > CACHED_WORDS:
+            self.known = {b"": b""} | dict(zip(words, made))
+        return made
 
     def _learn(self, new: set[bytes]) -> None:
-        known, older = self.known, self.older
-        again = new.intersection(older)
-        known.update(zip(again, map(older.__getitem__, again)))
-        new -= again
+        known = self.known
         plain = {w for w in new if len(w.translate(None, _SPECIAL)) == len(w)}
         stems = [(w, *_stem(w)) for w in new.difference(plain)]
         parts = {s[1] for s in stems} | {s[2] for s in stems}
@@ -154,7 +150,7 @@ class Encoder:
 
 
 #: Texts that are encoded together.
-_TEXTS = 1_000
+_TEXTS = 2_000
 #: Words that are encoded as one text, with a bar between them.
 _JOINED = 200
 _BAR = b"|"
