@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabflow.operators import numbering
 from tabflow.operators.numbering import batch_numbers, dense_numbers
 from tabflow.scratch import staged
 
@@ -25,7 +24,7 @@ def test_two_keys(spark):
     assert [r["n"] for r in ordered] == list(range(600))
 
 
-def test_hot_key_is_split_and_every_number_used_once(spark, conf, monkeypatch):
+def test_hot_key_is_split_and_every_number_used_once(spark, conf):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     written = []
 
@@ -33,11 +32,10 @@ def test_hot_key_is_split_and_every_number_used_once(spark, conf, monkeypatch):
         written.append(staged(df, name))
         return written[-1]
 
-    monkeypatch.setattr(numbering, "staged", keep)
     df = spark.range(0, 9000, 1, 6).select(
         F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("k"), "id"
     )
-    found = dense_numbers(df, "n", ["k"]).collect()
+    found = dense_numbers(df, "n", ["k"], stage=keep).collect()
     assert sorted(r["n"] for r in found) == list(range(9000))
     ordered = sorted(found, key=lambda r: r["n"])
     assert [r["k"] for r in ordered] == sorted(r["k"] for r in found)
