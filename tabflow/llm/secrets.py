@@ -7,13 +7,15 @@ it is one: chi-squared for a uniform use of the alphabet, the number of runs abo
 below its middle, and the correlation of neighbours. The least of the three p-values,
 times three, is the candidate's.
 
-Over all candidates of the corpus a weighted step-up procedure (Benjamini and
-Hochberg, with weights in proportion to length, as long strings are judged better)
-then rejects the ones that are not random. The false discovery rate bounds the share
-of random strings among those rejected. What is left is reported.
+Over the candidates of each length class (from a power of two to the next) a step-up
+procedure (Benjamini and Hochberg) then rejects the ones that are not random. The
+false discovery rate bounds the share of random strings among those rejected of a
+class. What is left is reported. Within a class p-values have no weights, so a random
+string is lost with a probability below that rate, whatever its length and whatever
+the other classes hold; length only raises the power of the tests.
 
 All of it is built-in functions; texts are read once and never shuffled. Only the
-mean length and the histogram's threshold come to the driver.
+thresholds, one per length class, come to the driver.
 """
 
 from __future__ import annotations
@@ -46,15 +48,20 @@ CANDIDATE = (
 FALSE_DISCOVERIES = 0.05
 
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+_BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 # Encodings, smallest first, as a pattern of all characters and an alphabet.
+# Long strings of an encoding pass no test against the alphabet of a larger one.
 ENCODINGS = (
     ("^[0-9a-f]+$", _DIGITS + "abcdef"),
     ("^[0-9A-F]+$", _DIGITS + "ABCDEF"),
     ("^[A-Z2-7]+$", _LOWER.upper() + "234567"),
+    ("^[a-z2-7]+$", _LOWER + "234567"),
     ("^[0-9a-z]+$", _DIGITS + _LOWER),
     ("^[0-9A-Z]+$", _DIGITS + _LOWER.upper()),
+    ("^[1-9A-HJ-NP-Za-km-z]+$", _BASE58),
     ("^[0-9A-Za-z]+$", _DIGITS + _LOWER.upper() + _LOWER),
     ("^[0-9A-Za-z_-]+$", _LOWER.upper() + _LOWER + _DIGITS + "-_"),
+    ("^[0-9A-Za-z+/]+$", _LOWER.upper() + _LOWER + _DIGITS + "+/"),
     ("", _LOWER.upper() + _LOWER + _DIGITS + "+/-_"),
 )
 
@@ -240,8 +247,11 @@ def scan_secrets(
         ),
         "secrets",
     )
-    mean, limit = _threshold(rows, false_discoveries)
-    is_random = lambda t: t["test"]["p"] * F.lit(mean) / t["test"]["n"] > F.lit(limit)
+    limits = _thresholds(rows, false_discoveries)
+    limit = lambda n: F.coalesce(
+        *[F.when(_length_class(n) == c, F.lit(edge)) for c, edge in sorted(limits.items())], F.lit(0.0)
+    )
+    is_random = lambda t: t["test"]["p"] > limit(t["test"]["n"])
     random = F.transform(F.filter("tests", is_random), lambda t: t["span"])
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
     return rows.select(
@@ -255,23 +265,29 @@ def scan_secrets(
     )
 
 
-def _threshold(rows: DataFrame, rate: float) -> tuple[float, float]:
-    """The mean length of all candidates, and the largest weighted p-value rejected.
+def _length_class(n: Column) -> Column:
+    """The power of two that a length reaches."""
+    return F.length(F.bin(n)) - 1
+
+
+def _thresholds(rows: DataFrame, rate: float) -> dict[int, float]:
+    """Per length class with rejections, the largest p-value rejected.
 
     p-values are summed in a histogram of their logarithm, whose size does not
     depend on the input, and each counts as its bin's upper end.
     """
     tests = rows.select(F.explode("tests.test").alias("t")).select("t.n", "t.p")
-    mean, m = tests.agg(F.avg("n"), F.count("*")).first()
-    if not m:
-        return 1.0, 0.0
-    weighted = F.greatest(F.col("p") * mean / F.col("n"), F.lit(_LOWEST))
-    bins = tests.groupBy(F.floor(-F.log(weighted) * _BINS_PER_E).alias("bin")).count()
-    upto = Window.orderBy(F.desc("bin"))  # at most a few ten thousand bins
+    at = F.floor(-F.log(F.greatest(F.col("p"), F.lit(_LOWEST))) * _BINS_PER_E)
+    bins = tests.groupBy(_length_class(F.col("n")).alias("class"), at.alias("bin")).count()
+    of = Window.partitionBy("class")  # at most a few ten thousand bins
     edge = F.exp(-F.col("bin") / _BINS_PER_E)
-    passed = bins.select("bin", edge.alias("edge"), F.sum("count").over(upto).alias("rank"))
-    best = passed.where(F.col("edge") * m <= F.lit(rate) * F.col("rank")).agg(F.max("edge")).first()[0]
-    return mean, best or 0.0
+    passed = bins.select(
+        "class",
+        edge.alias("edge"),
+        F.sum("count").over(of.orderBy(F.desc("bin"))).alias("rank"),
+        F.sum("count").over(of).alias("m"),
+    ).where(F.col("edge") * F.col("m") <= F.lit(rate) * F.col("rank"))
+    return dict(map(tuple, passed.groupBy("class").agg(F.max("edge")).collect()))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

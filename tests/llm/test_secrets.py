@@ -40,6 +40,33 @@ def test_random_strings_are_told_from_text(docs):
     assert sum(got[100 + i] for i in range(60)) == 0
 
 
+def test_random_strings_of_any_length_are_reported_among_natural_ones(docs):
+    draw = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    upper = letters.upper()
+    alphabets = {
+        "hex": "0123456789abcdef",
+        "base32": letters + "234567",
+        "base58": "".join(c for c in upper + letters + "123456789" if c not in "IOl"),
+        "base64": upper + letters + "0123456789+/",
+        "base64url": upper + letters + "0123456789-_",
+    }
+    words = ["".join(draw.choices("etaoinshrdlu", k=5)) for _ in range(60)]
+    rows = [(i, "/".join(draw.choices(words, k=4)) + f"-{i % 10}") for i in range(3000)]
+    sizes, made = (20, 70, 200, 700, 2000, 5000), {}
+    for size in sizes:
+        for kind, alphabet in alphabets.items():
+            if kind == "hex" and size >= 32:  # these are of a base pattern
+                continue
+            for _ in range(20):
+                made[10_000 + len(made)] = size, kind
+                rows.append((9_999 + len(made), "".join(draw.choices(alphabet, k=size - 2)) + "a2"))
+    got = {r.doc_id: r.n_random for r in secrets.scan_secrets(docs(*rows)).collect()}
+    assert sum(got[i] for i in range(3000)) == 0
+    for group in set(made.values()):
+        assert sum(got[i] for i, g in made.items() if g == group) >= 16, group
+
+
 def test_nothing_to_test(docs, plan):
     found = secrets.scan_secrets(docs((1, "plain"), (None, None), (1, "plain")))
     assert [(r.n_random, r.base, r.spans) for r in found.collect()] == [(0, [], [])] * 3
