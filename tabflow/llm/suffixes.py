@@ -40,7 +40,7 @@ _PLACE = 1 << 31  # offsets and sizes are below this, as no text has 2 GB
 
 _NO_ID = -(1 << 63)
 
-SEGMENTS = "v bigint, x bigint, doc bigint, at bigint, twice boolean"
+SEGMENTS = "v bigint, x bigint, doc bigint, key bigint, at bigint, twice boolean"
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -107,10 +107,11 @@ def equal_windows(pieces: list[bytes], length: int = LENGTH) -> tuple[np.ndarray
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to segments: ``v`` fingerprint, ``x`` hash of the bytes, ``at`` place and size."""
-    names = ["v", "x", "doc", "at", "twice"]
+    names = ["v", "x", "doc", "key", "at", "twice"]
     for batch in batches:
         docs = batch.column(0).to_numpy(zero_copy_only=False)
-        for first, texts in _chunks(batch.column(1)):
+        keys = batch.column(1).to_numpy(zero_copy_only=False)
+        for first, texts in _chunks(batch.column(2)):
             sizes = np.array([len(t) for t in texts])
             text, start, number, value, whole, twice = segments(sizes, Hashes(b"".join(texts)))
             yield pa.RecordBatch.from_arrays(
@@ -118,6 +119,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(value.astype(np.int64)),
                     pa.array(whole.astype(np.int64)),
                     pa.array(docs[first + text]),
+                    pa.array(keys[first + text]),
                     pa.array(start * _PLACE + number),
                     pa.array(twice),
                 ],
@@ -139,22 +141,23 @@ def _chunks(column) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, wanted segments) to one row per segment with its bytes."""
+    """(doc, key, text, wanted segments) to one row per segment with its bytes."""
     for batch in batches:
         for i in range(batch.num_rows):
-            data = encode(batch.column(1)[i].as_py() or "")
-            wanted = batch.column(2)[i].as_py()
+            data = encode(batch.column(2)[i].as_py() or "")
+            wanted = batch.column(3)[i].as_py()
             cuts = [(w["at"] // _PLACE, w["at"] % _PLACE + LENGTH - 1) for w in wanted]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([w["v"] for w in wanted], pa.int64()),
                     pa.array([w["x"] for w in wanted], pa.int64()),
                     pa.array([batch.column(0)[i].as_py()] * len(wanted), pa.int64()),
+                    pa.array([batch.column(1)[i].as_py()] * len(wanted), pa.int64()),
                     pa.array([c[0] for c in cuts], pa.int64()),
                     pa.array([w["large"] for w in wanted], pa.bool_()),
                     pa.array([data[a : a + n] for a, n in cuts], pa.binary()),
                 ],
-                ["v", "x", "doc", "start", "large", "piece"],
+                ["v", "x", "doc", "key", "start", "large", "piece"],
             )
 
 
@@ -170,21 +173,23 @@ def _sorted_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 yield _repeats(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[4])
+            size += len(row[5])
             last = row[0]
     if held:
         yield _repeats(held)
 
 
 def _repeats(rows: list[tuple]) -> pa.RecordBatch:
-    piece, offset, group = equal_windows([r[4] for r in rows])
+    piece, offset, group = equal_windows([r[5] for r in rows])
     doc = np.array([r[2] for r in rows])[piece]
-    place = np.array([r[3] for r in rows])[piece] + offset
-    order = np.lexsort((place, doc, group))
+    key = np.array([r[3] for r in rows])[piece]
+    place = np.array([r[4] for r in rows])[piece] + offset
+    order = np.lexsort((place, key, doc, group))
     later = np.zeros(len(order), bool)
     later[1:] = group[order[1:]] == group[order[:-1]]
     # a segment stands for its earliest occurrence; the same place is no repeat of itself
-    later[1:] &= (doc[order[1:]] != doc[order[:-1]]) | (place[order[1:]] != place[order[:-1]])
+    here, before = order[1:], order[:-1]
+    later[1:] &= (doc[here] != doc[before]) | (key[here] != key[before]) | (place[here] != place[before])
     found = order[later]
     piece, offset = piece[found], offset[found]
     order = np.lexsort((offset, piece))
@@ -209,27 +214,26 @@ def _repeats(rows: list[tuple]) -> pa.RecordBatch:
 def _hashed_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments to one row per window: two hashes of its bytes, and where it is."""
     for batch in batches:
-        for v, x, doc, start, data in zip(*(c.to_pylist() for c in batch.columns)):
+        for v, x, doc, key, start, data in zip(*(c.to_pylist() for c in batch.columns)):
             n = len(data) - LENGTH + 1
             hashes = Hashes(data)
             other = Hashes(data[::-1])
             at = np.arange(n)
             back = other.of(len(data) - at - LENGTH, len(data) - at)
-            columns = [np.full(n, c, np.int64) for c in (v, x, doc)]
+            columns = [np.full(n, c, np.int64) for c in (v, x, doc, key)]
             columns += [start + at, at, hashes.of(at, at + LENGTH).astype(np.int64)]
             columns.append(mix(back).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in columns], ["v", "x", "doc", "place", "offset", "h1", "h2"]
-            )
+            names = ["v", "x", "doc", "key", "place", "offset", "h1", "h2"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
 def _large_classes(pieces: DataFrame) -> DataFrame:
     """The same ranges for classes beyond ``CLASS_BYTES``: windows grouped by hashes."""
     rows = pieces.mapInArrow(
         _hashed_windows,
-        "v bigint, x bigint, doc bigint, place bigint, offset bigint, h1 bigint, h2 bigint",
+        "v bigint, x bigint, doc bigint, key bigint, place bigint, offset bigint, h1 bigint, h2 bigint",
     )
-    where = F.struct("doc", "place")
+    where = F.struct("doc", "key", "place")
     earliest = rows.groupBy("h1", "h2").agg(F.min(where).alias("first"))
     later = rows.join(earliest, ["h1", "h2"]).where(where != F.col("first"))
     offset = F.col("offset").cast("int")
@@ -243,10 +247,11 @@ def _large_classes(pieces: DataFrame) -> DataFrame:
 def repeated_spans(
     docs: DataFrame, class_bytes: int = CLASS_BYTES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc`` and ``spans``: per id with repeats, byte ranges (start, end), unsorted.
+    """``doc``, ``key`` and ``spans``: byte ranges (start, end) of rows with repeats, unsorted.
 
-    A byte is in a span if a ``LENGTH``-byte string that covers it also starts
-    earlier: at a smaller id, or in the same document before. Spans may overlap.
+    ``key`` is a hash of the text and tells rows of one id apart. A byte is in a span if
+    a ``LENGTH``-byte string that covers it also starts earlier: at a smaller id, at a
+    smaller key of the same id, or in the same text before. Spans may overlap.
     """
     picked = _picked(docs, id_col, text_col)
     cut = picked.mapInArrow(_cut, SEGMENTS)
@@ -257,7 +262,7 @@ def repeated_spans(
         .select("v")
     )
     live = staged(cut.join(often, "v", "left_semi"), "segments")
-    place = F.struct("doc", "at")
+    place = F.struct("doc", "key", "at")
     distinct = staged(
         live.groupBy("v", "x").agg(
             F.min(place).alias("first"), F.count("*").alias("n"), F.max("twice").alias("twice")
@@ -273,18 +278,19 @@ def repeated_spans(
     )
     wanted = (
         distinct.join(classes, "v")
-        .groupBy(F.col("first.doc").alias("doc"))
+        .groupBy(F.col("first.doc").alias("doc"), F.col("first.key").alias("key"))
         .agg(F.collect_list(F.struct("v", "x", F.col("first.at").alias("at"), "large")).alias("w"))
     )
     pieces = staged(
-        picked.join(wanted, "doc")
-        .select("doc", "text", "w")
+        picked.join(wanted, ["doc", "key"])
+        .select("doc", "key", "text", "w")
         .mapInArrow(
-            _pieces, "v bigint, x bigint, doc bigint, start bigint, large boolean, piece binary"
+            _pieces,
+            "v bigint, x bigint, doc bigint, key bigint, start bigint, large boolean, piece binary",
         ),
         "pieces",
     ).dropDuplicates(["v", "x"])
-    columns = ("v", "x", "doc", "start", "piece")
+    columns = ("v", "x", "doc", "key", "start", "piece")
     small = pieces.where("not large").select(*columns).repartition("v").sortWithinPartitions("v")
     found = small.mapInArrow(_sorted_classes, _REPEATS).union(
         _large_classes(pieces.where("large").select(*columns))
@@ -300,19 +306,20 @@ def repeated_spans(
         F.transform(F.coalesce(inner, F.array().cast("array<struct<low:int,high:int>>")),
                     lambda r: span(r["low"], r["high"]))
     )
-    # a document has at most as many spans as bytes
+    # a text has at most as many spans as bytes; exact copies of a row have the same ones
     return (
         live.join(firsts, ["v", "x"])
-        .select("doc", spans.alias("spans"))
+        .select("doc", "key", spans.alias("spans"))
         .where(F.size("spans") > 0)
-        .groupBy("doc")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        .groupBy("doc", "key")
+        .agg(F.flatten(F.collect_set("spans")).alias("spans"))
     )
 
 
 def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return bounded_batches(docs).select(
         F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_NO_ID)).alias("doc"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("key"),
         F.col(f"`{text_col}`").alias("text"),
     )
 
@@ -324,14 +331,15 @@ def without_repeats(
 
     ``kept`` has the bytes of the text, in UTF-8, that no repeat covers; ``n_spans``
     counts the maximal removed runs. A null or empty text has no bytes. Rows without
-    an id stand before all others. Rows that share an id are one document, whose
-    passages at one offset are no repeats of each other.
+    an id stand before all others. Rows that share an id (or have none) and a text are
+    one document, whose passages at one offset are no repeats of each other; different
+    texts of one id are documents of their own, in the order of a hash.
     """
     spans = repeated_spans(docs, class_bytes, id_col, text_col)
     rows = _picked(docs, id_col, text_col)
     rows = rows.withColumn("id", F.when(F.col("doc") != _NO_ID, F.col("doc")))
     return (
-        rows.join(spans, "doc", "left")
+        rows.join(spans, ["doc", "key"], "left")
         .select("id", "text", "spans")
         .mapInArrow(_remove, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
         .withColumnRenamed("id", id_col)
