@@ -25,7 +25,7 @@ from tabflow.llm.texts import alnum_words, bounded_batches
 
 #: Edits allowed per character of an item.
 MAX_ERRORS = 0.08
-#: Items shorter than this, in bytes after normalising, match exactly only.
+#: Items shorter than this, in bytes after normalising, match exactly and as whole words only.
 SHORTEST_FUZZY = 40
 #: Bytes of items in one automaton; more items take more passes over the documents.
 BLOCK_BYTES = 4 << 20
@@ -105,7 +105,10 @@ class Finder:
     def _verify(self, n: int, starts: list[int], text: bytes) -> tuple[int, int] | None:
         item, errors = self.items[n][1], self.errors[n]
         if not errors:
-            at = next((s for s in starts if s >= 0 and text.startswith(item, s)), None)
+            # the seed was the whole item, so every start is a copy; it must end at words' ends
+            blank = lambda at: text[at : at + 1] in (b"", b" ")
+            whole = (s for s in starts if blank(s + len(item)) and (s == 0 or blank(s - 1)))
+            at = next(whole, None)
             return None if at is None else (0, at + len(item))
         best, low, high = None, starts[0] - errors, starts[0]
         for start in [*starts[1:], None]:

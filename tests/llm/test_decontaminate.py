@@ -57,3 +57,11 @@ def test_odd_rows(spark, docs):
     assert left.columns == df.columns and sorted(str(r.doc_id) for r in left.collect()) == ["1", "2", "5", "None"]
     assert dec.find_items(docs(), items).collect() == []
     assert dec.find_items(df, items.limit(0)).collect() == []
+
+
+def test_exact_items_match_whole_words(spark, docs):
+    items = spark.createDataFrame([(1, "The art"), (2, "é")], "item_id int, text string")
+    df = docs((1, "bathe artist"), (2, "bathe art"), (3, "the artist"), (4, "The art!"), (5, "bathe arts, the ART of"), (6, "né é"), (7, "éé"))
+    got = sorted((r.doc_id, r.item_id, r.found) for r in dec.find_items(df, items).collect())
+    assert got == [(4, 1, "the art"), (5, 1, "the art"), (6, 2, "é")]
+    assert sorted(r.doc_id for r in dec.without_items(df, items).collect()) == [1, 2, 3, 7]
