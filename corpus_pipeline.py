@@ -35,9 +35,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found, row by row."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.without_items(docs, items)
+    return decontaminate.clean_rows(docs, items)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -142,11 +142,6 @@ def find_items(
     ``block_bytes``, and each block is one more pass over the documents, so memory
     does not grow with the benchmark.
     """
-    held = items.select(
-        F.col(f"`{item_col}`").cast("bigint").alias("item"), F.col(f"`{item_text_col}`").alias("text")
-    ).where(F.length("text") > 0)
-    total = held.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
     schema = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),
@@ -157,12 +152,25 @@ def find_items(
     )
     picked = bounded_batches(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     out = None
+    for wanted in _blocks(items, item_col, item_text_col, block_bytes):
+        found = picked.mapInArrow(_search(wanted, max_errors), schema)
+        out = found if out is None else out.union(found)
+    return out
+
+
+def _blocks(
+    items: DataFrame, item_col: str, item_text_col: str, block_bytes: int
+) -> Iterator[list[tuple[int, bytes]]]:
+    """Ids and normalised texts of the items, about ``block_bytes`` at a time."""
+    held = items.select(
+        F.col(f"`{item_col}`").cast("bigint").alias("item"), F.col(f"`{item_text_col}`").alias("text")
+    ).where(F.length("text") > 0)
+    total = held.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
     for block in range(blocks):
         mine = held.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
         wanted = [(r[0], normalised(r[1])) for r in mine.collect()]
-        found = picked.mapInArrow(_search([w for w in wanted if w[1]], max_errors), schema)
-        out = found if out is None else out.union(found)
-    return out
+        yield [w for w in wanted if w[1]]
 
 
 def _search(items: list[tuple[int, bytes]], max_errors: float) -> Callable:
@@ -200,3 +208,34 @@ def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     id_col = options.get("id_col", "doc_id")
     hit = find_items(docs, items, **options).select(id_col).distinct()
     return docs.join(hit, id_col, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def clean_rows(
+    docs: DataFrame,
+    items: DataFrame,
+    max_errors: float = MAX_ERRORS,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows in whose text no item is found, with all their columns.
+
+    The decision is made row by row on the text, so null and repeated ids do no harm
+    and nothing is shuffled. Each block of items is one more pass over the rows left.
+    """
+    at = docs.columns.index(text_col)
+
+    def lacking(wanted: list[tuple[int, bytes]]) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            finder = Finder(wanted, max_errors)
+            for batch in batches:
+                keep = [not finder.find(normalised(t.as_py())) for t in batch.column(at)]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        return run
+
+    rows = bounded_batches(docs)
+    for wanted in _blocks(items, item_col, item_text_col, block_bytes):
+        rows = rows.mapInArrow(lacking(wanted), docs.schema)
+    return rows

@@ -1,5 +1,6 @@
 import random
 
+import corpus_pipeline
 from tabflow.llm import decontaminate as dec
 from tests.llm import plain
 
@@ -65,3 +66,16 @@ def test_exact_items_match_whole_words(spark, docs):
     got = sorted((r.doc_id, r.item_id, r.found) for r in dec.find_items(df, items).collect())
     assert got == [(4, 1, "the art"), (5, 1, "the art"), (6, 2, "é")]
     assert sorted(r.doc_id for r in dec.without_items(df, items).collect()) == [1, 2, 3, 7]
+
+
+def test_the_stage_decides_row_by_row(spark, docs, tmp_path):
+    items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "one two three"), (3, None)], "item_id bigint, text string")
+    df = docs((None, "x Alpha beta, gamma y"), (None, "clean"), (5, "one two three"), (5, "clean"), (5, "clean"), (6, None))
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    staged = corpus_pipeline.drop_benchmark_items(spark, df, str(tmp_path))
+    for left in (staged, dec.clean_rows(df, items, block_bytes=5)):
+        assert left.columns == df.columns
+        got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+        assert got == sorted([(None, "clean"), (5, "clean"), (5, "clean"), (6, None)], key=str)
+    assert dec.clean_rows(docs(), items).collect() == []
+    assert dec.clean_rows(df, items.limit(0)).count() == 6
