@@ -94,4 +94,89 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT
 FROM bytes LEFT JOIN cut USING (doc_id)
 """
 
-ORACLES = {"op1_minhash_dedup": OP1, "op3_url_filter": OP3, "op4_suffix_dedup": OP4}
+OP11 = """
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+        list_transform([1, 9, 17, 25], lambda i:
+            ('0x' || substr(sha256('1:' || doc_id), i, 8))::BIGINT) AS h
+    FROM documents
+), drawn AS (
+    SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS low,
+        greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+            OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM texts
+), cut AS (
+    SELECT *, substr(t, 1, low) AS prefix, substr(t, low + 1, high - low) AS middle,
+        substr(t, high + 1) AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END)
+        AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM cut
+"""
+
+OP12 = r"""
+WITH texts AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS s,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+    FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = min(doc_id) OVER same AS kept, s AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)
+"""
+
+OP13 = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM worded, (VALUES (1), (2), (3), (4)) AS lengths(k)
+), f AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n
+    FROM placed GROUP BY ALL
+), sizes AS (
+    SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, string_split(phrase, ' ') AS w, n AS a FROM f WHERE k > 1 AND n >= 30
+), cuts AS (
+    SELECT c.lang, c.phrase, c.a, cut, x.n AS l, y.n AS r,
+        (2000000::HUGEINT * c.a) // (x.n + y.n) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')
+), scored AS (
+    SELECT * FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_phrases AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM candidates, (VALUES (2), (3)) s(size)
+        WHERE size < k)
+    GROUP BY ALL
+), ranked AS (
+    SELECT s.*, row_number() OVER (
+        PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+    FROM scored s LEFT JOIN inner_phrases i ON i.lang = s.lang AND i.phrase = s.phrase
+    WHERE i.longer IS NULL OR 100 * i.longer < 80 * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {
+    "op1_minhash_dedup": OP1,
+    "op3_url_filter": OP3,
+    "op4_suffix_dedup": OP4,
+    "op11_fill_in_middle": OP11,
+    "op12_exact_dedup": OP12,
+    "op13_phrase_mining": OP13,
+}

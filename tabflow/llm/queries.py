@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.llm import (
+    copies,
     decontaminate,
+    infill,
     licenses,
     minhash,
     mixing,
+    phrases,
     quality,
     secrets,
     suffixes,
@@ -101,6 +104,31 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_checksums(spark, folder)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every document is cut, and hashes of what is made of it and of what that gives back."""
+    made = infill.fill_in_middle(_table(spark, sf_dir, "documents"))
+    restored = infill.original(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with equal texts, and which one stays."""
+    return copies.find_copies(_table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -112,4 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_output": op10_token_output,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_phrase_mining": op13_phrase_mining,
 }
