@@ -1,10 +1,11 @@
 """Exact copies: grouped by a 128-bit hash, proven by comparing the texts of each group.
 
-Hashes and ids alone find the groups, so texts with a hash of their own are read and
-hashed but never moved. The texts of larger groups are then grouped by hash and text,
-which compares their bytes; copies are combined before the shuffle, so a group of any
-size leaves its tasks as one row each. Two texts in a group would be a collision of
-hashes, and its rows are then grouped by their texts.
+Hashes and ids alone find the groups. The texts of groups are then grouped by hash and text,
+which compares their bytes. Groups with more than a thousandth of all rows, which are fewer
+than a thousand, are known to every task: their copies are combined before the shuffle, so
+one row leaves a task for each. The texts of all others meet the hashes of the smaller
+groups in a shuffle. Two texts in a group would be a collision of hashes, and its rows
+are then grouped by their texts.
 """
 
 from __future__ import annotations
@@ -52,13 +53,18 @@ def find_copies(
     groups = rows.groupBy("key").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
     groups = staged(groups.where("n > 1"), "groups")
 
-    texts = hashed.join(groups.select("key"), "key", "left_semi")
-    found = texts.groupBy("key", "text").agg(F.count(F.lit(1)).alias("n"))
-    collided = staged(found.groupBy("key").count().where("count > 1").select("key"), "collided")
+    hot = F.col("n") > rows.count() / HOT_SHARE
+    few = F.broadcast(groups.where(hot).select("key"))
+    others = groups.where(~hot).select("key").hint("shuffle_hash")  # whatever their number
+    hot_texts = hashed.join(few, "key", "left_semi").select("key", "text").distinct()
+    cold = hashed.join(few, "key", "left_anti").join(others, "key", "left_semi")
+    texts = hot_texts.union(cold.select("key", "text").distinct())
+    collided = staged(texts.groupBy("key").count().where("count > 1").select("key"), "collided")
     if collided.isEmpty():
-        marked = _marked(rows, groups)
+        marked = _first(join_hot(rows, groups, ["key"], hot, "left"))
     else:
-        marked = _marked(rows.join(collided, "key", "left_anti"), groups).union(_by_text(hashed, collided))
+        single = rows.join(collided, "key", "left_anti")
+        marked = _first(join_hot(single, groups, ["key"], hot, "left")).union(_by_text(hashed, collided))
     return marked.withColumnsRenamed({"id": id_col, "sha": "text_sha256"})
 
 
@@ -69,14 +75,8 @@ def _hashed(docs: DataFrame, content_hash: Callable, id_col: str, text_col: str)
     return named.withColumn("key", content_hash(F.col("sha")))
 
 
-def _marked(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows with the first one of their group.
-
-    Hot groups, fewer than ``HOT_SHARE``, are broadcast; the others meet their rows in a
-    shuffle, in which no key then has more than one row in ``HOT_SHARE``.
-    """
-    hot = F.col("n") > rows.count() / HOT_SHARE
-    every = join_hot(rows, groups, ["key"], hot, "left")
+def _first(every: DataFrame) -> DataFrame:
+    """Rows with the first one of their group, which of a row without a group is itself."""
     first = F.coalesce("first", F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     return every.select(
         "id",
