@@ -8,22 +8,25 @@ phrase that turns out to be frequent is a failure: longer ones around it were no
 counted. Failures join the proposal and the phrases newly on its border are counted in a
 further pass, until there are no failures. Then every frequent phrase has been counted.
 
-Passes work on fingerprints of phrases. In a task, numpy makes them from the bytes of many
-texts at once and adds up equal ones before the shuffle. The proposal is held as bits of a
-fixed size (``BITS``) at the places of its fingerprints. A phrase that shares a place with
-a proposed one is counted as well, which costs counting and changes no result; the more
-phrases there are the more this happens, and no memory grows with the corpus. A last pass counts
-the texts of the frequent phrases.
+Passes work on fingerprints of phrases, which have 101 bits. In a task, numpy makes them from
+the bytes of many texts at once and adds up equal ones before the shuffle. The proposal
+is held as at most ``2 ** BITS`` bits at three places of each fingerprint. A phrase that
+seems to be marked by chance is counted as well, which costs counting and changes no result;
+beyond that size this happens more the more phrases there are, and memory grows no further.
+At last the texts of frequent phrases are looked up: in the sample, and those that do not
+occur there in all documents.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -41,8 +44,10 @@ NO_LANGUAGE = "und"
 SAMPLE = 8
 #: Share of the support that the sample asks for.
 LOWERED = 0.7
-#: Places of the proposal's bits, as a power of two: 16 MB.
+#: Bits of the proposal at most, as a power of two: 16 MB.
 BITS = 27
+#: Bits for each fingerprint, below that.
+PLACES = 16
 
 # Bytes that end a piece, and those that end a word.
 _PIECE_ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -53,7 +58,9 @@ _KIND[list(_PIECE_ENDS)] = 2
 
 _WINDOW = 1 << 20  # bytes whose fingerprints are made at a time
 _HELD = 1 << 22  # fingerprints that a task holds before it adds up equal ones
-_LENGTHS = 7  # mask of the bits for a length
+_NAMES = 100_000  # texts of phrases that a task holds
+_LENGTHS = 7  # mask of a fingerprint's bits for a length
+_COUNT_BITS = 24  # of the second number of a row; above them are more bits of the fingerprint
 #: Odd factors of the two fingerprints of a word.
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -138,20 +145,27 @@ def _words(
 
 
 class Marks:
-    """Bits at the places of fingerprints; the place is made of their upper bits."""
+    """Bits at three places of each fingerprint."""
 
     def __init__(self, bits: int, data: np.ndarray | None = None) -> None:
         self.bits = bits
-        self.data = np.zeros(1 << bits >> 3, np.uint8) if data is None else data
+        self.data = np.zeros(max(1, 1 << bits >> 3), np.uint8) if data is None else data
 
     @classmethod
-    def of(cls, prints: DataFrame, bits: int) -> Marks:
-        """Of a column ``print``; the driver gets the bits, whose number is fixed."""
-        place = F.shiftrightunsigned("print", 64 - bits) + 1
-        chunks = prints.groupBy(F.bitmap_bucket_number(place).alias("chunk")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-        )
+    def of(cls, tables: Sequence[DataFrame], most: int, exactly: bool = False) -> Marks:
+        """Of the columns ``print`` of written tables; the driver gets the bits alone.
+
+        Their number is a power of two with at least ``PLACES`` for each fingerprint, but at
+        most ``2 ** most``, or exactly that many.
+        """
+        prints = reduce(DataFrame.unionByName, tables).select("print")
+        bits = most if exactly else min(most, max(10, (PLACES * prints.count()).bit_length()))
         made = cls(bits)
+        one = [F.shiftrightunsigned("print", n).bitwiseAND(F.lit((1 << bits) - 1)) + 1 for n in made.shifts]
+        places = prints.select(F.explode(F.array(*one)).alias("place"))
+        chunks = places.groupBy(F.bitmap_bucket_number("place").alias("chunk")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+        )
         for chunk, some in chunks.collect():
             at = (chunk - 1) * len(some)
             made.data[at : at + len(some)] = np.frombuffer(some, np.uint8)[: len(made.data) - at]
@@ -163,9 +177,18 @@ class Marks:
     def __eq__(self, other: object) -> bool:
         return isinstance(other, Marks) and np.array_equal(self.data, other.data)
 
+    @property
+    def shifts(self) -> tuple[int, int, int]:
+        """Where the three places begin in a fingerprint, whose lowest bits are its length's."""
+        return 64 - self.bits, (67 - self.bits) // 2, 3
+
     def has(self, prints: np.ndarray) -> np.ndarray:
-        place = prints >> np.uint64(64 - self.bits)
-        return (self.data[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        found = np.full(len(prints), self.bits > 0)
+        for shift in self.shifts if self.bits else ():
+            some = np.flatnonzero(found)
+            place = prints[some] >> np.uint64(shift) & np.uint64((1 << self.bits) - 1)
+            found[some] = self.data[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+        return found
 
 
 def _longer(prints: np.ndarray, words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -206,96 +229,122 @@ def _levels(
         yield length, places[fresh], [s[places[fresh]] for s in shorter]
 
 
-def _texts(batch: pa.RecordBatch, powers: list[_Powers]) -> tuple[Words, np.ndarray, list[str]]:
-    """The words of a batch, and per text a number and the name of its language."""
+def _texts(batch: pa.RecordBatch, powers: list[_Powers]) -> tuple[Words, np.ndarray]:
+    """The words of a batch, and a number for the language of each text."""
     texts = batch.column(0).fill_null("").cast(pa.binary()).to_pylist()
-    names = batch.column(1).fill_null(NO_LANGUAGE).to_pylist()
-    made = {name: xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) for name in set(names)}
-    return Words(texts, powers), np.array([made[n] for n in names], np.uint64), names
+    return Words(texts, powers), np.asarray(batch.column(1)).view(np.uint64)
 
 
-def _counted(rows: DataFrame, marks: Marks, old: Marks | None, lengths: set[int]) -> DataFrame:
-    """``print, n`` of the phrases of some lengths of which both shorter parts are marked.
+def _grouped(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal pairs stand together, and where in it each pair begins."""
+    order = np.argsort(one)
+    new = np.ones(len(one), bool)
+    new[1:] = one[order[1:]] != one[order[:-1]]
+    other = two[order[1:]] != two[order[:-1]]
+    if (other & ~new[1:]).any():
+        order = np.lexsort((two, one))
+        new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+    return order, np.flatnonzero(new)
+
+
+def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Equal fingerprints added up: ``print`` and a number of its other bits and the count."""
+    one, two = (np.concatenate(p) for p in zip(*held))
+    order, firsts = _grouped(one, two)
+    counts = np.diff(np.append(firsts, len(one)))
+    one, two = one[order[firsts]], two[order[firsts]]
+    most = (1 << _COUNT_BITS) - 1
+    while len(counts):
+        now = np.minimum(counts, most)
+        rest = two & ~np.uint64(most) | now.astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)) for a in (one, rest)], ["print", "rest"])
+        more = counts > most
+        one, two, counts = one[more], two[more], counts[more] - most
+
+
+def _counted(
+    rows: DataFrame, marks: Marks, old: Marks | None, lengths: set[int], least: int
+) -> DataFrame:
+    """``print, check, n`` of phrases of which both shorter parts are marked, with ``n`` at ``least``.
 
-    The lowest bits of a fingerprint are replaced by the length.
+    The lowest bits of ``print`` are the length. With length 0, fingerprints are languages
+    and their words are counted. The table is written.
     """
     shared = rows.sparkSession.sparkContext.broadcast((marks, old))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, old = shared.value
-        powers = [_Powers(_FACTORS[0])]
-        held: list[np.ndarray] = []
-
-        def added() -> pa.RecordBatch:
-            prints, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(counts)], ["print", "n"])
-
+        powers = [_Powers(f) for f in _FACTORS]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            words, tongues, _ = _texts(batch, powers)
-            for length, _, (prints, *_) in _levels(words, tongues, marks, old, max(lengths)):
+            words, tongues = _texts(batch.select(["text", "tongue"]), powers)
+            if 0 in lengths:
+                of = tongues[words.owners]
+                held.append((of & ~np.uint64(_LENGTHS), of << np.uint64(32)))
+            for length, _, (one, two) in _levels(words, tongues, marks, old, max(lengths)):
                 if length in lengths:
-                    held.append(prints & ~np.uint64(_LENGTHS) | np.uint64(length))
-            if sum(map(len, held)) > _HELD:
-                yield added()
+                    held.append((one & ~np.uint64(_LENGTHS) | np.uint64(length), two))
+            if sum(len(one) for one, _ in held) > _HELD:
+                yield from _packed(held)
+                held.clear()
         if held:
-            yield added()
+            yield from _packed(held)
+
+    parts = rows.select("text", "tongue").mapInArrow(run, "print bigint, rest bigint")
+    # shuffled as they are: tasks have added up what is equal
+    counts = parts.repartition("print").groupBy("print", _check(F.col("rest")).alias("check")).agg(
+        F.sum(F.col("rest").bitwiseAND(F.lit((1 << _COUNT_BITS) - 1))).alias("n")
+    )
+    return _done(counts.where(F.col("n") >= least), "counted", shared)
 
-    parts = rows.mapInArrow(run, "print bigint, n bigint")
-    return parts.groupBy("print").agg(F.sum("n").alias("n"))
 
+def _check(rest: Column) -> Column:
+    return F.shiftrightunsigned(rest, _COUNT_BITS)
 
-def _named(rows: DataFrame, marks: Marks, longest: int) -> DataFrame:
-    """``lang, phrase, k, n`` of marked phrases, and of a phrase of no words all words of a language."""
-    shared = rows.sparkSession.sparkContext.broadcast(marks)
-    names = ["lang", "phrase", "k", "n"]
-    types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+
+def _done(df: DataFrame, name: str, shared: Broadcast) -> DataFrame:
+    """The rows, written; what was shared for them is then removed from all machines."""
+    written = staged(df, name)
+    shared.destroy()
+    return written
+
+
+def _named(rows: DataFrame, marks: Marks, wanted: Marks, longest: int) -> DataFrame:
+    """``print, check, lang, phrase, k`` of phrases that are wanted. The table is written."""
+    shared = rows.sparkSession.sparkContext.broadcast((marks, wanted))
+    names = ["print", "check", "lang", "phrase", "k"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = shared.value
+        marks, wanted = shared.value
         powers = [_Powers(f) for f in _FACTORS]
-        found: dict[tuple[int, int], list] = {}
+        found: dict[tuple[int, int], tuple] = {}
 
         def row_batch() -> pa.RecordBatch:
-            columns = list(zip(*found.values()))
+            keys, values = zip(*found), zip(*found.values())
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*keys, *values], types)], names)
 
         for batch in batches:
-            words, tongues, langs = _texts(batch, powers)
-            sizes = np.bincount(words.owners, minlength=len(langs)).tolist()
-            for lang, size in zip(langs, sizes):
-                found.setdefault((lang, 0), [lang, "", 0, 0])[3] += size
-            for length, places, prints in _levels(words, tongues, marks, None, longest):
-                some = marks.has(prints[0])
-                for (one, two), at, n in _grouped(places[some], *(p[some] for p in prints)):
-                    row = found.get((one, two))
-                    if row is None:
-                        lang = langs[words.owners[at]]
-                        found[one, two] = [lang, words.phrase(at, length), length, n]
-                    else:
-                        row[3] += n
-            if len(found) > _HELD >> 3:
+            words, tongues = _texts(batch, powers)
+            langs = batch.column(2).to_pylist()
+            for length, places, (one, two) in _levels(words, tongues, marks, None, longest):
+                some = wanted.has(one)
+                one, two, places = one[some] & ~np.uint64(_LENGTHS) | np.uint64(length), two[some], places[some]
+                order, firsts = _grouped(one, two)
+                at = order[firsts]
+                keys = zip(one[at].view(np.int64).tolist(), (two[at] >> np.uint64(_COUNT_BITS)).tolist())
+                for key, place in zip(keys, places[at].tolist()):
+                    if key not in found:
+                        found[key] = langs[words.owners[place]], words.phrase(place, length), length
+            if len(found) > _NAMES:
                 yield row_batch()
         if found:
             yield row_batch()
 
-    parts = rows.mapInArrow(run, "lang string, phrase string, k int, n bigint")
-    return parts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
-
-
-def _grouped(
-    places: np.ndarray, one: np.ndarray, two: np.ndarray
-) -> Iterator[tuple[tuple[int, int], int, int]]:
-    """Both fingerprints of each phrase, a place of it and the number of its places."""
-    order = np.lexsort((two, one))
-    one, two, places = one[order], two[order], places[order]
-    new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    firsts = np.flatnonzero(new)
-    sizes = np.diff(np.append(firsts, len(one)))
-    keys = zip(one[firsts].tolist(), two[firsts].tolist())
-    return zip(keys, places[firsts].tolist(), sizes.tolist())
+    parts = rows.mapInArrow(run, "print bigint, check bigint, lang string, phrase string, k int")
+    named = parts.groupBy("print", "check").agg(*(F.min(c).alias(c) for c in names[2:]))
+    return _done(named, "names", shared)
 
 
 def frequent_phrases(
@@ -310,36 +359,46 @@ def frequent_phrases(
 ) -> DataFrame:
     """``lang, phrase, k, n``: phrases of ``k`` words with ``support`` occurrences or more.
 
-    A phrase of no words (``k`` 0) stands for all words of a language. Whole texts are read,
+    A phrase of no words (``k`` 0) stands for all words of a language, if they are as many. Whole texts are read,
     null ones as empty; a null language is ``und``. Rows of one id are documents of
     their own. ``sample`` and ``bits`` change the passes, not the result.
     ``longest`` is at most 7.
     """
     if not 1 <= longest <= _LENGTHS:
         raise ValueError(f"phrases of 1 to {_LENGTHS} words, not {longest}")
-    text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
-    rows = bounded_batches(docs).select(text.alias("text"), lang.alias("lang"))
-    drawn = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), text), F.lit(sample)) == 0
-    some = staged(bounded_batches(docs).where(drawn).select(text.alias("text"), lang.alias("lang")), "sample")
+    lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANGUAGE))
+    columns = F.col(f"`{text_col}`").alias("text"), F.xxhash64(lang).alias("tongue"), lang.alias("lang")
+    drawn = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(sample)) == 0
+    rows = bounded_batches(docs).select(*columns)
+    some = staged(bounded_batches(docs).where(drawn).select(*columns), "sample")
     lowered = max(2, math.floor(support * LOWERED / sample))
 
-    marks = Marks(bits)
+    marks, levels = Marks(0), []
     for length in range(1, longest):
-        level = _counted(some, marks, None, {length}).where(F.col("n") >= lowered)
-        marks = marks | Marks.of(level, bits)
+        levels.append(_counted(some, marks, None, {length}, lowered))
+        marks = Marks.of(levels, bits)
 
-    old, lengths, passes = None, set(range(1, longest + 1)), []
+    old, lengths, passes = None, set(range(longest + 1)), []
     while old is None or old != marks:
-        counted = _counted(rows, marks, old, lengths).where(F.col("n") >= support)
-        passes.append(staged(counted, "frequent"))
-        shorter = passes[-1].where(F.col("print").bitwiseAND(F.lit(_LENGTHS)) < longest)
-        old, marks = marks, marks | Marks.of(shorter, bits)
-        lengths = lengths - {1}
-    frequent = passes[0]
-    for one in passes[1:]:
-        frequent = frequent.unionByName(one)
-    named = _named(rows, Marks.of(frequent, bits), longest)
-    return named.where((F.col("n") >= support) | (F.col("k") == 0))
+        passes.append(_counted(rows, marks, old, lengths, support))
+        old, marks = marks, marks | Marks.of([_of_length(passes[-1], 1, longest - 1)], marks.bits, exactly=True)
+        lengths = lengths - {0, 1}
+    found = reduce(DataFrame.unionByName, passes)
+    frequent = _of_length(found, 1, longest)
+
+    marks, keys = Marks.of([frequent], bits), ["print", "check"]
+    named = _named(some, marks, marks, longest)
+    left = frequent.join(named, keys, "left_anti")
+    named = named.unionByName(_named(rows, marks, Marks.of([left], bits), longest))
+    langs = rows.select("lang", F.col("tongue").bitwiseAND(F.lit(~_LENGTHS)).alias("print")).distinct()
+    totals = _of_length(found, 0, 0).join(langs, "print")
+    totals = totals.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("k"), "n")
+    phrases = frequent.join(named, keys).select("lang", "phrase", "k", "n")
+    return staged(phrases.unionByName(totals), "phrases")
+
+
+def _of_length(prints: DataFrame, low: int, high: int) -> DataFrame:
+    return prints.where(F.col("print").bitwiseAND(F.lit(_LENGTHS)).between(low, high))
 
 
 def collocations(
@@ -362,8 +421,7 @@ def collocations(
     are dropped. Order: score, then ``a``, then the phrase by its bytes. See
     ``frequent_phrases`` for nulls; without frequent phrases there are no rows.
     """
-    named = frequent_phrases(docs, support, longest, sample, bits, id_col, text_col, lang_col)
-    phrases = staged(named, "phrases")
+    phrases = frequent_phrases(docs, support, longest, sample, bits, id_col, text_col, lang_col)
     sizes = phrases.where("k = 0").select("lang", F.col("n").alias("all"))
     parts = phrases.where("k > 0").select("lang", "phrase", "n")
     asked = phrases.where("k > 1").select("lang", "phrase", "k", F.col("n").alias("a"))

@@ -83,14 +83,14 @@ def test_border_failures_are_followed(corpus, monkeypatch):
     calls = []
     counted = phrases._counted
 
-    def watched(df, marks, old, lengths):
+    def watched(df, marks, old, lengths, least):
         calls.append(lengths)
-        return counted(df, marks, old, lengths)
+        return counted(df, marks, old, lengths, least)
 
     monkeypatch.setattr(phrases, "_counted", watched)
     found = phrases.collocations(corpus(rows), support=5, sample=10**9)
     assert sorted(map(tuple, found.collect())) == brute(rows, 5)
-    assert calls == [{1}, {2}, {3}, {1, 2, 3, 4}, *[{2, 3, 4}] * 3]
+    assert calls == [{1}, {2}, {3}, {0, 1, 2, 3, 4}, *[{2, 3, 4}] * 3]
 
 
 def test_parameters(corpus):
@@ -125,3 +125,23 @@ def test_fingerprints_do_not_depend_on_windows(monkeypatch):
     for word, one in zip(words, whole.prints[0].tolist()):
         assert by_print.setdefault(one, word) == word
     assert len(by_print) == len(set(words))
+
+
+def test_equal_fingerprints_are_added_up_and_long_counts_split(monkeypatch):
+    one = np.array([8, 16, 8, 8, 16], np.uint64)
+    two = np.array([1 << 40, 2 << 40, 1 << 40, 3 << 40, 2 << 40], np.uint64)
+    monkeypatch.setattr(phrases, "_COUNT_BITS", 1)
+    rows = [tuple(r.values()) for b in phrases._packed([(one, two)]) for r in b.to_pylist()]
+    found = Counter()
+    for p, rest in rows:
+        found[p, rest >> 1] += rest & 1
+    assert found == {(8, 1 << 39): 2, (16, 1 << 40): 2, (8, 3 << 39): 1}
+
+
+def test_phrases_that_the_sample_lacks_are_named(corpus):
+    rows = texts(5, 50, 40)
+    found = phrases.frequent_phrases(corpus(rows), support=3, sample=25)
+    f, sizes = counts(rows)
+    wanted = [(lang, " ".join(p), len(p), a) for lang, of in f.items() for p, a in of.items() if a >= 3]
+    wanted += [(lang, "", 0, n) for lang, n in sizes.items()]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
