@@ -13,8 +13,8 @@ the bytes of many texts at once and adds up equal ones before the shuffle. The p
 is held as at most ``2 ** BITS`` bits at three places of each fingerprint. A phrase that
 seems to be marked by chance is counted as well, which costs counting and changes no result;
 beyond that size this happens more the more phrases there are, and memory grows no further.
-At last the texts of frequent phrases are looked up: in the sample, and those that do not
-occur there in all documents.
+The texts of frequent phrases are looked up in the sample, and of those that do not occur
+there in the next pass. Later passes find few phrases and keep their texts.
 """
 
 from __future__ import annotations
@@ -57,12 +57,12 @@ _KIND[list(_BLANKS)] = 1
 _KIND[list(_PIECE_ENDS)] = 2
 
 _WINDOW = 1 << 20  # bytes whose fingerprints are made at a time
-_HELD = 1 << 22  # fingerprints that a task holds before it adds up equal ones
+_HELD = 3 << 20  # fingerprints that a task holds before it adds up equal ones
 _NAMES = 100_000  # texts of phrases that a task holds
 _LENGTHS = 7  # mask of a fingerprint's bits for a length
 _COUNT_BITS = 24  # of the second number of a row; above them are more bits of the fingerprint
-#: Odd factors of the two fingerprints of a word.
-_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# Odd factors: of the polynomial of a word, and of the parts of a phrase.
+_WORD, _FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -74,8 +74,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class _Powers:
     """Powers of an odd number and of its inverse modulo 2^64, as many as were asked for."""
 
-    def __init__(self, factor: int) -> None:
-        self.factors = (factor, pow(factor, -1, 1 << 64))
+    def __init__(self) -> None:
+        self.factors = (_WORD, pow(_WORD, -1, 1 << 64))
         self.made = (np.empty(0, np.uint64), np.empty(0, np.uint64))
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,20 +94,28 @@ class Words:
 
     ``starts`` and ``ends`` are their bytes in ``data``, where A-Z is in lower case, and
     ``owners`` the texts they are from. ``pieces`` numbers the pieces they lie in; no
-    piece has words of two texts. There is one array of fingerprints for each factor.
+    piece has words of two texts. ``prints`` are two arrays of fingerprints: a polynomial
+    of the bytes, and the same with the length and the outer bytes.
     """
 
-    def __init__(self, texts: list[bytes], powers: list[_Powers]) -> None:
+    def __init__(self, texts: list[bytes], powers: _Powers) -> None:
         self.data = b"\n".join(texts).translate(_LOWER)
         data = np.frombuffer(self.data, np.uint8)
         kinds = _KIND[data]
         parts = [_words(data, kinds, low, high, powers) for low, high in _windows(kinds)]
-        self.starts, self.ends, *self.prints = (
+        self.starts, self.ends, one = (
             np.concatenate(p) for p in zip(*parts or [_words(data, kinds, 0, 0, powers)])
         )
-        self.pieces = np.searchsorted(np.flatnonzero(kinds == 2), self.starts)
-        sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        self.owners = np.searchsorted(np.cumsum(sizes), self.starts, side="right")
+        count = len(self.starts)
+        outer = data[self.starts].astype(np.uint64) << np.uint64(8) | data[self.ends - 1]
+        sizes = (self.ends - self.starts).astype(np.uint64) << np.uint64(16)
+        self.prints = [one, _mixed(one + (sizes | outer) * np.uint64(_SECOND))]
+        breaks = np.zeros(count + 1, np.int32)
+        breaks[np.searchsorted(self.starts, np.flatnonzero(kinds == 2))] = 1
+        self.pieces = np.cumsum(breaks[:count], dtype=np.int32)
+        last = np.cumsum([len(t) + 1 for t in texts])
+        upto = np.searchsorted(self.starts, last) if texts else last
+        self.owners = np.repeat(np.arange(len(texts)), np.diff(upto, prepend=0))
 
     def phrase(self, at: int, words: int) -> str:
         found = self.data[self.starts[at] : self.ends[at + words - 1]]
@@ -129,19 +137,16 @@ def _windows(kinds: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _words(
-    data: np.ndarray, kinds: np.ndarray, low: int, high: int, powers: list[_Powers]
-) -> list[np.ndarray]:
-    """Starts and ends of the words of a cut, and their polynomials of each factor, mixed."""
-    part = data[low:high].astype(np.uint64) + np.uint64(1)
+    data: np.ndarray, kinds: np.ndarray, low: int, high: int, powers: _Powers
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a cut, and their polynomials, mixed."""
     inside = np.concatenate(([False], kinds[low:high] == 0, [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    out = [starts + low, ends + low]
-    for power in powers:
-        up, down = power.upto(len(part) + 1)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part * up[:-1])))
-        out.append(_mixed((sums[ends] - sums[starts]) * down[starts]))
-    return out
+    up, down = powers.upto(high - low + 1)
+    sums = np.zeros(high - low + 1, np.uint64)
+    np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+    return starts + low, ends + low, _mixed((sums[ends] - sums[starts]) * down[starts])
 
 
 class Marks:
@@ -191,23 +196,23 @@ class Marks:
         return found
 
 
-def _longer(prints: np.ndarray, words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+def _longer(prints: np.ndarray, words: np.ndarray, at: np.ndarray, length: int, factor: int) -> np.ndarray:
     """Fingerprints of the phrases of ``length`` words at some places."""
-    step = prints[at] * np.uint64(_FACTORS[1]) + np.uint64(length)
+    step = prints[at] * np.uint64(factor) + np.uint64(length)
     return _mixed(step ^ words[at + length - 1])
 
 
 def _levels(
     words: Words, tongues: np.ndarray, marks: Marks, old: Marks | None, longest: int
-) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-    """Per length: the places of its phrases and their fingerprints, one array per factor.
+) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]:
+    """Per length: the places of its phrases, their two fingerprints, and which are fresh.
 
-    Of longer ones than a word, those of which both parts one word shorter are marked, and
-    not both in ``old`` as well.
+    Phrases longer than a word are those of which both parts one word shorter are marked. They
+    are fresh unless both are in ``old`` as well.
     """
     ones = [_mixed(p + tongues[words.owners]) for p in words.prints]
     shorter, places = [p.copy() for p in ones], np.arange(len(ones[0]))
-    yield 1, places, ones
+    yield 1, places, ones, np.ones(len(places), bool)
     for length in range(2, longest + 1):
         size = len(ones[0])
         known = np.zeros(size, bool)
@@ -224,12 +229,12 @@ def _levels(
             some = np.flatnonzero(known)
             before[some] = old.has(shorter[0][some])
             fresh = ~(before[places] & before[places + 1])
-        for one, short in zip(ones, shorter):
-            short[places] = _longer(short, one, places, length)
-        yield length, places[fresh], [s[places[fresh]] for s in shorter]
+        for one, short, factor in zip(ones, shorter, (_FIRST, _SECOND)):
+            short[places] = _longer(short, one, places, length, factor)
+        yield length, places, [s[places] for s in shorter], fresh
 
 
-def _texts(batch: pa.RecordBatch, powers: list[_Powers]) -> tuple[Words, np.ndarray]:
+def _texts(batch: pa.RecordBatch, powers: _Powers) -> tuple[Words, np.ndarray]:
     """The words of a batch, and a number for the language of each text."""
     texts = batch.column(0).fill_null("").cast(pa.binary()).to_pylist()
     return Words(texts, powers), np.asarray(batch.column(1)).view(np.uint64)
@@ -250,6 +255,7 @@ def _grouped(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Equal fingerprints added up: ``print`` and a number of its other bits and the count."""
     one, two = (np.concatenate(p) for p in zip(*held))
+    held.clear()
     order, firsts = _grouped(one, two)
     counts = np.diff(np.append(firsts, len(one)))
     one, two = one[order[firsts]], two[order[firsts]]
@@ -262,31 +268,28 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatc
         one, two, counts = one[more], two[more], counts[more] - most
 
 
-def _counted(
-    rows: DataFrame, marks: Marks, old: Marks | None, lengths: set[int], least: int
-) -> DataFrame:
+def _counted(rows: DataFrame, marks: Marks, lengths: set[int], least: int) -> DataFrame:
     """``print, check, n`` of phrases of which both shorter parts are marked, with ``n`` at ``least``.
 
     The lowest bits of ``print`` are the length. With length 0, fingerprints are languages
     and their words are counted. The table is written.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((marks, old))
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, old = shared.value
-        powers = [_Powers(f) for f in _FACTORS]
+        marks = shared.value
+        powers = _Powers()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             words, tongues = _texts(batch.select(["text", "tongue"]), powers)
             if 0 in lengths:
                 of = tongues[words.owners]
                 held.append((of & ~np.uint64(_LENGTHS), of << np.uint64(32)))
-            for length, _, (one, two) in _levels(words, tongues, marks, old, max(lengths)):
+            for length, _, (one, two), _ in _levels(words, tongues, marks, None, max(lengths)):
                 if length in lengths:
                     held.append((one & ~np.uint64(_LENGTHS) | np.uint64(length), two))
             if sum(len(one) for one, _ in held) > _HELD:
                 yield from _packed(held)
-                held.clear()
         if held:
             yield from _packed(held)
 
@@ -309,42 +312,60 @@ def _done(df: DataFrame, name: str, shared: Broadcast) -> DataFrame:
     return written
 
 
-def _named(rows: DataFrame, marks: Marks, wanted: Marks, longest: int) -> DataFrame:
-    """``print, check, lang, phrase, k`` of phrases that are wanted. The table is written."""
-    shared = rows.sparkSession.sparkContext.broadcast((marks, wanted))
-    names = ["print", "check", "lang", "phrase", "k"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()]
+def _named(
+    rows: DataFrame,
+    marks: Marks,
+    wanted: Marks,
+    old: Marks | None,
+    longest: int,
+    least: int,
+) -> DataFrame:
+    """``print, check, lang, phrase, k, n, fresh`` of phrases that are wanted or fresh.
+
+    Fresh are those of which both shorter parts are marked, but not both in ``old``; there are
+    none without ``old``. Of them, only those with ``n`` at ``least`` are returned. The
+    table is written.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((marks, wanted, old))
+    names = ["print", "check", "lang", "phrase", "k", "n", "fresh"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, wanted = shared.value
-        powers = [_Powers(f) for f in _FACTORS]
-        found: dict[tuple[int, int], tuple] = {}
+        marks, wanted, old = shared.value
+        powers = _Powers()
+        found: dict[tuple[int, int], list] = {}
 
         def row_batch() -> pa.RecordBatch:
-            keys, values = zip(*found), zip(*found.values())
+            columns = [*zip(*found), *zip(*found.values())]
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*keys, *values], types)], names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         for batch in batches:
             words, tongues = _texts(batch, powers)
             langs = batch.column(2).to_pylist()
-            for length, places, (one, two) in _levels(words, tongues, marks, None, longest):
-                some = wanted.has(one)
+            for length, places, (one, two), fresh in _levels(words, tongues, marks, old, longest):
+                fresh = fresh & (old is not None and length > 1)
+                some = wanted.has(one) | fresh
                 one, two, places = one[some] & ~np.uint64(_LENGTHS) | np.uint64(length), two[some], places[some]
                 order, firsts = _grouped(one, two)
+                counts = np.diff(np.append(firsts, len(one))).tolist()
                 at = order[firsts]
                 keys = zip(one[at].view(np.int64).tolist(), (two[at] >> np.uint64(_COUNT_BITS)).tolist())
-                for key, place in zip(keys, places[at].tolist()):
-                    if key not in found:
-                        found[key] = langs[words.owners[place]], words.phrase(place, length), length
+                for key, place, n, is_fresh in zip(keys, places[at].tolist(), counts, fresh[some][at].tolist()):
+                    if key in found:
+                        found[key][3] += n
+                    else:
+                        lang = langs[words.owners[place]]
+                        found[key] = [lang, words.phrase(place, length), length, n, is_fresh]
             if len(found) > _NAMES:
                 yield row_batch()
         if found:
             yield row_batch()
 
-    parts = rows.mapInArrow(run, "print bigint, check bigint, lang string, phrase string, k int")
-    named = parts.groupBy("print", "check").agg(*(F.min(c).alias(c) for c in names[2:]))
-    return _done(named, "names", shared)
+    schema = "print bigint, check bigint, lang string, phrase string, k int, n bigint, fresh boolean"
+    made = rows.mapInArrow(run, schema).groupBy("print", "check")
+    made = made.agg(*(F.min(c).alias(c) for c in names[2:5]), F.sum("n").alias("n"), F.max("fresh").alias("fresh"))
+    return _done(made.where((F.col("n") >= least) | ~F.col("fresh")), "names", shared)
 
 
 def frequent_phrases(
@@ -375,26 +396,36 @@ def frequent_phrases(
 
     marks, levels = Marks(0), []
     for length in range(1, longest):
-        levels.append(_counted(some, marks, None, {length}, lowered))
+        levels.append(_counted(some, marks, {length}, lowered))
         marks = Marks.of(levels, bits)
 
-    old, lengths, passes = None, set(range(longest + 1)), []
-    while old is None or old != marks:
-        passes.append(_counted(rows, marks, old, lengths, support))
-        old, marks = marks, marks | Marks.of([_of_length(passes[-1], 1, longest - 1)], marks.bits, exactly=True)
-        lengths = lengths - {0, 1}
-    found = reduce(DataFrame.unionByName, passes)
-    frequent = _of_length(found, 1, longest)
-
-    marks, keys = Marks.of([frequent], bits), ["print", "check"]
-    named = _named(some, marks, marks, longest)
-    left = frequent.join(named, keys, "left_anti")
-    named = named.unionByName(_named(rows, marks, Marks.of([left], bits), longest))
+    # the full pass; texts of what it finds are in the sample, but for a few
+    found = _counted(rows, marks, set(range(longest + 1)), support)
+    frequent, keys = _of_length(found, 1, longest), ["print", "check"]
+    known = Marks.of([frequent], bits)
+    named = _named(some, known, known, None, longest, support).select(*keys, "lang", "phrase", "k")
+    left = staged(frequent.join(named, keys, "left_anti"), "unnamed")
+    names, wanted = [named], Marks.of([left], bits)
+
+    old, marks = marks, _with_failures(marks, found, longest)
+    phrases = []
+    while old != marks or (not phrases and not left.isEmpty()):
+        more = _named(rows, marks, wanted, old, longest, support)
+        if not phrases:
+            names.append(left.join(more, keys, "left_semi").select(*keys).join(more, keys).select(*named.columns))
+        phrases.append(more.where("fresh").select("lang", "phrase", "k", "n"))
+        old, marks, wanted = marks, _with_failures(marks, more.where("fresh"), longest), Marks(0)
+    texts = reduce(DataFrame.unionByName, names)
+    phrases.append(frequent.join(texts, keys).select("lang", "phrase", "k", "n"))
     langs = rows.select("lang", F.col("tongue").bitwiseAND(F.lit(~_LENGTHS)).alias("print")).distinct()
     totals = _of_length(found, 0, 0).join(langs, "print")
     totals = totals.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("k"), "n")
-    phrases = frequent.join(named, keys).select("lang", "phrase", "k", "n")
-    return staged(phrases.unionByName(totals), "phrases")
+    return staged(reduce(DataFrame.unionByName, phrases).unionByName(totals), "phrases")
+
+
+def _with_failures(marks: Marks, found: DataFrame, longest: int) -> Marks:
+    """With the frequent phrases of a pass; only those that can grow matter."""
+    return marks | Marks.of([_of_length(found, 1, longest - 1)], marks.bits, exactly=True)
 
 
 def _of_length(prints: DataFrame, low: int, high: int) -> DataFrame:
