@@ -57,7 +57,8 @@ _KIND[list(_BLANKS)] = 1
 _KIND[list(_PIECE_ENDS)] = 2
 
 _WINDOW = 1 << 20  # bytes whose fingerprints are made at a time
-_HELD = 3 << 20  # fingerprints that a task holds before it adds up equal ones
+_HELD = 1 << 21  # fingerprints that a task holds before it adds up equal ones
+_ROWS = 1 << 17  # of a batch that leaves a task
 _NAMES = 100_000  # texts of phrases that a task holds
 _LENGTHS = 7  # mask of a fingerprint's bits for a length
 _COUNT_BITS = 24  # of the second number of a row; above them are more bits of the fingerprint
@@ -263,7 +264,9 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatc
     while len(counts):
         now = np.minimum(counts, most)
         rest = two & ~np.uint64(most) | now.astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)) for a in (one, rest)], ["print", "rest"])
+        for low in range(0, len(one), _ROWS):
+            some = [pa.array(a[low : low + _ROWS].view(np.int64)) for a in (one, rest)]
+            yield pa.RecordBatch.from_arrays(some, ["print", "rest"])
         more = counts > most
         one, two, counts = one[more], two[more], counts[more] - most
 
