@@ -43,17 +43,17 @@ def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice.
 
-    A document without words is in no mix.
+    A document without words is in no mix. Rows are decided on one by one, also where ids are
+    null or repeated, and keep all their columns.
     """
-    size = mixing.word_count(F.col("text"))
-    mixed = mixing.mix(docs, F.array("source"), size).where("taken > 0")
-    # rows of one id have one decision each; equal ids meet on their size as well
-    chosen = mixed.groupBy("doc_id", "size").agg(F.max("repeats").alias("repeats"))
-    sized = docs.withColumn("size", size)
-    same = sized["doc_id"].eqNullSafe(chosen["doc_id"]) & (sized["size"] == chosen["size"])
-    names = [sized[f"`{c}`"] for c in docs.columns]
-    each = F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("__turn")
-    return sized.join(chosen, same).select(*names, each).drop("__turn")
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    mixed = mixing.mix(rows, F.array("source"), mixing.word_count(F.col("text")), row_col=row)
+    chosen = mixed.where("taken > 0").select(row, F.sequence(F.lit(1), F.col("repeats")).alias("__turns"))
+    each = rows.join(chosen, row).withColumn("__turn", F.explode("__turns"))
+    return each.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -143,6 +143,7 @@ def mix(
     max_repeats: int = MAX_REPEATS,
     seed: int = SEED,
     id_col: str = "doc_id",
+    row_col: str | None = None,
 ) -> DataFrame:
     """Per input row: id, ``size``, ``source_size``, ``target``, ``taken``, ``repeats``.
 
@@ -152,7 +153,8 @@ def mix(
     0 to ``max_repeats`` times. ``source_size`` and ``target`` are sums over the
     document's sources. Selection follows a seeded hash of the id up to the last
     document that fits; then the document whose size is nearest to what is missing
-    is added. Rows of one id and size share that last decision.
+    is added. Rows of one id and size share that last decision, unless ``row_col`` names a
+    column of unique numbers: it breaks ties, spreads rows without an id, and is returned too.
 
     Driver memory holds one number per pattern. Prefix sums are over ``RANGES`` hash
     ranges per pattern; rows are windowed only in the one range where a pattern's
@@ -160,9 +162,12 @@ def mix(
     """
     known = F.array_sort(F.array_distinct(F.coalesce(sources, F.array(F.lit(None).cast("string")))))
     pattern = F.when(F.size(known) == 0, F.array(F.lit(None).cast("string"))).otherwise(known)
-    mark = F.xxhash64(F.lit(seed), F.col("id"))
+    row = F.col(f"`{row_col}`") if row_col else F.lit(None).cast("bigint")
+    mark = F.xxhash64(F.lit(seed), F.col("id"), F.when(F.col("id").isNull(), F.col("row")))
     facts = staged(
-        docs.select(F.col(f"`{id_col}`").alias("id"), pattern.alias("pattern"), size.alias("size"))
+        docs.select(
+            F.col(f"`{id_col}`").alias("id"), row.alias("row"), pattern.alias("pattern"), size.alias("size")
+        )
         .withColumn("mark", mark)
         .withColumn("range", F.pmod("mark", F.lit(RANGES)).cast("int")),
         "sizes",
@@ -205,7 +210,7 @@ def mix(
     outside = rows.where(F.col("end").isNull() | (F.col("range") > F.col("end"))).withColumn(
         "more", F.lit(0)
     )
-    order = Window.partitionBy("pattern").orderBy("mark", "id", "size")
+    order = Window.partitionBy("pattern").orderBy("mark", "id", "size", "row")
     end = F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     edge = rows.where(F.col("range") == F.col("end")).withColumn("more", (end <= goal).cast("int"))
     chosen = inside.unionByName(edge).unionByName(outside).drop("p", "end", "before")
@@ -219,14 +224,15 @@ def mix(
         .join(F.broadcast(gaps), same)
         .where(off < F.col("gap"))
         .groupBy("p")
-        .agg(F.min(F.struct(off.alias("off"), "mark", "id", "size")).alias("f"))
+        .agg(F.min(F.struct(off.alias("off"), "mark", "id", "size", "row")).alias("f"))
     )
     found = (F.col("more") == 0) & F.col("id").eqNullSafe(F.col("f.id"))
-    found = found & (F.col("size") == F.col("f.size"))
+    found = found & (F.col("size") == F.col("f.size")) & F.col("row").eqNullSafe(F.col("f.row"))
     more = F.col("more") + F.coalesce(found.cast("int"), F.lit(0))
     repeats = F.least(F.col("base") + more, F.lit(max_repeats))
     return chosen.join(F.broadcast(filler), same, "left").select(
         F.col("id").alias(id_col),
+        *([F.col("row").alias(row_col)] if row_col else []),
         "size",
         "source_size",
         "target",

@@ -69,6 +69,25 @@ def test_stages(spark, given):
     assert times == {r.doc_id: r.repeats for r in taken if r.taken}
 
 
+def test_mixing_decides_row_by_row(spark, given):
+    """Null and repeated ids, and columns with the names of its own."""
+    docs = given("documents").limit(120).select(
+        F.when(F.col("doc_id") % 2 == 0, F.col("doc_id") % 8).alias("doc_id"), "text", "lang", "source", "n_chars"
+    ).withColumns({n: F.lit(7) for n in ("size", "repeats", "taken", "row", "__row", "__turn")})
+    mixed = dict(corpus_pipeline.STAGES)["mixing"](spark, docs, SF_DIR)
+    assert mixed.columns == docs.columns
+    words = mixing.word_count(F.col("text"))
+    written = mixed.select(F.sum(words)).first()[0]
+    rows = docs.withColumn("n", F.monotonically_increasing_id())
+    taken = mixing.mix(rows, F.array("source"), words, row_col="n")
+    assert taken.count() == docs.count()
+    assert written == taken.agg(F.sum("taken")).first()[0]
+    assert mixed.select("size", "repeats", "taken").distinct().collect() == [(7, 7, 7)]
+    copies = mixed.groupBy("doc_id", "text").count().agg(F.max("count")).first()[0]
+    assert copies >= 1
+    assert dict(corpus_pipeline.STAGES)["mixing"](spark, docs.limit(0), SF_DIR).collect() == []
+
+
 def test_run_ends_in_token_ids(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).orderBy("start").collect()
     at = 0
