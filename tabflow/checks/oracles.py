@@ -133,6 +133,13 @@ WHERE {_KEPT_USERS}
 SELECT c_custkey AS userid, c_name AS username,
        CAST(row_number() OVER (ORDER BY c_custkey) // {USERS_PER_BATCH} AS BIGINT) AS batch
 FROM customer WHERE {_KEPT_USERS}
+""",
+    "user_send": f"""
+SELECT c_custkey AS userid, c_name AS username, c_custkey || '@example.com' AS email,
+       n_name AS city,
+       CAST(row_number() OVER (ORDER BY c_custkey) // {USERS_PER_BATCH} AS BIGINT) AS batch
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE {_KEPT_USERS}
 """,
     "city_locations": _LOCATIONS,
     "city_locations_collated": _LOCATIONS,

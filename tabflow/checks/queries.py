@@ -13,6 +13,7 @@ from tabflow.checks.inputs import table
 from tabflow.fixed import LOCATION_HEADER_LINES
 from tabflow.functions.weeks import standby_suffix
 from tabflow.operators import clean, geo, graph, numbering, placement, uniques
+from tabflow.plans.graphs import load_users
 from tabflow.plans.places import load_city_locations
 from tabflow.scratch import scratch_path
 from tabflow.sinks import files, jdbc, publish
@@ -153,6 +154,24 @@ def user_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbering.batch_numbers(users, USERS_PER_BATCH, order_by=["userid"])
 
 
+def user_send(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Send all users in numbered batches to a folder, twice, and read them back from there."""
+    tables = [table(spark, sf_dir, name) for name in ("customer", "nation", "region")]
+    given, outbox, target = (scratch_path(spark, name) for name in ("users", "outbox", "sent"))
+    files.write_lines(inputs.user_lines(*tables), given)
+    sender = "tabflow.sinks.record_batches:save_as_json"
+    for _ in range(2):
+        load_users(spark, given, sender, size=USERS_PER_BATCH, outbox=outbox, target=target)
+    schema = "userid bigint, username string, email string, location struct<city: string>"
+    return spark.read.schema(schema).json(target).select(
+        "userid",
+        "username",
+        "email",
+        "location.city",
+        F.split(F.col("_metadata.file_name"), r"\.")[0].cast("bigint").alias("batch"),
+    )
+
+
 def _locations(spark: SparkSession, sf_dir: str, city: Column, **options: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     located = geo.city_locations(
@@ -334,6 +353,7 @@ QUERIES: dict[str, Query] = {
         incident_edges,
         user_records,
         user_batches,
+        user_send,
         city_locations,
         city_locations_collated,
         city_load,

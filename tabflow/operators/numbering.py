@@ -73,8 +73,9 @@ def batch_numbers(
     size: int = USER_BATCH_SIZE,
     order_by: Sequence[str] = (),
     unique: bool = False,
+    stage: Callable[[DataFrame, str], DataFrame] = staged,
 ) -> DataFrame:
     """Add ``batch``; counting rows from one, row ``n`` is in batch ``n div size``."""
-    numbered = dense_numbers(df, "__n", order_by, unique, start=1)
+    numbered = dense_numbers(df, "__n", order_by, unique, start=1, stage=stage)
     batch = F.call_function("div", F.col("__n"), F.lit(size))
     return numbered.select(*df.columns, batch.alias("batch"))
