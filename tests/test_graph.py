@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tabflow.checks.inputs import fresh_name
 from tabflow.operators import graph as G
-from tabflow.scratch import Scratch
 from tabflow.sinks.graph_store import GraphStore
+from tabflow.sinks.manifest import Files
 from tests.helpers import rows
 
 PAIRS = [(1, 2), (2, 1), (1, 2), (3, 3), (1, 4), (9, 1)]
@@ -82,20 +82,162 @@ def test_incremental_loads_keep_ids_and_reach_the_same_graph(store, pairs):
     assert sorted(r["node_id"] for r in nodes) == list(range(len(nodes)))
 
 
-def test_interrupted_load_is_finished_by_the_next(store, pairs):
-    with Scratch(store.spark) as scratch:
-        store._add("nodes", G.follow_nodes(pairs(PAIRS)), scratch)
-    # the edges never arrive
-    assert store.upsert(pairs(PAIRS)) == {"nodes": 0, "edges": 5}
-    assert store.nodes().count() == 5 and store.edges().count() == 5
+class Interrupted(Exception):
+    pass
 
 
-def test_rows_that_never_arrived_leave_a_gap_but_no_copy(store, pairs, monkeypatch):
-    monkeypatch.setattr(store, "_append", lambda *a: None)
+def interrupt(*args):
+    raise Interrupted
+
+
+DENSE = [(0, 1), (1, 2), (2, 3), (3, 4), (4, 9)]
+
+
+@pytest.mark.parametrize("step", ["_commit", "_write"])
+def test_before_its_version_a_load_has_not_happened(store, pairs, monkeypatch, step):
+    monkeypatch.setattr(store, step, interrupt)
+    with pytest.raises(Interrupted):
+        store.upsert(pairs(PAIRS))
+    monkeypatch.undo()
+    assert rows(store.nodes()) == rows(store.edges()) == []
+    assert store.upsert(pairs(PAIRS)) == {"nodes": 5, "edges": 5}
+    assert rows(store.nodes()) == DENSE
+
+
+@pytest.mark.parametrize("moved", [0, 1, 3])
+def test_after_its_version_a_load_is_finished_by_whoever_comes_next(store, pairs, monkeypatch, moved):
+    """Interrupted when some of its files have been moved."""
+    whole = Files.move_new
+    calls = []
+
+    def some(self, source, target):
+        if "/manifest/" not in target:
+            calls.append(target)
+            if len(calls) > moved:
+                raise Interrupted
+        return whole(self, source, target)
+
+    monkeypatch.setattr(Files, "move_new", some)
+    with pytest.raises(Interrupted):
+        store.upsert(pairs(PAIRS))
+    monkeypatch.undo()
+    other = GraphStore.open(store.spark, fresh_name("graph"), store.location)
+    assert rows(other.nodes()) == DENSE and other.edges().count() == 5
+    assert other.upsert(pairs(PAIRS)) == {"nodes": 0, "edges": 0}
+    other.forget()
+
+
+@pytest.mark.parametrize("small", [0, 5_000])
+def test_a_writer_that_comes_second_starts_anew(store, pairs, monkeypatch, small):
+    monkeypatch.setattr("tabflow.sinks.graph_store.SMALL_LOAD", small)
+    store.upsert(pairs([(1, 2)]))
+    other = GraphStore.open(store.spark, fresh_name("graph"), store.location)
+    commit = store._commit
+    lost = []
+
+    def late(aside, created):
+        if len(lost) < 2:
+            lost.append(other.upsert(pairs([(1, 3 + len(lost)), (50 + len(lost), 1)])))
+        return commit(aside, created)
+
+    monkeypatch.setattr(store, "_commit", late)
+    assert store.upsert(pairs([(1, 2), (1, 3), (1, 7), (60, 61)])) == {"nodes": 3, "edges": 2}
+    assert lost == [{"nodes": 2, "edges": 2}, {"nodes": 2, "edges": 2}]
+    for one in (store, other):
+        edges, nodes = one.edges().collect(), one.nodes().collect()
+        assert sorted(r["rel_id"] for r in edges) == list(range(7))
+        assert len({r["edge"] for r in edges}) == 7
+        assert sorted(r["node_id"] for r in nodes) == list(range(9)) and len({r["userid"] for r in nodes}) == 9
+    assert not Path(store.location, "staging").exists() or not list(Path(store.location, "staging").iterdir())
+    other.forget()
+
+
+def test_a_compaction_meanwhile_loses_no_rows(store, pairs, monkeypatch):
+    store.upsert(pairs(PAIRS))
+    other = GraphStore.open(store.spark, fresh_name("graph"), store.location)
+    commit = store._commit
+
+    def late(aside, created):
+        monkeypatch.setattr(store, "_commit", commit)
+        other.compact()
+        return commit(aside, created)
+
+    monkeypatch.setattr(store, "_commit", late)
+    assert store.upsert(pairs([(1, 2), (7, 8)])) == {"nodes": 2, "edges": 1}
+    assert store.edges().count() == 6
+    other.forget()
+
+
+def test_an_interrupted_compaction_leaves_catalog_entries_behind(spark, store, pairs, monkeypatch):
+    """The entries still name the old folders; a load by them would be lost."""
+    store.upsert(pairs(PAIRS))
+    store.compact()
+    before = rows(store.edges())
+    monkeypatch.setattr(store, "_declare", lambda table: None)
+    store.compact()
+    monkeypatch.undo()
+    again = GraphStore.open(spark, store.name, store.location)
+    assert rows(again.edges()) == before
+    assert again.upsert(pairs([(1, 2), (7, 8)])) == {"nodes": 2, "edges": 1}
+    assert again.edges().count() == 6 == spark.table(f"{store.name}_edges").count()
+
+
+def test_a_compaction_that_never_got_its_version_changes_nothing(store, pairs, monkeypatch):
     store.upsert(pairs(PAIRS))
+    before = rows(store.edges())
+    monkeypatch.setattr(store._manifest, "add", interrupt)
+    with pytest.raises(Interrupted):
+        store.compact()
     monkeypatch.undo()
+    assert store.upsert(pairs([(7, 8)])) == {"nodes": 2, "edges": 1}
+    assert set(before) < set(rows(store.edges()))
+
+
+def test_tables_without_a_manifest_are_refused(spark, store, pairs):
+    store.upsert(pairs(PAIRS))
+    for file in Path(store.location, "manifest").iterdir():
+        file.unlink()
+    with pytest.raises(RuntimeError, match="no manifest"):
+        GraphStore.open(spark, fresh_name("graph"), store.location)
+    with pytest.raises(RuntimeError, match="lost its manifest"):
+        store.upsert(pairs(PAIRS))
+
+
+def test_an_unreadable_manifest_is_an_error(spark, store, pairs):
     store.upsert(pairs(PAIRS))
-    assert rows(store.nodes()) == [(5, 1), (6, 2), (7, 3), (8, 4), (9, 9)]
+    last = sorted(Path(store.location, "manifest").glob("0*.json"))[-1]
+    last.write_text("{")
+    Path(last.parent, f".{last.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError):
+        GraphStore.open(spark, fresh_name("graph"), store.location)
+
+
+def rows_read(df):
+    """Rows that the file scans of a query return, before any filter above them."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_small_load_skips_most_row_groups(spark, tmp_path, pairs, conf):
+    """2,000 scattered pairs, of which three are stored, beside 40,000 stored ones."""
+    conf("spark.sql.adaptive.enabled", "false")
+    store = GraphStore.open(spark, fresh_name("graph"), str(tmp_path / "large"), buckets=32)
+    key = F.col("id")
+    store.upsert(spark.range(40_000).select((key * 7).alias("src"), (key * 13 % 1_000).alias("dst")))
+    known = [(7 * i, 13 * i % 1_000) for i in (5, 20_000, 39_999)]
+    scattered = [(211 * i, 1_000 + i % 700) for i in range(1_997)] + known
+    conf("spark.sql.parquet.pushdown.inFilterThreshold", "5000")
+    found = store.lookup("edges", [f"{s}:{d}" for s, d in scattered])
+    assert rows(found) == sorted(((f"{s}:{d}",) for s, d in known), key=repr)
+    assert rows_read(store.edges().select("edge")) == 40_000
+    assert rows_read(found) <= 6 * 40_000 / 32
+    conf("spark.sql.parquet.pushdown.inFilterThreshold", "10")
+    assert store.upsert(pairs(scattered))["edges"] == 1_997
+    assert spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold") == "10"
+    assert store.edges().count() == 41_997
+    store.forget()
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
