@@ -27,7 +27,7 @@ IDS = {"nodes": "node_id", "edges": "rel_id"}
 #: The one column that tells rows apart; files have a Bloom filter on it.
 LOOKUP = {"nodes": "userid", "edges": "edge"}
 #: Share of the absent keys that a Bloom filter lets through.
-FALSE_HITS = 1e-5
+FALSE_HITS = 1e-6
 #: Pairs of a load whose keys are looked up by those filters, instead of joined, at most.
 SMALL_LOAD = 5_000
 #: How often a load starts anew because another writer was faster.
