@@ -15,6 +15,7 @@ from tabflow.functions.weeks import standby_suffix
 from tabflow.operators import clean, geo, graph, numbering, placement, uniques
 from tabflow.plans.graphs import load_users
 from tabflow.plans.places import load_city_locations
+from tabflow.plans.relational import export_partition
 from tabflow.scratch import scratch_path
 from tabflow.sinks import files, jdbc, publish
 from tabflow.sinks.graph_store import GraphStore
@@ -270,14 +271,13 @@ def jdbc_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = inputs.database(spark), inputs.fresh_name("songs")
     songs = inputs.song_columns(table(spark, sf_dir, "part"))
     jdbc.load_jdbc(songs, target, source)
-    exported = read_jdbc(spark, target, source, "song_id")
     name, path = inputs.fresh_name("exported"), scratch_path(spark, "exported")
     schema = ", ".join(f"{c} {t}" for c, t in songs.dtypes)
     spark.sql(
         f"CREATE TABLE {name} ({schema}, test_part STRING) USING parquet "
         f"PARTITIONED BY (test_part) LOCATION '{path}'"
     )
-    overwrite_partition(exported, name, {"test_part": "2013-06-01"})
+    export_partition(spark, target, source, "song_id", name, {"test_part": "2013-06-01"})
     spark.sql(f"DROP TABLE {name}")  # external: the files stay
     return spark.read.schema(f"{schema}, test_part string").parquet(path)
 

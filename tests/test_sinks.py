@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tabflow.checks.inputs import drop_all, fresh_name, pointer_table
 from tabflow.sinks import files, publish
+from tabflow.sinks import jdbc as jdbc_sink
 from tabflow.sinks.jdbc import load_jdbc
 from tabflow.sinks.partition import add_partition, drop_partition, overwrite_partition
 from tabflow.sinks.record_batches import send_in_batches
-from tabflow.sources.jdbc import JdbcTarget, count_jdbc, update_jdbc
+from tabflow.sources.jdbc import JdbcTarget, count_jdbc, query_jdbc, update_jdbc
 from tabflow.sources.lines import text_lines
 from tests.helpers import rows
 
@@ -192,9 +193,47 @@ def test_replace_and_append(spark, database):
 
 def test_a_short_load_is_noticed(spark, database, monkeypatch):
     load_jdbc(spark.range(3), database, "short")
-    monkeypatch.setattr("tabflow.sinks.jdbc.count_jdbc", lambda *a: 2)
-    with pytest.raises(RuntimeError, match="3 rows sent, 2 rows found"):
-        load_jdbc(spark.range(3), database, "short")
+    monkeypatch.setattr("tabflow.sinks.jdbc._attempts", lambda *a: [(0, 1, 2)])
+    with pytest.raises(RuntimeError, match="5 rows sent, 2 rows found"):
+        load_jdbc(spark.range(5), database, "short")
+    assert count_jdbc(spark, database, "short") == 3
+
+
+@pytest.mark.parametrize("replace", [True, False])
+def test_a_task_that_ran_again_after_its_insert_is_counted_once(spark, database, monkeypatch, replace):
+    """Every row is sent by two complete attempts of a task, and some by a broken third one."""
+    name = fresh_name("again")
+    first = spark.range(100, 103).withColumn("text", F.lit(None).cast("string"))
+    load_jdbc(first, database, name)
+    send = jdbc_sink._send
+
+    def twice(rows, *rest):
+        send(rows, *rest)
+        send(rows.where("id < 20"), *rest)
+        send(rows, *rest)
+
+    monkeypatch.setattr(jdbc_sink, "_send", twice)
+    df = spark.range(0, 50, 1, 3).withColumn("text", F.concat(F.lit("n"), "id"))
+    left = [] if replace else [(i, None) for i in range(100, 103)]
+    assert load_jdbc(df, database, name, replace=replace) == 50
+    wanted = [(i, f"n{i}") for i in range(50)] + left
+    assert rows(stored(spark, database, name)) == sorted(wanted, key=repr)
+
+
+def test_a_failed_load_leaves_the_target_as_it_was(spark, database, monkeypatch):
+    name = fresh_name("kept")
+    load_jdbc(spark.range(4), database, name)
+    move = jdbc_sink._move
+
+    def broken(df, target, stage, table, attempts, *rest):
+        return move(df, target, "no_such_table", table, attempts, *rest)
+
+    monkeypatch.setattr(jdbc_sink, "_move", broken)
+    with pytest.raises(Exception):
+        load_jdbc(spark.range(9), database, name)
+    assert count_jdbc(spark, database, name) == 4
+    found = query_jdbc(spark, database, "SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLENAME LIKE ?", [f"{name.upper()}%"])
+    assert found == [name.upper()]  # no staging table is left
 
 
 def test_a_failed_truncate_fails_the_load(spark, database):

@@ -153,6 +153,27 @@ def test_jdbc_reads_extreme_and_single_keys(spark, database):
         assert rows(read_jdbc(spark, database, name, "id")) == rows(df)
 
 
+def test_jdbc_strides_by_rows_are_even_for_skewed_keys(spark, database):
+    """Nine tenths of the keys in a thousandth of the range, some of them null."""
+    key = F.when(F.col("id") % 10 > 0, F.col("id")).otherwise(F.col("id") * 1_000_000)
+    df = spark.range(1, 8_001).select(F.when(F.col("id") % 400 > 0, key).alias("id"), F.col("id").alias("n"))
+    load_jdbc(df, database, "skewed")
+    found = read_jdbc(spark, database, "skewed", "id", 8, by_rows=True)
+    assert rows(found) == rows(df)
+    sizes = [len(part) for part in found.rdd.glom().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * min(sizes)
+    even = [len(part) for part in read_jdbc(spark, database, "skewed", "id", 8).rdd.glom().collect()]
+    assert max(even) > 7_000  # strides equal in value
+
+
+@pytest.mark.parametrize("keys", [[7, 7, 7], [None, None], [-(2**63), 0, 2**63 - 1], []])
+def test_jdbc_strides_by_rows_of_few_keys(spark, database, keys):
+    name = f"few{len(keys)}{hash(str(keys)) % 1000}"
+    df = spark.createDataFrame([(k,) for k in keys], "id bigint")
+    load_jdbc(df, database, name)
+    assert rows(read_jdbc(spark, database, name, "id", by_rows=True)) == rows(df)
+
+
 def test_jdbc_pushes_filters_and_columns(spark, database, plan):
     load_jdbc(spark.range(10).withColumn("b", F.lit(1)), database, "pushed")
     text = plan(read_jdbc(spark, database, "pushed", "id").where("id > 5").select("id"))
