@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -26,19 +27,32 @@ def add_partition(spark: SparkSession, table: str, spec: Mapping[str, object]) -
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_clause(spec)})")
 
 
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+_lock = threading.Lock()
+#: Of each session with exports under way: how many, and the setting before the first.
+_exports: dict[SparkSession, tuple[int, str]] = {}
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Overwrite only the partitions that get rows, at commit.
 
-    Inserts into a catalog table take this from the session, not from options.
+    Inserts into a catalog table take this from the session, not from options. Exports in
+    several threads share the setting; the last one to end puts the old one back.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    with _lock:
+        running, before = _exports.get(spark, (0, spark.conf.get(_MODE)))
+        _exports[spark] = running + 1, before
+        spark.conf.set(_MODE, "dynamic")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _lock:
+            running, before = _exports.pop(spark)
+            if running > 1:
+                _exports[spark] = running - 1, before
+            else:
+                spark.conf.set(_MODE, before)
 
 
 def _check_spec(spark: SparkSession, table: str, spec: Mapping[str, object]) -> None:

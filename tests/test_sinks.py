@@ -1,4 +1,6 @@
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from tabflow.checks.inputs import drop_all, fresh_name, pointer_table
 from tabflow.sinks import files, publish
 from tabflow.sinks import jdbc as jdbc_sink
+from tabflow.sinks import partition
 from tabflow.sinks.jdbc import load_jdbc
 from tabflow.sinks.partition import add_partition, drop_partition, overwrite_partition
 from tabflow.sinks.record_batches import send_in_batches
@@ -121,6 +124,30 @@ def test_a_failed_export_leaves_the_old_partition(spark, table):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_exports_in_threads_keep_each_others_partitions(spark, table):
+    """The first one to end must not make the others replace the whole table."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before, started, first = spark.conf.get(key), threading.Event(), threading.Event()
+
+    def quick():
+        started.wait()
+        overwrite_partition(spark.range(5), table, {"p": "quick", "q": 1})
+        first.set()
+
+    def late():
+        with partition._dynamic_overwrite(spark):
+            started.set()
+            first.wait()
+            assert spark.conf.get(key) == "dynamic"
+            overwrite_partition(spark.range(3), table, {"p": "late", "q": 1})
+
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(quick), pool.submit(late)]:
+            done.result()
+    assert spark.conf.get(key) == before and not partition._exports
+    assert sizes(spark, table) == {("quick", 1): 5, ("late", 1): 3}
+
+
 def test_a_table_of_text_lines(spark):
     name = fresh_name("text")
     spark.sql(f"CREATE TABLE {name} (value STRING, day STRING) USING text PARTITIONED BY (day)")
