@@ -30,6 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tabflow.llm.prints import Powers, grouped, mixed, word_prints
 from tabflow.llm.texts import bounded_batches
 from tabflow.operators.skew import join_hot
 from tabflow.scratch import staged
@@ -56,38 +57,13 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[list(_BLANKS)] = 1
 _KIND[list(_PIECE_ENDS)] = 2
 
-_WINDOW = 1 << 20  # bytes whose fingerprints are made at a time
 _HELD = 1 << 21  # fingerprints that a task holds before it adds up equal ones
 _ROWS = 1 << 17  # of a batch that leaves a task
 _NAMES = 100_000  # texts of phrases that a task holds
 _LENGTHS = 7  # mask of a fingerprint's bits for a length
 _COUNT_BITS = 24  # of the second number of a row; above them are more bits of the fingerprint
-# Odd factors: of the polynomial of a word, and of the parts of a phrase.
-_WORD, _FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Powers:
-    """Powers of an odd number and of its inverse modulo 2^64, as many as were asked for."""
-
-    def __init__(self) -> None:
-        self.factors = (_WORD, pow(_WORD, -1, 1 << 64))
-        self.made = (np.empty(0, np.uint64), np.empty(0, np.uint64))
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.made[0]) < n:
-            rows = []
-            for factor in self.factors:
-                row = np.full(n, factor, np.uint64)
-                row[0] = 1
-                rows.append(np.multiply.accumulate(row))
-            self.made = tuple(rows)
-        return self.made[0][:n], self.made[1][:n]
+# Odd factors of the parts of a phrase.
+_FIRST, _SECOND = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 
 class Words:
@@ -99,18 +75,12 @@ class Words:
     of the bytes, and the same with the length and the outer bytes.
     """
 
-    def __init__(self, texts: list[bytes], powers: _Powers) -> None:
+    def __init__(self, texts: list[bytes], powers: Powers) -> None:
         self.data = b"\n".join(texts).translate(_LOWER)
         data = np.frombuffer(self.data, np.uint8)
         kinds = _KIND[data]
-        parts = [_words(data, kinds, low, high, powers) for low, high in _windows(kinds)]
-        self.starts, self.ends, one = (
-            np.concatenate(p) for p in zip(*parts or [_words(data, kinds, 0, 0, powers)])
-        )
+        self.starts, self.ends, *self.prints = word_prints(data, kinds > 0, powers)
         count = len(self.starts)
-        outer = data[self.starts].astype(np.uint64) << np.uint64(8) | data[self.ends - 1]
-        sizes = (self.ends - self.starts).astype(np.uint64) << np.uint64(16)
-        self.prints = [one, _mixed(one + (sizes | outer) * np.uint64(_SECOND))]
         breaks = np.zeros(count + 1, np.int32)
         breaks[np.searchsorted(self.starts, np.flatnonzero(kinds == 2))] = 1
         self.pieces = np.cumsum(breaks[:count], dtype=np.int32)
@@ -123,33 +93,6 @@ class Words:
         return b" ".join(found.split()).decode("utf-8", "surrogatepass")
 
 
-def _windows(kinds: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Cuts of about ``_WINDOW`` bytes after the end of a word."""
-    low, size = 0, len(kinds)
-    while low < size:
-        high = min(low + _WINDOW, size)
-        if high < size:
-            ends = np.flatnonzero(kinds[low:high])
-            if not len(ends):  # a word that is longer
-                ends = np.flatnonzero(kinds[low:])
-            high = low + int(ends[-1 if ends[-1] < _WINDOW else 0]) + 1 if len(ends) else size
-        yield low, high
-        low = high
-
-
-def _words(
-    data: np.ndarray, kinds: np.ndarray, low: int, high: int, powers: _Powers
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of a cut, and their polynomials, mixed."""
-    inside = np.concatenate(([False], kinds[low:high] == 0, [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    up, down = powers.upto(high - low + 1)
-    sums = np.zeros(high - low + 1, np.uint64)
-    np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return starts + low, ends + low, _mixed((sums[ends] - sums[starts]) * down[starts])
-
-
 class Marks:
     """Bits at three places of each fingerprint."""
 
@@ -200,7 +143,7 @@ class Marks:
 def _longer(prints: np.ndarray, words: np.ndarray, at: np.ndarray, length: int, factor: int) -> np.ndarray:
     """Fingerprints of the phrases of ``length`` words at some places."""
     step = prints[at] * np.uint64(factor) + np.uint64(length)
-    return _mixed(step ^ words[at + length - 1])
+    return mixed(step ^ words[at + length - 1])
 
 
 def _levels(
@@ -211,7 +154,7 @@ def _levels(
     Phrases longer than a word are those of which both parts one word shorter are marked. They
     are fresh unless both are in ``old`` as well.
     """
-    ones = [_mixed(p + tongues[words.owners]) for p in words.prints]
+    ones = [mixed(p + tongues[words.owners]) for p in words.prints]
     shorter, places = [p.copy() for p in ones], np.arange(len(ones[0]))
     yield 1, places, ones, np.ones(len(places), bool)
     for length in range(2, longest + 1):
@@ -235,29 +178,17 @@ def _levels(
         yield length, places, [s[places] for s in shorter], fresh
 
 
-def _texts(batch: pa.RecordBatch, powers: _Powers) -> tuple[Words, np.ndarray]:
+def _texts(batch: pa.RecordBatch, powers: Powers) -> tuple[Words, np.ndarray]:
     """The words of a batch, and a number for the language of each text."""
     texts = batch.column(0).fill_null("").cast(pa.binary()).to_pylist()
     return Words(texts, powers), np.asarray(batch.column(1)).view(np.uint64)
 
 
-def _grouped(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order in which equal pairs stand together, and where in it each pair begins."""
-    order = np.argsort(one)
-    new = np.ones(len(one), bool)
-    new[1:] = one[order[1:]] != one[order[:-1]]
-    other = two[order[1:]] != two[order[:-1]]
-    if (other & ~new[1:]).any():
-        order = np.lexsort((two, one))
-        new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
-    return order, np.flatnonzero(new)
-
-
 def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Equal fingerprints added up: ``print`` and a number of its other bits and the count."""
     one, two = (np.concatenate(p) for p in zip(*held))
     held.clear()
-    order, firsts = _grouped(one, two)
+    order, firsts = grouped(one, two)
     counts = np.diff(np.append(firsts, len(one)))
     one, two = one[order[firsts]], two[order[firsts]]
     most = (1 << _COUNT_BITS) - 1
@@ -281,7 +212,7 @@ def _counted(rows: DataFrame, marks: Marks, lengths: set[int], least: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = shared.value
-        powers = _Powers()
+        powers = Powers()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             words, tongues = _texts(batch.select(["text", "tongue"]), powers)
@@ -335,7 +266,7 @@ def _named(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, wanted, old = shared.value
-        powers = _Powers()
+        powers = Powers()
         found: dict[tuple[int, int], list] = {}
 
         def row_batch() -> pa.RecordBatch:
@@ -350,7 +281,7 @@ def _named(
                 fresh = fresh & (old is not None and length > 1)
                 some = wanted.has(one) | fresh
                 one, two, places = one[some] & ~np.uint64(_LENGTHS) | np.uint64(length), two[some], places[some]
-                order, firsts = _grouped(one, two)
+                order, firsts = grouped(one, two)
                 counts = np.diff(np.append(firsts, len(one))).tolist()
                 at = order[firsts]
                 keys = zip(one[at].view(np.int64).tolist(), (two[at] >> np.uint64(_COUNT_BITS)).tolist())

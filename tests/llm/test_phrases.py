@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tabflow.llm import phrases
+from tabflow.llm import phrases, prints
 from tests.llm.plain import LOWER
 
 
@@ -113,9 +113,9 @@ def test_empty_table(corpus):
 
 def test_fingerprints_do_not_depend_on_windows(monkeypatch):
     text = ("aa bb. cc  dd\tee " * 50 + "x" * 300 + " yy,zz").encode()
-    powers = phrases._Powers()
+    powers = prints.Powers()
     whole = phrases.Words([text, b"", text], powers)
-    monkeypatch.setattr(phrases, "_WINDOW", 7)
+    monkeypatch.setattr(prints, "WINDOW", 7)
     cut = phrases.Words([text, b"", text], powers)
     for name in ("starts", "ends", "pieces", "owners"):
         assert np.array_equal(getattr(whole, name), getattr(cut, name))
