@@ -20,18 +20,19 @@ from itertools import accumulate, filterfalse
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tabflow.llm.prints import Powers, grouped, word_prints
 from tabflow.llm.texts import bounded_batches
 
 #: A block is closed when it has so many tokens; one document is never split.
 BLOCK_TOKENS = 1 << 16
-#: Words whose ids a Python worker remembers. Beyond it, it keeps those it has just used.
-CACHED_WORDS = 500_000
+#: Words, and words without case and marks, whose ids a Python worker remembers; beyond
+#: these it begins again.
+CACHED_WORDS, CACHED_STEMS = 2_000_000, 300_000
 
 BLOCKS = (
     "part int, block int, first bigint, n_tokens bigint, bits int, doc_ids array<bigint>, "
@@ -76,6 +77,31 @@ def unpack(payload: bytes, bits: int, start: int, end: int) -> np.ndarray:
     return grid.reshape(-1)[start - first * _GROUP : end - first * _GROUP]
 
 
+class _Known:
+    """Ids of words by both fingerprints: sorted arrays, and all ids one after the other."""
+
+    def __init__(self) -> None:
+        self.one, self.two = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, "<u4")
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words would stand, and which are there."""
+        at = np.searchsorted(self.one, one)
+        there = np.zeros(len(one), bool)
+        some = np.flatnonzero(at < len(self.one))
+        there[some] = (self.one[at[some]] == one[some]) & (self.two[at[some]] == two[some])
+        return at, there
+
+    def add(self, at: np.ndarray, one: np.ndarray, two: np.ndarray, made: list[bytes]) -> None:
+        """More words, sorted, at their places."""
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        self.one, self.two = np.insert(self.one, at, one), np.insert(self.two, at, two)
+        self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(made), "<u4")))
+
+
 class Encoder:
     """Texts to ids with a tokenizer file.
 
@@ -87,39 +113,62 @@ class Encoder:
     def __init__(self, path: str, by_word: bool) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
+        self.powers = Powers()
+        self.words = _Known()
         self.known: dict[bytes, bytes] = {b"": b""}
         self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids[-1]
 
     def encode(self, texts: pa.Array, end_id: int | None) -> list[bytes]:
         """Per text its ids and the end id, as little-endian unsigned 32-bit integers.
 
-        A null is an empty text. By word, Arrow splits the texts at ASCII white space and
-        numbers the distinct words; only those are looked up.
+        A null is an empty text. By word, numpy cuts the texts at ASCII white space and finds
+        the distinct words by two fingerprints of 64 bits each; only new ones are looked at.
         """
         end = b"" if end_id is None else end_id.to_bytes(4, "little")
         texts = texts.fill_null("")
         if not self.by_word:
             return [ids.tobytes() + end for ids in self._plain(texts.to_pylist())]
-        words = pc.ascii_split_whitespace(texts)
-        ends = np.asarray(words.offsets)
-        numbered = words.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
-        made = self._ids_of(numbered.dictionary.cast(pa.binary()).to_pylist())
-        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
-        starts = np.cumsum(sizes) - sizes
-        index = np.asarray(numbered.indices)
-        size = sizes[index]
-        upto = np.concatenate(([0], np.cumsum(size)))
-        at = np.repeat(starts[index] - upto[:-1], size) + np.arange(upto[-1])
-        data = np.frombuffer(b"".join(made), "<u4")[at].tobytes()
-        cuts = (4 * upto[ends - ends[0]]).tolist()
-        return [data[low:high] + end for low, high in zip(cuts, cuts[1:])]
-
-    def _ids_of(self, words: list[bytes]) -> list[bytes]:
-        self._learn(set(filterfalse(self.known.__contains__, words)))
-        made = list(map(self.known.__getitem__, words))
-        if len(self.known) > CACHED_WORDS:
-            self.known = {b"": b""} | dict(zip(words, made))
-        return made
+        parts = texts.cast(pa.binary()).to_pylist()
+        data = b"\n".join(parts)
+        starts, stops, one, two = word_prints(*_spaced(data), self.powers)
+        order, firsts = grouped(one, two)
+        number = np.empty(len(one), np.int64)  # of each word among the distinct ones
+        number[order] = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(one))))
+        first = order[firsts]
+        low, size = self._ids_of(data, starts[first], stops[first], one[first], two[first])
+
+        sizes = size[number]
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        at = np.repeat(low[number] - upto[:-1], sizes) + np.arange(upto[-1])
+        ids = self.words.ids[at].tobytes()
+        last = np.cumsum([len(p) + 1 for p in parts])
+        cuts = [0, *(4 * upto[np.searchsorted(starts, last)]).tolist()]
+        return [ids[a:b] + end for a, b in zip(cuts, cuts[1:])]
+
+    def _ids_of(
+        self, data: bytes, starts: np.ndarray, stops: np.ndarray, one: np.ndarray, two: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of distinct words are, and how many; the words are sorted by fingerprint."""
+        at, there = self.words.find(one, two)
+        if not there.all():
+            if len(self.words.one) > CACHED_WORDS:
+                self.words, self.known = _Known(), {b"": b""}
+                at, there = self.words.find(one, two)
+            new = np.flatnonzero(~there)
+            words = [data[a:b] for a, b in zip(starts[new].tolist(), stops[new].tolist())]
+            self._learn(set(filterfalse(self.known.__contains__, words)))
+            self.words.add(at[new], one[new], two[new], list(map(self.known.__getitem__, words)))
+            if len(self.known) > CACHED_STEMS:
+                self.known = {b"": b""}
+            at = np.arange(len(one)) if len(self.words.one) == len(one) else self._places(one, two)
+        return self.words.starts[at], self.words.sizes[at]
+
+    def _places(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Of words that are all known; those with one first fingerprint stand side by side."""
+        at = np.searchsorted(self.words.one, one)
+        while len(off := np.flatnonzero(self.words.two[at] != two)):
+            at[off] += 1
+        return at
 
     def _learn(self, new: set[bytes]) -> None:
         known = self.known
@@ -149,6 +198,9 @@ class Encoder:
         return [np.array(e.ids, "<u4") for e in made]
 
 
+# ASCII white space.
+_SPACES = np.zeros(256, bool)
+_SPACES[list(b" \t\n\x0b\x0c\r")] = True
 #: Texts that are encoded together.
 _TEXTS = 2_000
 #: Words that are encoded as one text, with a bar between them.
@@ -158,6 +210,12 @@ _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _SPECIAL = _MARKS + b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def _spaced(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes as numbers, and which of them are white space."""
+    numbers = np.frombuffer(data, np.uint8)
+    return numbers, _SPACES[numbers]
+
+
 def _stem(word: bytes) -> tuple[bytes, bytes]:
     """The word with A-Z in lower case, and the marks at its end if a letter is before them.
 

@@ -42,6 +42,25 @@ def test_by_word_gives_the_same_ids():
     assert by_word.encode(batch.slice(5, 9), 2) == plain.encode(batch.slice(5, 9), 2)
 
 
+def test_full_caches_and_equal_fingerprints_change_no_ids(monkeypatch):
+    draw = random.Random(4)
+    plain = tokens.Encoder(PATH, False)
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 40)
+    monkeypatch.setattr(tokens, "CACHED_STEMS", 10)
+    prints = tokens.word_prints
+
+    def weak(*args):
+        starts, stops, one, two = prints(*args)
+        return starts, stops, one % np.uint64(3), two
+
+    for by_word in (tokens.Encoder(PATH, True), tokens.Encoder(PATH, True)):
+        for _ in range(12):
+            texts = pa.array([" ".join(draw.choices(["Ab,", "ab", "c.", "é!", "x|y", "word" + "s" * draw.randint(0, 60)], k=9)) for _ in range(6)])
+            assert by_word.encode(texts, 2) == plain.encode(texts, 2)
+        monkeypatch.setattr(tokens, "word_prints", weak)
+    assert by_word.encode(pa.array([], pa.string()), 2) == []
+
+
 @pytest.mark.parametrize("by_word", [True, False])
 def test_written_ids_are_read_back(spark, docs, tmp_path, by_word):
     rows = [(i * 7 % 31, t) for i, t in enumerate(ODD)] + [(None, "null id"), (3, "again"), (3, "again")]
