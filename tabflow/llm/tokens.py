@@ -256,15 +256,21 @@ def write_tokens(
     """Encode every whole text and write a dataset at ``folder``, which must not exist.
 
     Documents are range-partitioned and sorted by id, nulls first; rows of one id
-    stand side by side. A null text is an empty one and has the end id only. The
+    stand side by side in the order of the input, and their place in it lets several tasks
+    share them. A null text is an empty one and has the end id only. The
     tokenizer file must be readable at its path on every executor.
     """
     bits = bits_for(Tokenizer.from_file(tokenizer).get_vocab_size())
     placed = (
         bounded_batches(docs)
-        .select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("t"))
-        .repartitionByRange(F.col("id"))
-        .sortWithinPartitions("id")
+        .select(
+            F.col(f"`{id_col}`").cast("bigint").alias("id"),
+            F.col(f"`{text_col}`").alias("t"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        .repartitionByRange(F.col("id"), F.col("place"))
+        .sortWithinPartitions("id", "place")
+        .select("id", "t")
     )
     blocks = placed.mapInArrow(_writer(tokenizer, by_word, end_id, bits), BLOCKS)
     blocks.write.parquet(f"{folder}/blocks")

@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabflow.llm import tokens
@@ -89,3 +90,17 @@ def test_written_ids_are_read_back(spark, docs, tmp_path, by_word):
 def test_an_empty_table(spark, docs, tmp_path):
     tokens.write_tokens(docs(), str(tmp_path / "none"), PATH)
     assert tokens.read_tokens(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_rows_without_an_id_are_shared_by_tasks(spark, tmp_path):
+    rows = spark.range(0, 4_000, 1, 4).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")
+    )
+    folder = str(tmp_path / "ids")
+    tokens.write_tokens(rows, folder, PATH, end_id=2, by_word=True)
+    blocks = spark.read.parquet(f"{folder}/blocks")
+    spread = blocks.where(F.exists("doc_ids", lambda i: i.isNull())).select("part").distinct().count()
+    assert spread > 1
+    read = tokens.read_tokens(spark, folder).orderBy("start").collect()
+    ids = [r.doc_id for r in read]
+    assert ids == [None] * 2_000 + list(range(0, 4_000, 2))
