@@ -92,7 +92,8 @@ def test_an_empty_table(spark, docs, tmp_path):
     assert tokens.read_tokens(spark, str(tmp_path / "none")).collect() == []
 
 
-def test_rows_without_an_id_are_shared_by_tasks(spark, tmp_path):
+def test_rows_without_an_id_are_shared_by_tasks(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rows = spark.range(0, 4_000, 1, 4).select(
         F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")
     )
