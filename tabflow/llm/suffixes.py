@@ -55,7 +55,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     first, second = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate((first, second))
     triples = (s[sample] << bits + bits) | (s[sample + 1] << bits) | s[sample + 2]
-    order = np.argsort(triples, kind="stable")
+    order = np.argsort(triples)
     ordered = triples[order]
     names = np.cumsum(np.concatenate(([1], (ordered[1:] != ordered[:-1]).astype(np.int64))))
     if names[-1] < len(sample):
@@ -68,7 +68,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     rest = np.arange(0, n, 3)
     pair = lambda i: (s[i] << bits) | rank[i + 1]
     triple = lambda i: (s[i] << bits + bits) | (s[i + 1] << bits) | rank[i + 2]
-    rest = rest[np.argsort(pair(rest), kind="stable")]
+    rest = rest[np.argsort(pair(rest))]
     ranked = sample[order]
     ranked = ranked[ranked < n]
     ones, twos = ranked[ranked % 3 == 1], ranked[ranked % 3 == 2]
@@ -83,10 +83,40 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 
 
 def equal_windows(pieces: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Windows of all pieces, those of equal bytes side by side.
+    """Windows of all pieces that may have an equal one, those of equal bytes side by side.
 
-    Returns per window its piece, its offset, and the number of its group.
+    Returns per window its piece, its offset, and the number of its group. Windows with a
+    hash of their own equal no other one; only stretches of the rest are sorted.
     """
+    piece, start, end = _stretches(pieces, length)
+    cut = [pieces[p][a : b + length - 1] for p, a, b in zip(piece.tolist(), start.tolist(), end.tolist())]
+    if not cut:
+        return piece, start, start
+    owner, offset, group = _sorted_windows(cut, length)
+    return piece[owner], start[owner] + offset, group
+
+
+def _stretches(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Piece, first and end offset of the stretches of windows whose hash occurs more than once."""
+    sizes = np.array([len(p) + 1 for p in pieces], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    counts = np.maximum(sizes - length, 0)
+    owner = np.repeat(np.arange(len(pieces)), counts)
+    at = np.arange(len(owner)) + np.repeat(begins - np.cumsum(counts) + counts, counts)
+    hashes = Hashes(b"\0".join(pieces) + b"\0").of(at, at + length)
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    often = np.zeros(len(at) + 2, bool)
+    often[order[1:][same] + 1] = often[order[:-1][same] + 1] = True
+    new = np.ones(len(at) + 1, bool)  # a stretch ends with its piece
+    new[1:-1] = owner[1:] != owner[:-1]
+    first = np.flatnonzero(often[1:-1] & (~often[:-2] | new[:-1]))
+    last = np.flatnonzero(often[1:-1] & (~often[2:] | new[1:]))
+    piece = owner[first]
+    return piece, at[first] - begins[piece], at[last] - begins[piece] + 1
+
+
+def _sorted_windows(pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     sizes = np.array([len(p) + 1 for p in pieces])
     flat = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
     begins = np.cumsum(sizes) - sizes
