@@ -25,12 +25,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tabflow.llm.prints import Powers, grouped, mixed, word_prints
+from tabflow.llm.prints import WINDOW, Powers, grouped, mixed, word_prints
 from tabflow.llm.texts import bounded_batches
 from tabflow.operators.skew import join_hot
 from tabflow.scratch import staged
@@ -59,7 +59,7 @@ _KIND[list(_PIECE_ENDS)] = 2
 
 _HELD = 1 << 21  # fingerprints that a task holds before it adds up equal ones
 _ROWS = 1 << 17  # of a batch that leaves a task
-_NAMES = 100_000  # texts of phrases that a task holds
+_NAMES = 40_000  # texts of phrases that a task holds
 _LENGTHS = 7  # mask of a fingerprint's bits for a length
 _COUNT_BITS = 24  # of the second number of a row; above them are more bits of the fingerprint
 # Odd factors of the parts of a phrase.
@@ -178,6 +178,15 @@ def _levels(
         yield length, places, [s[places] for s in shorter], fresh
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, about ``WINDOW`` bytes of text at a time."""
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(0)), 0), np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // WINDOW)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            yield batch.slice(low, high - low)
+
+
 def _texts(batch: pa.RecordBatch, powers: Powers) -> tuple[Words, np.ndarray]:
     """The words of a batch, and a number for the language of each text."""
     texts = batch.column(0).fill_null("").cast(pa.binary()).to_pylist()
@@ -214,7 +223,7 @@ def _counted(rows: DataFrame, marks: Marks, lengths: set[int], least: int) -> Da
         marks = shared.value
         powers = Powers()
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
+        for batch in _slices(batches):
             words, tongues = _texts(batch.select(["text", "tongue"]), powers)
             if 0 in lengths:
                 of = tongues[words.owners]
@@ -274,7 +283,7 @@ def _named(
             found.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        for batch in batches:
+        for batch in _slices(batches):
             words, tongues = _texts(batch, powers)
             langs = batch.column(2).to_pylist()
             for length, places, (one, two), fresh in _levels(words, tongues, marks, old, longest):
