@@ -65,6 +65,7 @@ ENCODINGS = (
     ("", _LOWER.upper() + _LOWER + _DIGITS + "+/-_"),
 )
 
+_BLOCK = 64  # elements of an array in a block of running sums
 _BINS_PER_E = 100  # resolution of the histogram of -log(p)
 _LOWEST = 1e-300
 
@@ -160,27 +161,105 @@ def _tested(tokens: str) -> Column:
     )
 
 
-def _placed(found: str, gaps: str, kind: int, kept: Column) -> Column:
-    """Spans (start, kind, end) of the matches, from their texts and those between them."""
-    sizes = F.transform(
+def _let(value: Column, body) -> Column:
+    """The body over a value that is computed once, also where its lambdas use it often."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, join, levels: int = 2) -> Column:
+    """Running results of an associative function over an array of integers from 0 on.
+
+    Each step copies what its block has so far, so blocks are short; the results of whole
+    blocks are run over in the same way. The work stays in proportion to the array.
+    """
+    none = F.array().cast("array<int>")
+
+    def plain(v: Column) -> Column:
+        last = lambda acc: F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0))
+        return F.aggregate(v, none, lambda acc, x: F.concat(acc, F.array(join(last(acc), x))))
+
+    if not levels:
+        return plain(values)
+
+    def added(blocks: Column, totals: Column) -> Column:
+        before = lambda i: F.coalesce(F.get(totals, i - 1), F.lit(0))
+        moved = lambda block, i: _let(before(i), lambda t: F.transform(block, lambda x: join(t, x)))
+        return F.flatten(F.transform(blocks, moved))
+
+    def blocked(v: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(v), F.lit(_BLOCK))
+        whole = F.transform(firsts, lambda first: plain(F.slice(v, first, F.lit(_BLOCK))))
+        total = lambda blocks: F.transform(blocks, lambda block: F.element_at(block, -1))
+        return _let(
+            whole,
+            lambda blocks: _let(
+                _running(total(blocks), join, levels - 1), lambda totals: added(blocks, totals)
+            ),
+        )
+
+    return _let(values, lambda v: F.when(F.size(v) > _BLOCK, blocked(v)).otherwise(plain(v)))
+
+
+def _placed(found: str, gaps: str, kept: str, kind: int) -> Column:
+    """Spans (start, kind, end) of the matches kept, from their texts and those between them."""
+    sizes = F.zip_with(
         found,
-        lambda m, i: F.struct(
-            F.length(F.get(gaps, i)).alias("gap"), F.length(m).alias("size"), F.get(kept, i).alias("kept")
+        gaps,
+        lambda m, g: F.struct(
+            F.coalesce(F.length(m), F.lit(0)).alias("size"), F.length(g).alias("gap")
         ),
     )
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-
-    def step(acc: Column, s: Column) -> Column:
-        start = acc["at"] + s["gap"]
-        end = start + s["size"]
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(
-            end.alias("at"),
-            F.when(s["kept"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+
+    def spans(sizes: Column) -> Column:
+        ends = _running(F.transform(sizes, lambda s: s["gap"] + s["size"]), lambda a, b: a + b)
+        return F.zip_with(
+            sizes,
+            ends,
+            lambda s, end: F.struct(
+                (end - s["size"]).alias("start"), F.lit(kind).alias("kind"), end.alias("end")
+            ),
         )
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.aggregate(sizes, start, step, lambda acc: acc["spans"])
+    # behind the last gap comes no match, so nothing says that it is kept
+    marked = F.zip_with(
+        _let(sizes, spans), kept, lambda s, k: F.struct(s.alias("span"), F.coalesce(k, F.lit(False)).alias("kept"))
+    )
+    return F.transform(F.filter(marked, lambda m: m["kept"]), lambda m: m["span"])
+
+
+def _apart(tests: str, base: str) -> Column:
+    """The tests whose span touches none of the base.
+
+    Base spans are put in order by their start and tests by their end: the largest end of
+    the base spans before a test's end says whether one of them reaches past its start.
+    """
+    blank = F.lit(None).cast("struct<n:int,p:double>")
+    events = F.concat(
+        F.transform(
+            tests,
+            lambda t: F.struct(
+                t["span"]["end"].alias("at"), F.lit(0).alias("reach"), t["span"].alias("span"), t["test"].alias("test")
+            ),
+        ),
+        F.transform(
+            base,
+            lambda s: F.struct(
+                s["start"].alias("at"), s["end"].alias("reach"), s.alias("span"), blank.alias("test")
+            ),
+        ),
+    )
+
+    def chosen(events: Column) -> Column:
+        reaches = _running(F.transform(events, lambda e: e["reach"]), F.greatest)
+        seen = F.zip_with(events, reaches, lambda e, r: F.struct(e.alias("event"), r.alias("reach")))
+        alone = F.filter(
+            seen, lambda s: s["event"]["test"].isNotNull() & (s["reach"] <= s["event"]["span"]["start"])
+        )
+        return F.transform(
+            alone, lambda s: F.struct(s["event"]["span"].alias("span"), s["event"]["test"].alias("test"))
+        )
+
+    return _let(F.sort_array(events), chosen)
 
 
 def _at_least(least: int):
@@ -207,7 +286,8 @@ def scan_secrets(
     Both are arrays of (start, kind, end) in code points, end exclusive, sorted;
     ``base`` has the kinds 0 to 2 of ``KINDS``, ``spans`` the random strings as well
     that touch none of those. Matches are leftmost and do not overlap within a kind.
-    A null text is an empty one. Whole texts are searched.
+    A null text is an empty one. Whole texts are searched, in time that grows with their
+    length and matches (times a logarithm of the latter).
     """
     text = F.col("text")
     none = F.array().cast("array<string>")
@@ -228,22 +308,17 @@ def scan_secrets(
         kept = F.transform(value, _at_least(least))
         parts.append(F.when(some, kept).otherwise(F.array().cast("array<boolean>")).alias(f"kept{i}"))
     rows = rows.select("*", *parts).drop("text")
-    spans = [_placed(f"found{i}", f"gaps{i}", i, F.col(f"kept{i}")) for i in range(len(every))]
+    spans = [_placed(f"found{i}", f"gaps{i}", f"kept{i}", i) for i in range(len(every))]
     rows = rows.select(
         "id",
         F.sort_array(F.concat(*spans[:3])).alias("base"),
-        F.arrays_zip(spans[3].alias("span"), _tested("found3").alias("test")).alias("tests"),
+        F.zip_with(
+            spans[3], _tested("found3"), lambda s, t: F.struct(s.alias("span"), t.alias("test"))
+        ).alias("tests"),
     )
     rows = staged(
         rows.withColumn(
-            "tests",
-            F.filter(
-                "tests",
-                lambda t: ~F.exists(
-                    "base",
-                    lambda s: (s["start"] < t["span"]["end"]) & (t["span"]["start"] < s["end"]),
-                ),
-            ),
+            "tests", F.when((F.size("base") > 0) & (F.size("tests") > 0), _apart("tests", "base")).otherwise(F.col("tests"))
         ),
         "secrets",
     )

@@ -1,6 +1,7 @@
 """Brute-force versions of the operators, in plain Python."""
 
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -122,3 +123,25 @@ def reach(pairs):
                 out[node] = start
                 todo += near[node]
     return out
+
+
+def random_p(text, encodings):
+    """Three times the least p-value of the chi-squared, runs and serial tests, at most 1."""
+    alphabet = next(a for p, a in encodings if re.search(p, text))
+    n, k = len(text), len(alphabet)
+    x = [alphabet.index(c) for c in text]
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi = sum((x.count(i) - n / k) ** 2 / (n / k) for i in range(k))
+    spread = 2 / (9 * (k - 1))
+    p = [tail(((chi / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))]
+    high = [v >= k / 2 for v in x]
+    ups, downs = sum(high), n - sum(high)
+    mean = 2 * ups * downs / n + 1
+    variance = (mean - 1) * (mean - 2) / (n - 1)
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    p.append(2 * tail(abs(runs - mean) / math.sqrt(variance)) if ups and downs and variance > 0 else 2.0 ** (1 - n))
+    middle = sum(x) / n
+    squares = sum((v - middle) ** 2 for v in x)
+    joint = sum((a - middle) * (b - middle) for a, b in zip(x, x[1:]))
+    p.append(2 * tail(abs(joint / squares) * math.sqrt(n)) if squares else 0.0)
+    return min(1.0, 3 * min(p))

@@ -1,4 +1,5 @@
 import random
+import time
 
 from tabflow.llm import licenses
 from tests.llm import plain
@@ -45,3 +46,13 @@ def test_spans_and_score(docs):
     assert (span.label, span.first_word, span.end_word, span.errors) == ("apache-2.0", 2, 10, 0)
     assert (by[1].score, by[2].score, by[3].score) == (1.0, 0.0, 1.0)
     assert licenses.scan_licenses(docs()).collect() == []
+
+
+def test_many_notices_in_one_text():
+    text = f"{NOTICE} cc by " * 20_000
+    began = time.monotonic()
+    found = licenses.scanner()(text)
+    assert time.monotonic() - began < 60
+    assert found[1] == 20_000 and found[3] == 19_999 * 10 + 8
+    apache = [s for s in found[7] if s["label"] == "apache-2.0"]
+    assert [(s["first_word"], s["end_word"]) for s in apache] == [(10 * i, 10 * i + 8) for i in range(20_000)]

@@ -1,6 +1,8 @@
 import base64
 import hashlib
 import random
+import re
+import time
 
 from tabflow.llm import secrets
 from tests.llm import plain
@@ -72,3 +74,50 @@ def test_nothing_to_test(docs, plan):
     assert [(r.n_random, r.base, r.spans) for r in found.collect()] == [(0, [], [])] * 3
     assert secrets.scan_secrets(docs()).collect() == []
     assert "Python" not in plan(found) and "Arrow" not in plan(found)
+
+
+def test_many_matches_in_one_text(docs):
+    token = "k9Zq3vXw7Lr1Tn5Bd8Yh"
+    text = f"token=12345678 {token} secret={token} " * 34_000
+    began = time.monotonic()
+    (got,) = secrets.scan_secrets(docs((1, text))).collect()
+    assert time.monotonic() - began < 60
+    step = len(text) // 34_000
+    assert got.n_assign == 68_000
+    assert [(s.start, s.end) for s in got.base[:3]] == [(0, 14), (36, 63), (step, step + 14)]
+    assert [(s.start, s.end) for s in got.base[-2:]] == [(33_999 * step, 33_999 * step + 14), (33_999 * step + 36, 34_000 * step - 1)]
+    assert got.n_random in (0, 34_000)  # equal strings have equal p-values; those in base spans are none
+
+
+def test_p_values_and_step_up_agree(docs):
+    draw = random.Random(14)
+    kinds = ["0123456789abcdef", "ab1", "ABCDEF0123456789", "abcdefghijklmnopqrstuvwxyz234567", "aZ09+/_-", "etaoin5"]
+    rows = []
+    for i in range(400):
+        words = []
+        for _ in range(draw.randint(0, 4)):
+            word = "".join(draw.choices(draw.choice(kinds), k=draw.randint(15, 90)))
+            words.append(draw.choice([word, word, f"token={word}", f"x {word}.{word}"]))
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in secrets.scan_secrets(docs(*rows)).collect()}
+    tests = []
+    for i, text in rows:
+        base = plain.secrets(text)
+        for m in re.finditer(secrets.CANDIDATE, text):
+            if not any(a < m.end() and m.start() < b for a, _, b in base):
+                tests.append((i, m.start(), m.end(), plain.random_p(m[0], secrets.ENCODINGS)))
+    wanted = {i: plain.secrets(text) for i, text in rows}
+    unsure = set()
+    for size in {(b - a).bit_length() for _, a, b, _ in tests}:
+        of = sorted((t for t in tests if (t[2] - t[1]).bit_length() == size), key=lambda t: t[3])
+        passed = [t[3] for n, t in enumerate(of, 1) if t[3] * len(of) <= secrets.FALSE_DISCOVERIES * n]
+        edge = max(passed, default=0.0)
+        for i, a, b, p in of:
+            if p > edge:
+                wanted[i].append((a, 3, b))
+            if edge and edge / 1.02 < p < edge * 1.03:  # a bin of the histogram is a hundredth wide
+                unsure.add(i)
+    assert len(unsure) < 20 and sum(len(w) for w in wanted.values()) > 100
+    for i, _ in rows:
+        if i not in unsure:
+            assert got[i] == sorted(wanted[i]), i
