@@ -164,6 +164,16 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
+def _keys(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Two sums of hashes per set, by which equal sets are known."""
+    ends, sums = np.cumsum(sizes), []
+    for salt in (1, 2):
+        mixed = _mix(values ^ _mix(np.full(1, salt, np.uint64)))
+        total = np.concatenate(([np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)))
+        sums.append((total[ends] - total[ends - sizes]).astype(np.int64))
+    return sums
+
+
 _FACTS = "id bigint, n bigint, k1 bigint, k2 bigint, planes array<bigint>, bands array<bigint>"
 
 
@@ -176,13 +186,7 @@ def _sketches(words: int):
             for first, texts in _chunks(batch):
                 values, sizes = shingles(texts, words)
                 grid = sketch(values, sizes)
-                sums = []
-                for salt in (1, 2):
-                    mixed = _mix(values ^ _mix(np.full(1, salt, np.uint64)))
-                    total = np.concatenate(([np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)))
-                    ends = np.cumsum(sizes)
-                    sums.append((total[ends] - total[ends - sizes]).astype(np.int64))
-                columns = [batch.column(0).slice(first, len(texts)), sizes, *sums]
+                columns = [batch.column(0).slice(first, len(texts)), sizes, *_keys(values, sizes)]
                 columns += [list(_planes(grid)), list(_bands(grid))]
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)],
@@ -200,8 +204,12 @@ def _sets(words: int):
                 ends = np.cumsum(sizes)
                 parts = [values[e - s : e].astype(np.int64) for e, s in zip(ends, sizes)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(parts, pa.list_(pa.int64()))],
-                    ["id", "items"],
+                    [
+                        batch.column(0).slice(first, len(texts)),
+                        *[pa.array(k, pa.int64()) for k in _keys(values, sizes)],
+                        pa.array(parts, pa.list_(pa.int64())),
+                    ],
+                    ["id", "k1", "k2", "items"],
                 )
 
     return run
@@ -246,21 +254,27 @@ def near_duplicates(
     )
     facts = staged(picked.mapInArrow(_sketches(words), _FACTS), "sketches")
     known = facts.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    classes = known.groupBy("k1", "k2").agg(F.min("id").alias("node"))
+    # one node per class of equal sets, numbered in the order of its smallest id, as rows of
+    # one id can be of several classes
+    classes = known.groupBy("k1", "k2").agg(F.min("id").alias("id")).orderBy("id", "k1", "k2")
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    node_of = classes.drop("id")
     links = staged(_links(picked, known, classes, words, percent), "links")
 
     # ids with several texts tie the classes of those texts together
-    member = known.select("id", "k1", "k2").join(classes, ["k1", "k2"])
+    member = known.select("id", "k1", "k2").join(node_of, ["k1", "k2"])
     several = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     several = several.where("a <> z").select("id", "a")
     tied = member.join(several, "id").select("a", F.col("node").alias("b"))
     found = components(links.select("a", "b").union(tied))
+    smallest = classes.select(F.col("node").alias("component"), F.col("id").alias("reached"))
+    found = found.withColumnRenamed("id", "node").join(smallest, "component").drop("component")
 
-    named = facts.join(classes, ["k1", "k2"], "left").join(
-        found.withColumnRenamed("id", "node"), "node", "left"
+    named = facts.join(classes.withColumnRenamed("id", "least"), ["k1", "k2"], "left").join(
+        found, "node", "left"
     )
     linked = F.col("id").isNotNull() & (F.col("n") > 0)
-    component = F.when(linked, F.coalesce("component", "node")).otherwise(F.col("id"))
+    component = F.when(linked, F.coalesce("reached", "least")).otherwise(F.col("id"))
     return named.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")
     ).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
@@ -270,13 +284,11 @@ def _links(
     picked: DataFrame, known: DataFrame, classes: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """Confirmed links ``a, b`` between nodes, enough to connect all that are linked."""
-    own = (F.col("id") == F.col("node"))
     nodes = (
-        known.join(classes, ["k1", "k2"])
-        .where(own)
+        known.join(classes, ["id", "k1", "k2"])
         .groupBy("node")
-        .agg(F.min(F.struct("n", "planes", "bands")).alias("s"))
-        .select("node", "s.*")
+        .agg(F.min(F.struct("n", "planes", "bands")).alias("s"), F.count("*").alias("rows"))
+        .select("node", "rows", "s.*")
     )
     spread = nodes.select("node", F.explode("bands").alias("key"))
     sizes = spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -289,9 +301,14 @@ def _links(
         .select("key", F.negative("h.m").alias("hub"))
     )
     met = staged(live.select("key", "node").join(hubs, "key"), "met")
-    wanted = live.select(F.col("node").alias("id")).distinct()
+    wanted = classes.join(live.select("node").distinct(), "node").join(nodes.select("node", "rows"), "node")
+    wanted = staged(wanted, "wanted")
     texts = picked.join(wanted, "id", "left_semi").select("id", "text")
-    sets = staged(texts.mapInArrow(_sets(words), "id bigint, items array<bigint>"), "sets")
+    read = texts.mapInArrow(_sets(words), "id bigint, k1 bigint, k2 bigint, items array<bigint>")
+    read = staged(read.join(wanted, ["id", "k1", "k2"]).select("node", "rows", "items"), "sets")
+    # rows repeated with their id give their set once
+    repeated = read.where("rows > 1").groupBy("node").agg(F.first("items").alias("items"))
+    sets = read.where("rows = 1").select("node", "items").union(repeated)
 
     pairs = met.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     checked = staged(_verified(pairs.distinct(), sets, percent), "checked")
@@ -303,8 +320,8 @@ def _links(
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with their overlap on the full sets, and whether they are linked."""
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
+    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - F.col("both")
     return (

@@ -74,6 +74,24 @@ def test_rows_without_id_and_repeated_ids(docs):
     assert left.columns == df.columns and sorted(map(str, (r[0] for r in left.collect()))) == ["1", "None"]
 
 
+def test_different_texts_of_one_id_keep_their_links(docs, words):
+    short, long = " ".join(words(20)), words(60)
+    near = " ".join([*long[:-1], "other"])
+    rows = [(5, short), (5, " ".join(long)), (6, near), (7, short + " x"), (5, short), (9, near), (4, "alone")]
+    got = minhash.near_duplicates(docs(*rows), 2).select("doc_id", "component_id", "kept").collect()
+    assert {tuple(r) for r in got if r.doc_id in (4, 5, 6, 9)} == {(4, 4, True), (5, 5, True), (6, 5, False), (9, 5, False)}
+    assert {tuple(r) for r in got if r.doc_id == 7} == {(7, 5, False)}
+    kept = minhash.without_duplicates(docs(*rows), 2).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted((i, t) for i, t in rows if i in (4, 5))
+
+
+def test_repeated_rows_of_linked_ids(docs, words):
+    base = words(60)
+    rows = [(i, " ".join([*base[:-1], f"e{i}"])) for i in range(6)] * 40
+    got = minhash.near_duplicates(docs(*rows), 2).select("doc_id", "component_id").collect()
+    assert len(got) == 240 and {r.component_id for r in got} == {0}
+
+
 def test_empty_table(docs):
     assert minhash.near_duplicates(docs()).collect() == []
 
