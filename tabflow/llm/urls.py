@@ -91,12 +91,11 @@ class Cascade:
     A filter table has one row per shard: ``shard int, bits array<bigint>``.
     """
 
-    levels: list[tuple[DataFrame, int]]
-    shards: int
+    levels: list[tuple[DataFrame, int, int]]  # filter table, bits of a shard, shards
 
     def bytes(self) -> int:
         """Size of all levels over all shards."""
-        return sum(bits // 8 for _, bits in self.levels) * self.shards
+        return sum(bits // 8 * shards for _, bits, shards in self.levels)
 
     def flag(self, rows: DataFrame, key: Column, name: str) -> DataFrame:
         """Add boolean ``name``: whether ``key`` is listed. A null key is not."""
@@ -104,15 +103,14 @@ class Cascade:
         if not self.levels:
             return rows.select(*columns, F.lit(False).alias(name))
         asked = rows.select(F.struct(*columns).alias("__row"), key.alias("__key"))
-        if self.shards > 1:
-            asked = asked.withColumn("__shard", _shard(F.col("__key"), self.shards))
         bits = []
-        for level, (table, _) in enumerate(self.levels):
-            if self.shards == 1:
+        for level, (table, _, shards) in enumerate(self.levels):
+            if shards == 1:
                 bits.append(table.select("bits").scalar())
             else:
                 named = table.select(F.col("shard").alias("__shard"), F.col("bits").alias(f"__b{level}"))
-                asked = asked.join(named, "__shard", "left")
+                asked = asked.withColumn("__shard", _shard(F.col("__key"), shards))
+                asked = asked.join(named, "__shard", "left").drop("__shard")
                 bits.append(F.col(f"__b{level}"))
         answer = F.lit(len(self.levels) % 2 == 1)
         for level in reversed(range(len(self.levels))):
@@ -141,16 +139,31 @@ def build_cascade(
     )
     inside, outside = keys.where("listed").select("key"), keys.where("not listed").select("key")
     n = inside.count()
-    shards = max(1, -(-n * bits_per_key // (8 * max_shard_bytes)))
-    levels: list[tuple[DataFrame, int]] = []
+    levels: list[tuple[DataFrame, int, int]] = []
     while n:
-        size = _largest_shard(inside, shards) if shards > 1 else n
-        bits = 64 * -(-size * bits_per_key // 64)
+        bits, shards = _shape(inside, n, bits_per_key, max_shard_bytes)
         table = staged(_filter(inside, len(levels), bits, shards), "bloom")
-        levels.append((table, bits))
+        levels.append((table, bits, shards))
         through = staged(_let_through(outside, table, len(levels) - 1, bits, shards), "through")
         inside, outside, n = through, inside, through.count()
-    return Cascade(levels, shards)
+    return Cascade(levels)
+
+
+def _shape(keys: DataFrame, n: int, bits_per_key: int, max_shard_bytes: int) -> tuple[int, int]:
+    """Bits of a shard and number of shards for ``n`` keys of a level.
+
+    Every level has its own: the keys let through by a level of few listed keys can be many
+    more than those. Shards are added until the largest one is within the bound, which is
+    no less than a word or the bits of one key.
+    """
+    most = 64 * max(max_shard_bytes // 8, -(-bits_per_key // 64))
+    shards = -(-n * bits_per_key // most)
+    while True:
+        size = _largest_shard(keys, shards) if shards > 1 else n
+        bits = 64 * -(-size * bits_per_key // 64)
+        if bits <= most or size == 1:
+            return bits, shards
+        shards = shards + -(-shards * (bits - most) // most)
 
 
 def _let_through(

@@ -10,11 +10,30 @@ def test_cascade_is_exact(spark, shard_bytes):
         F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed")
     )
     cascade = urls.build_cascade(keys, bits_per_key=3, max_shard_bytes=shard_bytes)
-    assert len(cascade.levels) > 1 and (cascade.shards > 1) == (shard_bytes == 64)
+    assert len(cascade.levels) > 1 and (cascade.levels[0][2] > 1) == (shard_bytes == 64)
     flagged = cascade.flag(keys, F.col("key"), "found")
     assert flagged.where("found <> listed").count() == 0 and flagged.count() == 3000
 
 
+def test_few_listed_and_many_other_keys(spark):
+    keys = spark.range(100_000).select(
+        F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 5000 == 0).alias("listed")
+    )
+    cascade = urls.build_cascade(keys, bits_per_key=4, max_shard_bytes=256)
+    shards = [s for _, _, s in cascade.levels]
+    assert shards[0] == 1 and max(shards) > 1, "keys let through by the first level need shards"
+    assert all(bits <= 8 * 256 for _, bits, _ in cascade.levels)
+    flagged = cascade.flag(keys.union(keys.limit(0)), F.col("key"), "found")
+    assert flagged.where("found <> listed").count() == 0 and flagged.count() == 100_000
+
+
+def test_null_page_ids(spark):
+    pages = spark.createDataFrame(
+        [(None, "http://casino.b.c/"), (None, None), (None, "http://a.c/")], "page_id int, url string"
+    )
+    assert sorted(r.verdict for r in urls.judge_urls(pages).collect()) == ["allow", "allow", "block"]
+
+
 def test_nothing_listed(spark):
     keys = spark.createDataFrame([("a", False), (None, True), ("b", None)], "key string, listed boolean")
     cascade = urls.build_cascade(keys)
