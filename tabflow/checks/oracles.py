@@ -143,6 +143,7 @@ WHERE {_KEPT_USERS}
 """,
     "city_locations": _LOCATIONS,
     "city_locations_collated": _LOCATIONS,
+    "city_locations_salted": _LOCATIONS,
     "city_load": _LOCATIONS,
     "feed_by_country": """
 SELECT p_type AS country,

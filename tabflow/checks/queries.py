@@ -20,7 +20,7 @@ from tabflow.scratch import scratch_path
 from tabflow.sinks import files, jdbc, publish
 from tabflow.sinks.graph_store import GraphStore
 from tabflow.sinks.partition import overwrite_partition
-from tabflow.sources import lines, partitions
+from tabflow.sources import lines
 from tabflow.sources.jdbc import read_jdbc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,9 +41,10 @@ def partition_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = inputs.partitioned_id_lists(
         table(spark, sf_dir, "lineitem"), scratch_path(spark, "idlists")
     )
-    stored = lines.text_lines(spark, path, "uniq_type string, year int, datecomputed date")
-    chosen = partitions.scan_partitions(
-        stored,
+    chosen = lines.partition_lines(
+        spark,
+        path,
+        "uniq_type string, year int, datecomputed date",
         ["uniq_type", "year", "datecomputed"],
         ["sessionid", "1996:1999", "1996-04-01:1999-07-01"],
     )
@@ -173,7 +174,7 @@ def user_send(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _locations(spark: SparkSession, sf_dir: str, city: Column, **options: str) -> DataFrame:
+def _locations(spark: SparkSession, sf_dir: str, city: Column, **options: str | bool) -> DataFrame:
     part = table(spark, sf_dir, "part")
     located = geo.city_locations(
         geo.feed_places(inputs.feed_lines(part)),
@@ -194,6 +195,11 @@ def city_locations_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _locations(spark, sf_dir, city, collation="UTF8_LCASE_RTRIM")
 
 
+def city_locations_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of common names divided before the join."""
+    return _locations(spark, sf_dir, F.col("city"), salted=True)
+
+
 def city_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append locations to a relational table; the load is run twice."""
     part, target = table(spark, sf_dir, "part"), inputs.database(spark)
@@ -356,6 +362,7 @@ QUERIES: dict[str, Query] = {
         user_send,
         city_locations,
         city_locations_collated,
+        city_locations_salted,
         city_load,
         feed_by_country,
         country_region,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.fixed import REL_NAME, REL_TYPE
+from tabflow.operators.skew import join_salted
 
 
 def follow_nodes(pairs: DataFrame) -> DataFrame:
@@ -45,22 +46,29 @@ def only_new(candidates: DataFrame, stored: DataFrame, keys: Sequence[str]) -> D
     return candidates.join(hits, keys, "left_anti")
 
 
-def edge_dump(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every relationship with the ids of its record and of both end nodes."""
+def edge_dump(edges: DataFrame, nodes: DataFrame, salted: bool = False) -> DataFrame:
+    """Every relationship with the ids of its record and of both end nodes.
+
+    ``salted`` divides the edges of users who have very many, where their partitions are
+    too small for adaptive execution to split; it reads the ends of the edges once more.
+    """
     start = nodes.select(F.col("node_id").alias("start_id"), F.col("userid").alias("src"))
     end = nodes.select(F.col("node_id").alias("end_id"), F.col("userid").alias("dst"))
-    return (
-        edges.select("rel_id", "src", "dst", "name")
-        .join(start, "src")
-        .join(end, "dst")
-        .select(
-            "rel_id",
-            "start_id",
-            F.col("src").alias("start_userid"),
-            "name",
-            "end_id",
-            F.col("dst").alias("end_userid"),
-        )
+    records = edges.select("rel_id", "src", "dst", "name")
+    if salted:
+        spread = F.col("rel_id")
+        # both kinds of hot ends are counted on the stored edges, not on the joined ones
+        found = join_salted(records, start, "src", spread)
+        found = join_salted(found, end, "dst", spread, counted=records)
+    else:
+        found = records.join(start, "src").join(end, "dst")
+    return found.select(
+        "rel_id",
+        "start_id",
+        F.col("src").alias("start_userid"),
+        "name",
+        "end_id",
+        F.col("dst").alias("end_userid"),
     )
 
 

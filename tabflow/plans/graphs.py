@@ -15,7 +15,7 @@ from tabflow.sinks.files import to_tsv, write_lines
 from tabflow.sinks.graph_store import GraphStore
 from tabflow.sinks.record_batches import deliver, is_staged, send_in_batches, stage_batches
 from tabflow.sources.lines import lines_of
-from tabflow.sources.partitions import PartitionValue, scan_partitions
+from tabflow.sources.partitions import PartitionValue
 
 
 def clean_pairs(
@@ -31,7 +31,7 @@ def clean_pairs(
 
     Returns the lines read and kept.
     """
-    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
+    lines = lines_of(spark, table, partition_schema, columns, values)
     counts = Observation()
     pairs = cluster_rows(edge_list(lines, counts), "src", partitions)
     write_lines(to_tsv(pairs), out, replace=False)
@@ -50,7 +50,7 @@ def load_followers(
 
     Returns the lines read and kept, and the nodes and edges created.
     """
-    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
+    lines = lines_of(spark, table, partition_schema, columns, values)
     counts = Observation()
     created = store.upsert(edge_list(lines, counts))
     return {**counts.get, **created}
@@ -76,7 +76,7 @@ def load_users(
     Returns the lines read and kept, if the input was read; every kept line is a record.
     With an outbox also the batches and records delivered now.
     """
-    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
+    lines = lines_of(spark, table, partition_schema, columns, values)
     counts = Observation()
     if outbox is None:
         send_in_batches(user_records(lines, counts), sender, size)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabflow.operators.uniques import explode_unique, word_count
 from tabflow.sinks.files import to_tsv, write_lines
 from tabflow.sources.lines import lines_of, offset_lines, sequence_file
-from tabflow.sources.partitions import PartitionValue, scan_partitions
+from tabflow.sources.partitions import PartitionValue
 
 
 def count_uniques(
@@ -25,7 +25,7 @@ def count_uniques(
 
     Returns the lines read and rejected and the ids written.
     """
-    lines = scan_partitions(lines_of(spark, table, partition_schema), columns, values)
+    lines = lines_of(spark, table, partition_schema, columns, values)
     counts = Observation()
     ids = write_lines(to_tsv(explode_unique(lines, counts)), out)
     return {**counts.get, "ids": ids}

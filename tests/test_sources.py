@@ -1,10 +1,18 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabflow.sources.jdbc import JdbcTarget, read_jdbc
-from tabflow.sources.lines import lines_after_header, offset_lines, sequence_file, text_lines
+from tabflow.sources import partitions
+from tabflow.sources.lines import (
+    lines_after_header,
+    offset_lines,
+    partition_lines,
+    sequence_file,
+    text_lines,
+)
 from tabflow.sources.partitions import scan_partitions
 from tabflow.sinks.jdbc import load_jdbc
 from tests.helpers import rows
@@ -13,13 +21,18 @@ SCHEMA = "kind string, year int, day date"
 
 
 @pytest.fixture
-def daily(spark, tmp_path):
+def daily_path(spark, tmp_path):
     path = str(tmp_path / "daily")
     days = ["2011-12-31", "2012-01-01", "2012-06-01", "2013-06-11", "2013-06-12"]
     data = [(f"{k} {d}", k, int(d[:4]), d) for d in days for k in ("a", "b")]
     df = spark.createDataFrame(data, "value string, kind string, year int, day string")
     df.write.partitionBy("kind", "year", "day").text(path)
-    return text_lines(spark, path, SCHEMA)
+    return path
+
+
+@pytest.fixture
+def daily(spark, daily_path):
+    return text_lines(spark, daily_path, SCHEMA)
 
 
 def test_ranges_include_both_ends(daily):
@@ -54,6 +67,59 @@ def test_predicates_prune_folders(daily, plan):
     assert "Filter (" not in text
 
 
+def chosen_lines(spark, path, columns, values):
+    return sorted(r["value"] for r in partition_lines(spark, path, SCHEMA, columns, values).collect())
+
+
+@pytest.mark.parametrize(
+    "columns, values",
+    [
+        (["kind", "year", "day"], ["a", "2012:2013", "2012-01-01:2013-06-11"]),
+        (["day"], ["2012-01-01:2012-06-01"]),
+        (["year", "kind"], [(2012, 2012), "b"]),
+        (["year"], [1999]),
+    ],
+)
+def test_chosen_folders_hold_the_rows_that_a_whole_listing_finds(spark, daily, daily_path, columns, values):
+    whole = scan_partitions(daily, columns, values)
+    found = partition_lines(spark, daily_path, SCHEMA, columns, values)
+    assert found.schema == whole.schema and rows(found) == rows(whole)
+
+
+def test_unchosen_folders_are_never_listed(spark, daily_path, monkeypatch):
+    """One of them could not even be listed together with the others."""
+    odd = Path(daily_path) / "kind=b" / "other=1" / "more=2"
+    odd.mkdir(parents=True)
+    (odd / "part").write_text("never read\n")
+    with pytest.raises(Exception, match="(?i)conflicting|partition column"):
+        scan_partitions(text_lines(spark, daily_path, SCHEMA), ["kind"], ["a"]).collect()
+    listed = []
+    list_one = partitions.subfolders
+    monkeypatch.setattr(
+        partitions, "subfolders", lambda s, path: listed.append(path) or list_one(s, path)
+    )
+    found = chosen_lines(spark, daily_path, ["kind", "year"], ["a", "2012:2013"])
+    assert found == ["a 2012-01-01", "a 2012-06-01", "a 2013-06-11", "a 2013-06-12"]
+    assert sorted(p.removeprefix(daily_path) for p in listed) == ["", "/kind=a"]
+
+
+def test_folder_values_are_compared_as_their_type(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    names = {"n=007": "seven", "n=12": "twelve", "n=x": "odd", "n=__HIVE_DEFAULT_PARTITION__": "none"}
+    for name, text in names.items():
+        (tmp_path / "typed" / name).mkdir(parents=True)
+        (tmp_path / "typed" / name / "part").write_text(text + "\n")
+    (tmp_path / "typed" / "_SUCCESS").write_text("")
+    found = partition_lines(spark, path, "n int", ["n"], ["5:100"])
+    assert rows(found) == [("seven", 7), ("twelve", 12)]
+    times = spark.createDataFrame([("x", "12:30"), ("y", "1 2")], "value string, t string")
+    times.write.partitionBy("t").text(str(tmp_path / "times"))
+    read = partition_lines(spark, str(tmp_path / "times"), "t string", ["t"], [("12:30",)])
+    assert rows(read) == [("x", "12:30")]
+    with pytest.raises(ValueError, match="one value"):
+        partition_lines(spark, path, "n int", ["n"], [])
+
+
 def brute_offsets(content):
     """Line starts, where a line ends at \\n, \\r\\n or \\r."""
     found, start, i = [], 0, 0
