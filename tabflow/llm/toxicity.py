@@ -198,7 +198,8 @@ def learn(
     """A model from labelled rows that are not held out.
 
     Rows without an id or a label are left out; an id with several labels is toxic
-    if one of them is. Without any entry every score is the same low one.
+    if one of them is, and one with several texts is fitted by the text with most hits.
+    At most ``sample_rows`` ids are learned from. Without any entry every score is the same low one.
     """
     named = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("toxic"))
     usable = named.where(F.col("id").isNotNull() & F.col("toxic").isNotNull())
@@ -236,8 +237,10 @@ def learn(
         return model
     fields = [("hits", "bigint"), ("weight", "double"), ("words", "bigint")]
     found = per_text(rows.select("id", "text"), model.matcher, fields, "id")
-    facts = found.join(F.broadcast(sample), "id").select("hits", "weight", "words", "toxic")
-    data = facts.limit(4 * sample_rows).collect()  # ids may repeat in the documents
+    # an id with several texts counts as the one with the most hits, so there is a row per id
+    facts = found.groupBy("id").agg(F.max(F.struct(*[name for name, _ in fields])).alias("f"))
+    data = facts.join(F.broadcast(sample), "id").select("id", "f.*", "toxic").collect()
+    data.sort(key=lambda r: r["id"])
     x = np.array([features(r["hits"], r["weight"], r["words"]) for r in data])
     constant, *others = _fit(x, np.array([float(r["toxic"]) for r in data]))
     model.coefficients = (min(constant, NO_HIT), *others)

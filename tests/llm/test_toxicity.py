@@ -50,6 +50,17 @@ def test_held_out_labels_are_not_learned_from(labelled):
     assert toxicity.learn(df, flipped) == toxicity.learn(df, labels)
 
 
+def test_ids_repeated_many_times_are_fitted_once(spark, labelled):
+    """Any order of the rows gives the same model; each id is one row of the fit."""
+    df, labels = labelled
+    others = df.withColumn("text", F.concat("text", F.lit(" moronic and more"))).where("doc_id = 100")
+    many = df.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(9)))).drop("n").union(others)
+    models = [toxicity.learn(many.orderBy(F.rand(seed)).coalesce(n), labels) for seed, n in ((1, 1), (2, 3))]
+    assert models[0] == models[1]
+    few = [toxicity.learn(many.orderBy(by), labels, sample_rows=80) for by in ("text", F.desc("doc_id"))]
+    assert few[0] == few[1] and few[0].entries
+
+
 def test_accuracy_on_given_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
