@@ -72,7 +72,7 @@ class Words:
     ``starts`` and ``ends`` are their bytes in ``data``, where A-Z is in lower case, and
     ``owners`` the texts they are from. ``pieces`` numbers the pieces they lie in; no
     piece has words of two texts. ``prints`` are two arrays of fingerprints: a polynomial
-    of the bytes, and the same with the length and the outer bytes.
+    of the bytes, and the same with the length, the outer bytes and another polynomial.
     """
 
     def __init__(self, texts: list[bytes], powers: Powers) -> None:
@@ -151,12 +151,14 @@ def _levels(
 ) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]:
     """Per length: the places of its phrases, their two fingerprints, and which are fresh.
 
-    Phrases longer than a word are those of which both parts one word shorter are marked. They
-    are fresh unless both are in ``old`` as well.
+    Phrases longer than a word are those of which both parts one word shorter are among them and
+    marked. They are fresh unless ``old`` alone gives them as well: a part that is in ``old``
+    by chance, without being one of its phrases, does not make a longer phrase an old one.
     """
     ones = [mixed(p + tongues[words.owners]) for p in words.prints]
     shorter, places = [p.copy() for p in ones], np.arange(len(ones[0]))
     yield 1, places, ones, np.ones(len(places), bool)
+    stale = np.ones(len(places), bool)  # where old gives the shorter phrase
     for length in range(2, longest + 1):
         size = len(ones[0])
         known = np.zeros(size, bool)
@@ -170,9 +172,11 @@ def _levels(
         fresh = np.ones(len(places), bool)
         if old is not None:
             before = np.zeros(size, bool)
-            some = np.flatnonzero(known)
+            some = np.flatnonzero(known & stale)
             before[some] = old.has(shorter[0][some])
             fresh = ~(before[places] & before[places + 1])
+            stale[:] = False
+            stale[places[~fresh]] = True
         for one, short, factor in zip(ones, shorter, (_FIRST, _SECOND)):
             short[places] = _longer(short, one, places, length, factor)
         yield length, places, [s[places] for s in shorter], fresh
@@ -265,7 +269,7 @@ def _named(
 ) -> DataFrame:
     """``print, check, lang, phrase, k, n, fresh`` of phrases that are wanted or fresh.
 
-    Fresh are those of which both shorter parts are marked, but not both in ``old``; there are
+    Fresh are those that ``marks`` give and ``old`` does not, see ``_levels``; there are
     none without ``old``. Of them, only those with ``n`` at ``least`` are returned. The
     table is written.
     """

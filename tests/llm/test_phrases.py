@@ -145,3 +145,26 @@ def test_phrases_that_the_sample_lacks_are_named(corpus):
     wanted = [(lang, " ".join(p), len(p), a) for lang, of in f.items() for p, a in of.items() if a >= 3]
     wanted += [(lang, "", 0, n) for lang, n in sizes.items()]
     assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
+@pytest.mark.parametrize("bits", [9, 11])
+def test_phrases_that_are_marked_by_chance_are_counted(corpus, bits):
+    """Phrases of one document each, few of which the sample has, with ever more bits by chance."""
+    draw, common = random.Random(6), [f"c{i}" for i in range(30)]
+    rows = []
+    for d in range(40):
+        words = [f"w{d}_{i}" for i in range(20)] + common
+        rows.append((". ".join(" ".join(draw.sample(words, 5)) + "! " for _ in range(10)) * 5, "en"))
+    found = phrases.collocations(corpus(rows), support=5, bits=bits, per_language=10**6)
+    wanted = brute(rows, 5, top=10**6)
+    assert sorted(map(tuple, found.collect())) == wanted and wanted
+
+
+def test_words_with_equal_polynomials_modulo_two_to_the_64_differ(corpus):
+    """Words whose letters follow the Thue-Morse sequence, and those with the letters exchanged."""
+    bits = [n.bit_count() % 2 for n in range(2048)]
+    one, two = ("x" + "".join(letters[b] for b in bits) + "y" for letters in ("ab", "ba"))
+    rows = [(f"{one} cat. " * 40 + f"{two} cat. " * 50 + f"{two} dog. " * 35, "en")] * 2
+    assert sorted(map(tuple, phrases.collocations(corpus(rows)).collect())) == brute(rows, 30)
+    words = phrases.Words([f"{one} {two}".encode()], prints.Powers())
+    assert words.prints[1][0] != words.prints[1][1]
