@@ -18,29 +18,31 @@ def components(edges: DataFrame) -> DataFrame:
     very many edges is one key of a minimum, combined before the shuffle, and of a
     join whose large partitions adaptive execution splits.
     """
-    current = staged(_ordered(edges), "edges")
-    seen = None
-    while True:
+    current = staged(_ordered(edges).distinct(), "edges")
+    while not _stars(current):
         both = current.union(current.select(F.col("b"), F.col("a")))
+        # a star has no more rows than its edges and nodes, so copies can stay until the second
         large = _star(both.toDF("u", "v"), F.col("v") > F.col("u"))
         small = _star(_ordered(large).select(F.col("b"), F.col("a")).toDF("u", "v"), F.lit(True))
-        current = staged(_ordered(small), "edges")
-        now = current.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if now == seen:
-            break
-        seen = now
+        current = staged(_ordered(small).distinct(), "edges")
     ends = current.select(F.col("b").alias("id"), F.col("a").alias("component"))
     roots = current.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     return ends.union(roots)
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
-    """Distinct edges with ``a`` smaller than ``b``."""
-    return edges.select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).where("a <> b").distinct()
+    """Edges with ``a`` smaller than ``b``."""
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether distinct ordered edges are stars: no node has two smaller ones, or both kinds."""
+    side = lambda end, roots, ends: F.struct(
+        F.col(end).alias("id"), F.lit(roots).alias("roots"), F.lit(ends).alias("ends")
+    )
+    sides = edges.select(F.inline(F.array(side("a", 1, 0), side("b", 0, 1)))).groupBy("id")
+    sides = sides.agg(F.max("roots").alias("roots"), F.sum("ends").alias("ends"))
+    return sides.where(F.col("roots") + F.col("ends") > 1).isEmpty()
 
 
 def _star(arcs: DataFrame, moved) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.llm.components import components
+from tabflow.llm.sieve import may_match
 from tabflow.llm.texts import bounded_batches, encode
 from tabflow.scratch import staged
 
@@ -284,12 +285,12 @@ def _links(
     picked: DataFrame, known: DataFrame, classes: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """Confirmed links ``a, b`` between nodes, enough to connect all that are linked."""
-    nodes = (
-        known.join(classes, ["id", "k1", "k2"])
-        .groupBy("node")
-        .agg(F.min(F.struct("n", "planes", "bands")).alias("s"), F.count("*").alias("rows"))
-        .select("node", "rows", "s.*")
+    # a class has one smallest id, so that these rows are its node; they are shuffled once
+    sketched = known.groupBy("id", "k1", "k2").agg(
+        F.min(F.struct("n", "planes", "bands")).alias("s"), F.count("*").alias("rows")
     )
+    nodes = sketched.join(classes, ["id", "k1", "k2"])
+    nodes = staged(nodes.select("node", "id", "k1", "k2", "rows", "s.*"), "nodes")
     spread = nodes.select("node", F.explode("bands").alias("key"))
     sizes = spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     live = staged(spread.join(sizes, "key"), "buckets")
@@ -301,9 +302,10 @@ def _links(
         .select("key", F.negative("h.m").alias("hub"))
     )
     met = staged(live.select("key", "node").join(hubs, "key"), "met")
-    wanted = classes.join(live.select("node").distinct(), "node").join(nodes.select("node", "rows"), "node")
+    wanted = nodes.select("node", "id", "k1", "k2", "rows").join(live.select("node"), "node", "left_semi")
     wanted = staged(wanted, "wanted")
-    texts = picked.join(wanted, "id", "left_semi").select("id", "text")
+    # few texts are wanted, so the others are left out before anything is shuffled
+    texts = may_match(picked, wanted.select("id"), "id", "may").where("may").select("id", "text")
     read = texts.mapInArrow(_sets(words), "id bigint, k1 bigint, k2 bigint, items array<bigint>")
     read = staged(read.join(wanted, ["id", "k1", "k2"]).select("node", "rows", "items"), "sets")
     # rows repeated with their id give their set once
@@ -422,6 +424,12 @@ def without_duplicates(
     Rows without an id are kept. Repeated rows of a kept id are repeated.
     """
     found = near_duplicates(docs, words, percent, id_col, text_col)
-    gone = found.where(~F.col("kept")).select(id_col).distinct()
+    gone = staged(found.where(~F.col("kept")).select(id_col).distinct(), "gone")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(gone, id_col, "left_anti").select(*names)
+    may = "__may"
+    while any(c.lower().startswith(may) for c in docs.columns):
+        may += "_"
+    # rows that cannot be gone stay where they are; only the others are shuffled to the join
+    rows = may_match(docs, gone, id_col, may)
+    rest = rows.where(f"`{may}`").join(gone, id_col, "left_anti")
+    return rows.where(f"NOT `{may}`").select(*names).union(rest.select(*names))
