@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.llm.texts import alnum_words, bounded_batches
+from tabflow.llm.texts import alnum_words, bounded_batches, lean
 
 #: Edits allowed per character of an item.
 MAX_ERRORS = 0.08
@@ -153,7 +153,7 @@ def find_items(
     picked = bounded_batches(docs).select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     out = None
     for wanted in _blocks(items, item_col, item_text_col, block_bytes):
-        found = picked.mapInArrow(_search(wanted, max_errors), schema)
+        found = picked.mapInArrow(lean(_search(wanted, max_errors)), schema)
         out = found if out is None else out.union(found)
     return out
 
@@ -237,5 +237,5 @@ def clean_rows(
 
     rows = bounded_batches(docs)
     for wanted in _blocks(items, item_col, item_text_col, block_bytes):
-        rows = rows.mapInArrow(lacking(wanted), docs.schema)
+        rows = rows.mapInArrow(lean(lacking(wanted)), docs.schema)
     return rows

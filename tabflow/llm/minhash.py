@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tabflow.llm.components import components
 from tabflow.llm.sieve import may_match
-from tabflow.llm.texts import bounded_batches, encode
+from tabflow.llm.texts import bounded_batches, encode, lean
 from tabflow.scratch import staged
 
 COORDINATES = 192
@@ -253,7 +253,7 @@ def near_duplicates(
     picked = bounded_batches(docs).select(
         F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text")
     )
-    facts = staged(picked.mapInArrow(_sketches(words), _FACTS), "sketches")
+    facts = staged(picked.mapInArrow(lean(_sketches(words)), _FACTS), "sketches")
     known = facts.where(F.col("id").isNotNull() & (F.col("n") > 0))
     # one node per class of equal sets, numbered in the order of its smallest id, as rows of
     # one id can be of several classes
@@ -306,7 +306,7 @@ def _links(
     wanted = staged(wanted, "wanted")
     # few texts are wanted, so the others are left out before anything is shuffled
     texts = may_match(picked, wanted.select("id"), "id", "may").where("may").select("id", "text")
-    read = texts.mapInArrow(_sets(words), "id bigint, k1 bigint, k2 bigint, items array<bigint>")
+    read = texts.mapInArrow(lean(_sets(words)), "id bigint, k1 bigint, k2 bigint, items array<bigint>")
     read = staged(read.join(wanted, ["id", "k1", "k2"]).select("node", "rows", "items"), "sets")
     # rows repeated with their id give their set once
     repeated = read.where("rows > 1").groupBy("node").agg(F.first("items").alias("items"))

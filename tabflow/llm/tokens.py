@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabflow.llm.prints import Powers, grouped, word_prints
-from tabflow.llm.texts import bounded_batches
+from tabflow.llm.texts import bounded_batches, lean
 
 #: A block is closed when it has so many tokens; one document is never split.
 BLOCK_TOKENS = 1 << 16
@@ -272,7 +272,7 @@ def write_tokens(
         .sortWithinPartitions("id", "place")
         .select("id", "t")
     )
-    blocks = placed.mapInArrow(_writer(tokenizer, by_word, end_id, bits), BLOCKS)
+    blocks = placed.mapInArrow(lean(_writer(tokenizer, by_word, end_id, bits)), BLOCKS)
     blocks.write.parquet(f"{folder}/blocks")
     spark = docs.sparkSession
     sizes = (
@@ -361,7 +361,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids array<int>"
-    return _blocks(spark, folder).select(*_READ).mapInArrow(run, schema)
+    return _blocks(spark, folder).select(*_READ).mapInArrow(lean(run), schema)
 
 
 def token_checksums(spark: SparkSession, folder: str) -> DataFrame:
@@ -380,7 +380,7 @@ def token_checksums(spark: SparkSession, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    return _blocks(spark, folder).select(*_READ).mapInArrow(run, schema)
+    return _blocks(spark, folder).select(*_READ).mapInArrow(lean(run), schema)
 
 
 def read_range(spark: SparkSession, folder: str, start: int, end: int) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.texts import bounded_batches, per_text
+from tabflow.llm.texts import bounded_batches, lean, per_text
 
 #: Labelled rows used for learning, at most.
 SAMPLE_ROWS = 12_000
@@ -215,7 +215,7 @@ def learn(
     rows = texts.join(F.broadcast(sample), "id")  # at most sample_rows ids and flags
     counted = (
         rows.select("text", "toxic")
-        .mapInArrow(_count_stems, "e string, t bigint, c bigint")
+        .mapInArrow(lean(_count_stems), "e string, t bigint, c bigint")
         .groupBy("e")
         .agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     )
@@ -315,4 +315,4 @@ def without_toxic(
             keep = [score(t.as_py() or "")[0] < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return bounded_batches(docs).mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(lean(run), docs.schema)

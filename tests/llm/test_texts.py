@@ -1,0 +1,26 @@
+import re
+from pathlib import Path
+
+import pytest
+
+from tabflow.llm import texts
+
+SMAPS = Path("/proc/self/smaps_rollup")
+
+
+def held_mb():
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", SMAPS.read_text())[1]) / 1024
+
+
+@pytest.mark.skipif(not SMAPS.exists(), reason="memory can't be read here")
+def test_a_task_gives_back_what_it_has_freed():
+    kept = []
+
+    def run(batches):
+        parts = [bytes([i % 255 + 1]) * 50_000 for i in range(2_000)]
+        kept.extend(parts[::100])  # in the way of what is freed around them
+        yield from batches
+
+    before = held_mb()
+    assert list(texts.lean(run)(iter([1, 2]))) == [1, 2]
+    assert held_mb() - before < 40
