@@ -6,7 +6,9 @@ proposal. The full pass counts the proposal and its negative border at once: the
 that are not proposed themselves, but of which both parts one word shorter are. A border
 phrase that turns out to be frequent is a failure: longer ones around it were not
 counted. Failures join the proposal and the phrases newly on its border are counted in a
-further pass, until there are no failures. Then every frequent phrase has been counted.
+further pass, until there are no failures. Then every frequent phrase has been counted. Where
+failures are few beside the proposal, one such pass is the last: it also counts longer phrases
+around those on the border, at every length, as if all of these were frequent.
 
 Passes work on fingerprints of phrases, which have 101 bits. In a task, numpy makes them from
 the bytes of many texts at once and adds up equal ones before the shuffle. The proposal
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tabflow.llm.prints import WINDOW, Powers, grouped, mixed, word_prints
-from tabflow.llm.texts import bounded_batches
+from tabflow.llm.texts import bounded_batches, lean
 from tabflow.operators.skew import join_hot
 from tabflow.scratch import staged
 
@@ -49,6 +51,8 @@ LOWERED = 0.7
 BITS = 27
 #: Bits for each fingerprint, below that.
 PLACES = 16
+#: Failures are followed in one pass if they add one bit in so many of the proposal at most.
+FEW_FAILURES = 4
 
 # Bytes that end a piece, and those that end a word.
 _PIECE_ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -126,6 +130,9 @@ class Marks:
     def __eq__(self, other: object) -> bool:
         return isinstance(other, Marks) and np.array_equal(self.data, other.data)
 
+    def count(self) -> int:
+        return int(np.bitwise_count(self.data).sum(dtype=np.int64))
+
     @property
     def shifts(self) -> tuple[int, int, int]:
         """Where the three places begin in a fingerprint, whose lowest bits are its length's."""
@@ -147,29 +154,35 @@ def _longer(prints: np.ndarray, words: np.ndarray, at: np.ndarray, length: int,
 
 
 def _levels(
-    words: Words, tongues: np.ndarray, marks: Marks, old: Marks | None, longest: int
+    words: Words, tongues: np.ndarray, marks: Marks, old: Marks | None, longest: int, ahead: bool = False
 ) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]:
     """Per length: the places of its phrases, their two fingerprints, and which are fresh.
 
+    Without ``old`` none are, and no word is.
+
     Phrases longer than a word are those of which both parts one word shorter are among them and
-    marked. They are fresh unless ``old`` alone gives them as well: a part that is in ``old``
-    by chance, without being one of its phrases, does not make a longer phrase an old one.
+    marked or, with ``ahead``, fresh. They are fresh unless ``old`` alone gives them as well: a
+    part that is in ``old`` by chance, without being one of its phrases, does not make a longer
+    phrase an old one.
     """
     ones = [mixed(p + tongues[words.owners]) for p in words.prints]
     shorter, places = [p.copy() for p in ones], np.arange(len(ones[0]))
-    yield 1, places, ones, np.ones(len(places), bool)
     stale = np.ones(len(places), bool)  # where old gives the shorter phrase
+    fresh = np.zeros(len(places), bool)
+    yield 1, places, ones, fresh
     for length in range(2, longest + 1):
         size = len(ones[0])
         known = np.zeros(size, bool)
-        known[places] = marks.has(shorter[0][places])
+        known[places] = sure = fresh & ahead
+        some = places[~sure]
+        known[some] = marks.has(shorter[0][some])
         both = np.zeros(size, bool)
         both[: max(0, size - length + 1)] = (
             words.pieces[: max(0, size - length + 1)] == words.pieces[length - 1 :]
         )
         both[:-1] &= known[:-1] & known[1:]
         places = np.flatnonzero(both)
-        fresh = np.ones(len(places), bool)
+        fresh = np.zeros(len(places), bool)
         if old is not None:
             before = np.zeros(size, bool)
             some = np.flatnonzero(known & stale)
@@ -240,7 +253,7 @@ def _counted(rows: DataFrame, marks: Marks, lengths: set[int], least: int) -> Da
         if held:
             yield from _packed(held)
 
-    parts = rows.select("text", "tongue").mapInArrow(run, "print bigint, rest bigint")
+    parts = rows.select("text", "tongue").mapInArrow(lean(run), "print bigint, rest bigint")
     # shuffled as they are: tasks have added up what is equal
     counts = parts.repartition("print").groupBy("print", _check(F.col("rest")).alias("check")).agg(
         F.sum(F.col("rest").bitwiseAND(F.lit((1 << _COUNT_BITS) - 1))).alias("n")
@@ -266,12 +279,13 @@ def _named(
     old: Marks | None,
     longest: int,
     least: int,
+    ahead: bool = False,
 ) -> DataFrame:
     """``print, check, lang, phrase, k, n, fresh`` of phrases that are wanted or fresh.
 
-    Fresh are those that ``marks`` give and ``old`` does not, see ``_levels``; there are
-    none without ``old``. Of them, only those with ``n`` at ``least`` are returned. The
-    table is written.
+    Fresh are those that ``marks`` give, ``ahead`` also with other fresh ones, and ``old`` does
+    not, see ``_levels``; there are none without ``old``. Of them, only those with ``n`` at
+    ``least`` are returned. The table is written.
     """
     shared = rows.sparkSession.sparkContext.broadcast((marks, wanted, old))
     names = ["print", "check", "lang", "phrase", "k", "n", "fresh"]
@@ -290,8 +304,7 @@ def _named(
         for batch in _slices(batches):
             words, tongues = _texts(batch, powers)
             langs = batch.column(2).to_pylist()
-            for length, places, (one, two), fresh in _levels(words, tongues, marks, old, longest):
-                fresh = fresh & (old is not None and length > 1)
+            for length, places, (one, two), fresh in _levels(words, tongues, marks, old, longest, ahead):
                 some = wanted.has(one) | fresh
                 one, two, places = one[some] & ~np.uint64(_LENGTHS) | np.uint64(length), two[some], places[some]
                 order, firsts = grouped(one, two)
@@ -310,7 +323,7 @@ def _named(
             yield row_batch()
 
     schema = "print bigint, check bigint, lang string, phrase string, k int, n bigint, fresh boolean"
-    made = rows.mapInArrow(run, schema).groupBy("print", "check")
+    made = rows.mapInArrow(lean(run), schema).groupBy("print", "check")
     made = made.agg(*(F.min(c).alias(c) for c in names[2:5]), F.sum("n").alias("n"), F.max("fresh").alias("fresh"))
     return _done(made.where((F.col("n") >= least) | ~F.col("fresh")), "names", shared)
 
@@ -355,9 +368,11 @@ def frequent_phrases(
     names, wanted = [named], Marks.of([left], bits)
 
     old, marks = marks, _with_failures(marks, found, longest)
-    phrases = []
-    while old != marks or (not phrases and not left.isEmpty()):
-        more = _named(rows, marks, wanted, old, longest, support)
+    phrases, ahead = [], False
+    while not ahead and (old != marks or (not phrases and not left.isEmpty())):
+        # with many failures, counting ahead would count nearly all phrases there are
+        ahead = marks.count() - old.count() <= old.count() // FEW_FAILURES
+        more = _named(rows, marks, wanted, old, longest, support, ahead)
         if not phrases:
             names.append(left.join(more, keys, "left_semi").select(*keys).join(more, keys).select(*named.columns))
         phrases.append(more.where("fresh").select("lang", "phrase", "k", "n"))

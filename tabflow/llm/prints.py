@@ -16,6 +16,8 @@ import numpy as np
 WINDOW = 1 << 20
 # Odd factors: of the polynomial, and of what the second fingerprint adds.
 _WORD, _OUTER = 0x9E3779B97F4A7C15, 0x165667B19E3779F9
+# Terms of the polynomial modulo the prime that can be added up before they are reduced.
+_UNREDUCED = 1 << 24
 # The prime, and the factor of the polynomial modulo it.
 _PRIME, _FACTOR = (1 << 31) - 1, 0x2545F491
 
@@ -89,9 +91,10 @@ def _part(
     sums = np.zeros(high - low + 1, np.uint64)
     np.cumsum(values * up[:-1], out=sums[1:])
     one = mixed((sums[ends] - sums[starts]) * down[starts])
-    # sums of numbers below 2^31, of as many as a cut has, stay below 2^64
+    # sums of numbers below 2^40, of up to 2^24, stay below 2^64; more are reduced to below 2^31
     prime = np.uint64(_PRIME)
-    np.cumsum(values * prime_up[:-1] % prime, out=sums[1:])
+    values *= prime_up[:-1]
+    np.cumsum(values if len(values) <= _UNREDUCED else values % prime, out=sums[1:])
     other = (sums[ends] - sums[starts]) % prime * prime_down[starts] % prime
     return starts + low, ends + low, one, other
 
@@ -100,9 +103,12 @@ def grouped(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order in which equal pairs stand together, and where in it each pair begins."""
     order = np.argsort(one)
     new = np.ones(len(one), bool)
-    new[1:] = one[order[1:]] != one[order[:-1]]
-    other = two[order[1:]] != two[order[:-1]]
-    if (other & ~new[1:]).any():
+    new[1:] = _changes(one[order])
+    if (_changes(two[order]) & ~new[1:]).any():
         order = np.lexsort((two, one))
-        new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+        new[1:] = _changes(one[order]) | _changes(two[order])
     return order, np.flatnonzero(new)
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    return values[1:] != values[:-1]

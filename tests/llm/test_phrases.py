@@ -168,3 +168,23 @@ def test_words_with_equal_polynomials_modulo_two_to_the_64_differ(corpus):
     assert sorted(map(tuple, phrases.collocations(corpus(rows)).collect())) == brute(rows, 30)
     words = phrases.Words([f"{one} {two}".encode()], prints.Powers())
     assert words.prints[1][0] != words.prints[1][1]
+
+
+def test_few_failures_take_one_further_pass(corpus, monkeypatch):
+    """Phrases of single documents that the sample lacks, beside many that it has."""
+    rows = [(". ".join(" ".join(f"v{d % 12}_{i}_{j}" for j in range(4)) for i in range(20)) * 3, "en") for d in range(120)]
+    rows += [(f"x{d} y{d} z{d} u{d}. " * 4, "en") for d in range(12)]
+    calls = []
+    named = phrases._named
+
+    def watched(df, marks, wanted, old, *rest):
+        calls.append(old is not None)
+        return named(df, marks, wanted, old, *rest)
+
+    monkeypatch.setattr(phrases, "_named", watched)
+    found = phrases.frequent_phrases(corpus(rows), support=3, sample=2)
+    f, sizes = counts(rows)
+    wanted = [(lang, " ".join(p), len(p), a) for lang, of in f.items() for p, a in of.items() if a >= 3]
+    wanted += [(lang, "", 0, n) for lang, n in sizes.items()]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+    assert calls == [False, True]
