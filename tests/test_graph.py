@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabflow.checks.inputs import fresh_name
 from tabflow.operators import graph as G
+from tabflow.scratch import Scratch
 from tabflow.sinks.graph_store import GraphStore
 from tabflow.sinks.manifest import Files
 from tests.helpers import rows
@@ -291,6 +292,57 @@ def test_only_new_with_and_without_broadcast(pairs, conf, threshold):
     assert rows(new) == [(1, 1), (2, 2)]
 
 
+@pytest.fixture
+def staged(monkeypatch):
+    """What loads stage: (name, columns, rows)."""
+    whole, found = Scratch.staged, []
+
+    def kept(self, df, name):
+        table = whole(self, df, name)
+        found.append((name, table.columns, table.count()))
+        return table
+
+    monkeypatch.setattr(Scratch, "staged", kept)
+    return found
+
+
+@pytest.mark.parametrize("small", [0, 5_000])
+def test_a_load_stages_keys_alone_and_only_ends_of_new_edges(store, pairs, monkeypatch, staged, small):
+    monkeypatch.setattr("tabflow.sinks.graph_store.SMALL_LOAD", small)
+    store.upsert(pairs([(i, i + 1_000) for i in range(300)]))
+    first = [r for r in staged if r[0] == "numbered"]
+    assert [r[2] for r in first] == [600, 300]
+    staged.clear()
+    assert store.upsert(pairs([(i, i + 1_000) for i in range(300)] + [(5, 7), (9, 2_000)])) == {"nodes": 1, "edges": 2}
+    assert [r[2] for r in staged if r[0] == "users"] == [4]
+    assert not any({"rel_type", "name"} & set(r[1]) for r in first + staged)
+    edges = {(r["src"], r["dst"]): r for r in store.edges().collect()}
+    assert tuple(edges[9, 2_000]) == (301, "9:2000", 9, 2_000, "KNOWS", "follows")
+    assert len(edges) == 302 and store.nodes().count() == 601
+
+
+@pytest.mark.parametrize("many", [1, 16])
+def test_large_loads_beside_a_smaller_and_a_larger_store(store, pairs, monkeypatch, conf, many):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr("tabflow.sinks.graph_store.SMALL_LOAD", 0)
+    monkeypatch.setattr("tabflow.sinks.graph_store.MANY_STORED", many)
+    store.upsert(pairs([(i, i + 1) for i in range(400)]))
+    before = set(rows(store.edges()))
+    assert store.upsert(pairs([(i, i + 1) for i in range(350, 450)])) == {"nodes": 50, "edges": 50}
+    assert before < set(rows(store.edges()))
+    assert sorted(r["rel_id"] for r in store.edges().collect()) == list(range(450))
+    assert sorted(r["userid"] for r in store.nodes().collect()) == list(range(451))
+
+
+@pytest.mark.parametrize("small, created", [(0, {"nodes": 1, "edges": 1}), (5_000, {"nodes": 1, "edges": 0})])
+def test_a_missing_end_is_found_nowhere(store, pairs, monkeypatch, small, created):
+    monkeypatch.setattr("tabflow.sinks.graph_store.SMALL_LOAD", small)
+    data = pairs([(None, 5), (5, 6)])
+    assert store.upsert(data) == {"nodes": 3, "edges": 2}
+    assert store.upsert(data) == created
+
+
 def test_a_store_is_found_again(spark, store, pairs):
     store.upsert(pairs(PAIRS[:2]))
     store.forget()
